@@ -53,8 +53,11 @@ def clip(c: Column | str, low: float | None = None, high: float | None = None) -
 
 
 def half_even(c: Column | str, digits: int = 0) -> Column:
-    """Banker's rounding, the rule of numpy and pandas."""
-    return F.bround(as_column(c), digits)
+    """Banker's rounding of the scaled double, the rule of numpy and pandas."""
+    if digits == 0:
+        return F.rint(as_column(c))
+    scale = float(10**digits)
+    return F.rint(as_column(c) * F.lit(scale)) / F.lit(scale)
 
 
 def presence_flag(c: Column | str) -> Column:
@@ -65,7 +68,7 @@ def interval_bin(c: Column | str, edges: Sequence[float], labels: Sequence[str])
     """Right-closed bins ``(edges[i], edges[i+1]]``; outside all of them is null."""
     column = as_column(c)
     chain = F
-    for low, high, label in zip(edges, edges[1:], labels, strict=True):
+    for low, high, label in zip(edges[:-1], edges[1:], labels, strict=True):
         chain = chain.when((column > F.lit(float(low))) & (column <= F.lit(float(high))), F.lit(label))
     return chain
 
