@@ -127,8 +127,8 @@ def _(t: Tables):
 
 
 @query("rows_with_issues", "Q22 S17", """
-SELECT wo_no, array_to_string(list_filter([CASE WHEN pm_no IS NULL THEN 'no plan' END, CASE WHEN o_totalprice > 450000 THEN 'too dear' END,
-       CASE WHEN priority_id IS NULL THEN 'no priority' END], x -> x IS NOT NULL), ', ') AS issues FROM work_orders""", ("work_orders",))
+SELECT wo_no, concat_ws(', ', CASE WHEN pm_no IS NULL THEN 'no plan' END, CASE WHEN o_totalprice > 450000 THEN 'too dear' END,
+       CASE WHEN priority_id IS NULL THEN 'no priority' END) AS issues FROM work_orders""", ("work_orders",))
 def _(t: Tables):
     tagged = q.split_rows(t.work_orders(), {"no plan": F.col("pm_no").isNull(), "too dear": F.col("o_totalprice") > 450000,
                                             "no priority": F.col("priority_id").isNull()})

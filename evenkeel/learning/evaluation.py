@@ -142,8 +142,8 @@ def shuffled_features(df: DataFrame, features: Sequence[str], identifier: str, r
 def permutation_importance(df: DataFrame, predict: Callable[[DataFrame], DataFrame], features: Sequence[str],
                            score: str, label: str, identifier: str, repeats: int = 8, seed: int = 42) -> DataFrame:
     """Mean and deviation of the AUC lost when a feature is shuffled."""
-    base = classification_metrics(predict(df), score, label).select("roc_auc").scalar()
+    base = classification_metrics(predict(df), score, label).first()["roc_auc"]
     shuffled = predict(shuffled_features(df, features, identifier, repeats, seed))
     per_copy = classification_metrics(shuffled, score, label, ["feature", "repeat"], few_groups=True)
-    loss = base - F.col("roc_auc")
+    loss = F.lit(base) - F.col("roc_auc")
     return per_copy.groupBy("feature").agg(F.avg(loss).alias("importance"), F.stddev_pop(loss).alias("std"))

@@ -121,8 +121,7 @@ def fit_breach_model(train: DataFrame, kind: str, categories: Sequence[str], num
     data = _prepared(train, kept, categories, numbers).withColumn("_label", F.col(label).cast("double"))
     stages, features = _features(categories, numbers, flags=kind == "boosted", scale=kind == "forest",
                                  constant=kind == "boosted")
-    common = {"featuresCol": features, "labelCol": "_label", "probabilityCol": "_probability",
-              "rawPredictionCol": "_raw", "predictionCol": "_prediction"}
+    common = {"featuresCol": features, "labelCol": "_label", "predictionCol": "_prediction"}
     if kind == "boosted":
         data = data.withColumn("_validate", F.pmod(F.xxhash64(identifier or F.struct(*categories, *numbers)), F.lit(1000))
                                < int(1000 * validation_fraction))
@@ -136,6 +135,7 @@ def fit_breach_model(train: DataFrame, kind: str, categories: Sequence[str], num
         model = LogisticRegression(maxIter=1000 if trees is None else trees, **common)
     else:
         raise ValueError(f"unknown model kind {kind!r}")
+    model = model.setProbabilityCol("_probability").setRawPredictionCol("_raw")
     fitted = Pipeline(stages=[*stages, model]).fit(data)
     return BreachModel(fitted, kept, categories, numbers, kind, features,
                        {"names": _slot_names(fitted, categories, numbers, kind)})

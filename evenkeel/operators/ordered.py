@@ -118,22 +118,44 @@ def exact_quantiles(df: DataFrame, value: str, fractions: Mapping[str, float],
     ])
 
 
-def cut_at_rank(df: DataFrame, order: Sequence[Column], identifier: str, rank: Column) -> Column:
-    """Condition true for the first ``rank`` rows by (``order``, ``identifier``).
+def _edge_of_rank(df: DataFrame, order: Column, identifier: str, rank: Column) -> tuple[DataFrame, DataFrame]:
+    """The order value at a rank with how many of its rows still fit, and the rows
+    as (order, id). ``rank`` may use ``total_rows``.
 
-    ``rank`` may use ``total_rows``. Order values are counted first, so a value
-    shared by a third of the rows is one row here; only the rows that tie at the
-    cut are numbered by identifier. The cut comes back as scalar subqueries, so the
-    table itself is neither joined nor shuffled and the condition reaches its scan.
+    Order values are counted first, so a value shared by a third of the rows is
+    one row here.
     """
-    keyed = df.select(F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]).alias("_order"),
-                      F.col(identifier).alias("_id"))
+    keyed = df.select(order.alias("_order"), F.col(identifier).alias("_id"))
     counts = keyed.groupBy("_order").agg(F.count(F.lit(1)).alias("_rows"))
     ranked = running_totals(counts, [F.col("_order")], {"rows": F.col("_rows")})
-    edge = ranked.where((F.col("cum_rows") >= rank) & (F.col("cum_rows") - F.col("_rows") < rank)).select(
-        "_order", (rank - (F.col("cum_rows") - F.col("_rows"))).cast("bigint").alias("_need"))
+    before = F.col("cum_rows") - F.col("_rows")
+    edge = ranked.where((F.col("cum_rows") >= rank) & (before < rank)).select(
+        "_order", (rank - before).cast("bigint").alias("_need"))
+    return edge, keyed
+
+
+def cut_at_rank(df: DataFrame, order: Column, identifier: str, rank: Column) -> Column:
+    """Condition true for the first ``rank`` rows by (``order``, ``identifier``).
+
+    Only the rows that tie at the cut are numbered by identifier. The cut comes
+    back as scalar subqueries, so the table itself is neither joined nor shuffled.
+    """
+    edge, keyed = _edge_of_rank(df, order, identifier, rank)
     at = edge.select("_order").scalar()
     ties = row_numbers(keyed.where(F.col("_order") == at).select("_id"), [F.col("_id")])
     last = ties.where(F.col("row_number") == edge.select("_need").scalar()).select("_id").scalar()
-    mine = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
-    return (mine < at) | ((mine == at) & (F.col(identifier) <= last))
+    return (order < at) | ((order == at) & (F.col(identifier) <= last))
+
+
+def cut_at_rank_now(df: DataFrame, order: str, identifier: str, rank: Column) -> Column:
+    """``cut_at_rank`` evaluated at once: two values come to the driver, and the
+    condition is made of literals that every later scan can push down."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    edge, keyed = _edge_of_rank(df, F.col(order), identifier, rank)
+    found = edge.first()
+    if found is None:
+        return F.lit(False)
+    at = F.lit(found["_order"]).cast(types[order])
+    ties = row_numbers(keyed.where(F.col("_order") == at).select("_id"), [F.col("_id")])
+    last = F.lit(ties.where(F.col("row_number") == found["_need"]).first()["_id"]).cast(types[identifier])
+    return (F.col(order) < at) | ((F.col(order) == at) & (F.col(identifier) <= last))

@@ -11,7 +11,7 @@ from evenkeel.functions import (
     elapsed_days, elapsed_hours, is_weekend, iso_weekday, known_or_unknown, presence_flag,
 )
 from evenkeel.operators.joins import day_context
-from evenkeel.operators.ordered import cut_at_rank
+from evenkeel.operators.ordered import cut_at_rank, cut_at_rank_now
 
 # --- fixed values: feature lists -------------------------------------------------
 TARGET = "is_sla_violation"
@@ -97,16 +97,22 @@ def intake_features(orders: DataFrame, rolling: DataFrame | None = None) -> Data
         F.col(TARGET).cast("int").alias(TARGET))
 
 
+def _train_rank(test_fraction: float) -> Column:
+    return F.rint(F.col("total_rows") * F.lit(1.0 - test_fraction)).cast("bigint")
+
+
 def train_rows(df: DataFrame, timestamp: str, identifier: str, test_fraction: float = 0.2) -> Column:
     """Condition: among the earliest ``round(n · (1 − f))`` rows by (time, id)."""
-    rank = F.bround(F.col("total_rows") * F.lit(1.0 - test_fraction), 0).cast("bigint")
-    return cut_at_rank(df, [F.col(timestamp)], identifier, rank)
+    return cut_at_rank(df, F.col(timestamp), identifier, _train_rank(test_fraction))
 
 
 def time_split(df: DataFrame, timestamp: str = TIMESTAMP, identifier: str = "wo_no",
                test_fraction: float = 0.2) -> tuple[DataFrame, DataFrame]:
-    """Earliest rows train, the most recent fraction tests; together all rows."""
-    early = train_rows(df, timestamp, identifier, test_fraction)
+    """Earliest rows train, the most recent fraction tests; together all rows.
+
+    The cut is found now, once: training reads its rows many times.
+    """
+    early = cut_at_rank_now(df, timestamp, identifier, _train_rank(test_fraction))
     return df.where(early), df.where(~early)
 
 
