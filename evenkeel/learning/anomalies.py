@@ -7,10 +7,12 @@ Both are small bounded tasks that Spark spreads by site and tree.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -21,6 +23,8 @@ MAD_TO_SIGMA = 1.4826
 EULER_GAMMA = 0.5772156649015329
 # ---------------------------------------------------------------------------------
 TREES_PER_TASK = 20
+# executors need not have this package: its functions travel with the tasks
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TREE_SCHEMA = "tree INT, split_on ARRAY<INT>, split_at ARRAY<DOUBLE>, low INT, child ARRAY<INT>, depth_at ARRAY<DOUBLE>"
 
 
