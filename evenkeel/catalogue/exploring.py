@@ -188,7 +188,7 @@ def _(t: Tables):
 
 
 @query("building_daily_mean", "G25", """
-SELECT utilization_date, round(avg(utilization_pct), 8) AS mean_value, count(*) AS assets FROM room_use GROUP BY 1""", ("room_use",))
+SELECT utilization_date, round(avg(utilization_pct), 9) AS mean_value, count(*) AS assets FROM room_use GROUP BY 1""", ("room_use",))
 def _(t: Tables):
     return rounded(t.room_use().groupBy("utilization_date").agg(
-        F.avg("utilization_pct").alias("mean_value"), F.count(F.lit(1)).alias("assets")), 8)
+        F.avg("utilization_pct").alias("mean_value"), F.count(F.lit(1)).alias("assets")), 9)

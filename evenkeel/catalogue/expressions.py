@@ -68,8 +68,10 @@ def _(t: Tables):
 
 
 @query("local_times_to_utc", "C8 C10", """
-SELECT o_orderkey, CAST((o_orderdate + to_minutes(CAST(o_custkey % 1440 AS INTEGER))) AT TIME ZONE 'Europe/Helsinki' AT TIME ZONE 'UTC' AS TIMESTAMP) AS utc
-FROM orders""")
+WITH l AS (SELECT o_orderkey, o_orderdate + to_minutes(CAST(o_custkey % 1440 AS INTEGER)) AS wall FROM orders),
+u AS (SELECT *, CAST(wall AT TIME ZONE 'Europe/Helsinki' AT TIME ZONE 'UTC' AS TIMESTAMP) AS utc FROM l)
+SELECT o_orderkey, CASE WHEN CAST((utc - INTERVAL 1 HOUR) AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Helsinki' AS TIMESTAMP) = wall
+  THEN utc - INTERVAL 1 HOUR ELSE utc END AS utc FROM u  -- an hour that occurs twice means its first occurrence""")
 def _(t: Tables):
     at = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("o_custkey") % 1440).cast("int"))
     iso, european = F.date_format(at, "yyyy-MM-dd HH:mm:ss.SSS"), F.date_format(at, "d.M.yyyy H:mm")

@@ -16,24 +16,31 @@ __all__ = [
 ]
 
 
-def parse_int(c: Column | str) -> Column:
+# ``cleaned`` says that the text has been through ``clean_null`` already
+
+
+def parse_int(c: Column | str, cleaned: bool = False) -> Column:
     """``"5701.0"`` and ``"5701"`` are 5701; null literals and junk are null."""
-    return clean_null(c).try_cast("double").try_cast("bigint")
+    text = as_column(c) if cleaned else clean_null(c)
+    return text.try_cast("double").try_cast("bigint")
 
 
-def parse_float(c: Column | str) -> Column:
-    return F.replace(clean_null(c), F.lit(","), F.lit(".")).try_cast("double")
+def parse_float(c: Column | str, cleaned: bool = False) -> Column:
+    text = as_column(c) if cleaned else clean_null(c)
+    return F.replace(text, F.lit(","), F.lit(".")).try_cast("double")
 
 
-def parse_finished_days(c: Column | str) -> Column:
+def parse_finished_days(c: Column | str, cleaned: bool = False) -> Column:
     """``2.16.00`` is 2.16 days: the first two dotted parts when the first is digits."""
-    head = F.regexp_extract(clean_null(c), r"^(\d+\.[^.]*)", 1)
-    return F.when(head != "", head.try_cast("double")).otherwise(parse_float(c))
+    text = as_column(c) if cleaned else clean_null(c)
+    head = F.regexp_extract(text, r"^(\d+\.[^.]*)", 1)
+    return F.when(head != "", head.try_cast("double")).otherwise(parse_float(text, cleaned=True))
 
 
-def parse_failed(raw: Column | str, parsed: Column) -> Column:
+def parse_failed(raw: Column | str, parsed: Column, cleaned: bool = False) -> Column:
     """True where a value was given but could not be parsed."""
-    return clean_null(raw).isNotNull() & parsed.isNull()
+    text = as_column(raw) if cleaned else clean_null(raw)
+    return text.isNotNull() & parsed.isNull()
 
 
 def nan_to_null(c: Column | str) -> Column:

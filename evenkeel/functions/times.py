@@ -5,8 +5,6 @@ Spark's ``dayofweek`` starts on Sunday; everything here is ISO (Monday = 1).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,14 +20,20 @@ __all__ = [
 LOCAL_ZONE = "Europe/Helsinki"
 
 # ISO with or without a fraction, and European day-first with optional seconds
-TIMESTAMP_FORMATS = ("yyyy-M-d H:m:s[.SSSSSS]", "d.M.yyyy H:m[:s[.SSSSSS]]")
+ISO_TIMESTAMP, EUROPEAN_TIMESTAMP = "yyyy-M-d H:m:s[.SSSSSS]", "d.M.yyyy H:m[:s[.SSSSSS]]"
 WEEKDAY_NAMES = ("MO", "TU", "WE", "TH", "FR", "SA", "SU")
 
 
-def parse_local_timestamp(c: Column | str) -> Column:
+def _is_iso(text: Column) -> Column:
+    # picking the format by a look is cheaper than letting the wrong one fail
+    return F.substring(text, 5, 1) == "-"
+
+
+def parse_local_timestamp(c: Column | str, cleaned: bool = False) -> Column:
     """Wall-clock time as written; junk is null (see ``parse_failed``)."""
-    text = clean_null(c)
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in TIMESTAMP_FORMATS])
+    text = as_column(c) if cleaned else clean_null(c)
+    return F.when(_is_iso(text), F.try_to_timestamp(text, F.lit(ISO_TIMESTAMP))).otherwise(
+        F.try_to_timestamp(text, F.lit(EUROPEAN_TIMESTAMP)))
 
 
 def local_to_utc(c: Column | str, zone: Column | str = LOCAL_ZONE) -> Column:
@@ -37,11 +41,13 @@ def local_to_utc(c: Column | str, zone: Column | str = LOCAL_ZONE) -> Column:
     return F.to_utc_timestamp(as_column(c), F.lit(zone) if isinstance(zone, str) else zone)
 
 
-def parse_date(c: Column | str) -> Column:
-    text = clean_null(c)
+def parse_date(c: Column | str, cleaned: bool = False) -> Column:
+    """Date of the first ten characters, else of the whole text as a timestamp."""
+    text = as_column(c) if cleaned else clean_null(c)
     head = F.substring(text, 1, 10)
-    dates = [F.to_date(F.try_to_timestamp(head, F.lit(fmt))) for fmt in ("yyyy-M-d", "d.M.yyyy")]
-    return F.coalesce(*dates, F.to_date(parse_local_timestamp(text)))
+    day_first = F.coalesce(F.try_to_timestamp(head, F.lit("d.M.yyyy")), F.try_to_timestamp(text, F.lit(EUROPEAN_TIMESTAMP)))
+    iso = F.coalesce(F.try_to_timestamp(head, F.lit("yyyy-M-d")), F.try_to_timestamp(text, F.lit(ISO_TIMESTAMP)))
+    return F.to_date(F.when(_is_iso(text), iso).otherwise(day_first))
 
 
 def parse_offset_timestamp(c: Column | str) -> Column:
@@ -131,7 +137,3 @@ def calendar_columns(c: Column | str) -> dict[str, Column]:
         "iso_year": iso_year(day), "iso_week": F.weekofyear(day),
         "is_weekend": is_weekend(day), "period": month_start(day),
     }
-
-
-def latest_of(*columns: Column) -> Column:
-    return reduce(lambda a, b: F.greatest(a, b), columns)

@@ -120,8 +120,9 @@ def isolation_forest(df: DataFrame, site: str, identifier: str, features: Sequen
         "_block", F.col("_block").cast("bigint"))
     scored = rows.withColumn("_block", block).groupBy(site, "_block").cogroup(spread.groupBy(site, "_block")).applyInPandas(
         score, f"`{site}` {kind}, `{identifier}` {dict(df.dtypes)[identifier]}, anomaly_score DOUBLE")
-    cut = scored.groupBy(site).agg(F.percentile("anomaly_score", F.lit(contamination)).alias("_cut"))
-    return scored.join(cut, site).withColumn("is_anomaly", F.col("anomaly_score") < F.col("_cut")).drop("_cut")
+    # over a site's days; a second aggregate would score everything twice
+    cut = F.percentile("anomaly_score", F.lit(contamination)).over(W.partitionBy(site))
+    return scored.withColumn("is_anomaly", F.col("anomaly_score") < cut)
 
 
 def robust_z(df: DataFrame, site: str, features: Sequence[str], name: str = "baseline_zscore") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions import (
     METRIC_UNITS, building_of_file, clean_null, code_lookup, elapsed_days, export_year, has_mojibake,
-    local_to_utc, occupancy_kind_of_file, parse_bool, parse_date, parse_failed, parse_finished_days,
+    local_to_utc, occupancy_kind_of_file, parse_bool, parse_date, parse_finished_days,
     parse_float, parse_int, parse_local_timestamp, parse_offset_timestamp, range_end_of_file,
     repair_mojibake, strip_blank, surrogate_key,
 )
@@ -76,11 +76,15 @@ def dim_customer(sites: DataFrame, slugs: Mapping[str, str] | None = None, sourc
 
 
 # ---------------------------------------------------------------- shared steps
-def _finish(df: DataFrame, columns: Mapping[str, Column], issues: Mapping[str, Column], strict: bool) -> DataFrame:
-    """Project the typed columns with the list of issues beside them."""
-    found = F.array_compact(F.array(*[
-        F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in issues.items()])) if issues else F.array().cast("array<string>")
-    out = df.select(*[c.alias(n) for n, c in columns.items()], found.alias("issues"))
+def _cleaned(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Null-normalise the listed columns once; everything later reads the result."""
+    return raw.withColumns({c: clean_null(c) for c in columns})
+
+
+def _finish(typed: DataFrame, issues: Mapping[str, Column], strict: bool, scratch: Sequence[str]) -> DataFrame:
+    """Put the list of issues beside the typed columns and drop the raw ones."""
+    found = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in issues.items()]))
+    out = typed.withColumn("issues", found).drop(*scratch)
     if strict:
         message = F.concat(F.lit("rows with issues: "), F.array_join("issues", ", "))
         out = out.withColumn("issues", F.when(F.size("issues") == 0, F.col("issues")).otherwise(
@@ -93,8 +97,23 @@ def split_clean(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(F.size("issues") == 0).drop("issues"), df.where(F.size("issues") > 0)
 
 
+def _int(name: str) -> Column:
+    return parse_int(name, cleaned=True)
+
+
 def _utc(name: str, zone: str) -> Column:
-    return local_to_utc(parse_local_timestamp(name), zone)
+    return local_to_utc(parse_local_timestamp(name, cleaned=True), zone)
+
+
+def _unparsed(raw: str, typed: str) -> Column:
+    return F.col(f"_raw_{raw}").isNotNull() & F.col(typed).isNull()
+
+
+def _project(df: DataFrame, columns: Mapping[str, Column], keep: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Typed columns, with the cleaned text of ``keep`` beside them for the checks."""
+    scratch = [f"_raw_{c}" for c in keep]
+    raw = [F.col(c).alias(n) for c, n in zip(keep, scratch)]
+    return df.select(*[c.alias(n) for n, c in columns.items()], *raw), scratch
 
 
 def _source(df: DataFrame, source_system: str) -> dict[str, Column]:
@@ -105,95 +124,109 @@ def _source(df: DataFrame, source_system: str) -> dict[str, Column]:
 # ---------------------------------------------------------------- ERP facts
 def conform_alarms(raw: DataFrame, sites: DataFrame, zone: str = "Europe/Helsinki", strict: bool = False,
                    source_system: str = "erp_alarms") -> DataFrame:
-    priority = parse_int("Priority").cast("int")
-    work_order = parse_int("WORKORDER_NO")
+    keys = {"alert_event_id": "ALERT_EVENT_ID", "alert_id": "ALERT_ID", "customer_no": "CUSTOMER_NO",
+            "customer_site_no": "CUSTOMER_SITE_NO", "contract_no": "CONTRACT_NO", "location_id": "LOCATION_ID",
+            "location_table_id": "LOCATION_TABLE_ID"}
+    checked = ["Priority", "EVENT_TIME", "EVENT_CLOSED_TIME", "WORKORDER_NO"]
+    clean = _cleaned(raw, [*keys.values(), *checked, "LOOP", "ALERT_TYPE", "LOG_ONLY"])
     columns = {
-        "alert_event_id": parse_int("ALERT_EVENT_ID"), "alert_id": parse_int("ALERT_ID"),
-        "customer_no": parse_int("CUSTOMER_NO"), "customer_site_no": parse_int("CUSTOMER_SITE_NO"),
-        "contract_no": parse_int("CONTRACT_NO"), "event_time_utc": _utc("EVENT_TIME", zone),
-        "event_type": F.col("EVENT_TYPE"), "hwid": F.col("HWID"), "hwid_type": F.col("HWID_TYPE"),
-        "loop": clean_null("LOOP"), "alert_type": clean_null("ALERT_TYPE"), "priority": priority,
-        "is_log_only": F.coalesce(clean_null("LOG_ONLY") == "L", F.lit(False)),
-        "event_description": F.col("EVENT_DESCRIPTION"), "workorder_no": work_order,
-        "has_work_order": work_order.isNotNull(), "event_closed_at_utc": _utc("EVENT_CLOSED_TIME", zone),
-        "location_id": parse_int("LOCATION_ID"), "location_table_id": parse_int("LOCATION_TABLE_ID"),
-        "iva_no": F.col("IVA_NO"), "status": F.col("STATUS"), **_source(raw, source_system),
+        **{n: _int(c) for n, c in keys.items()},
+        "event_time_utc": _utc("EVENT_TIME", zone), "event_type": F.col("EVENT_TYPE"), "hwid": F.col("HWID"),
+        "hwid_type": F.col("HWID_TYPE"), "loop": F.col("LOOP"), "alert_type": F.col("ALERT_TYPE"),
+        "priority": _int("Priority").cast("int"), "is_log_only": F.coalesce(F.col("LOG_ONLY") == "L", F.lit(False)),
+        "event_description": F.col("EVENT_DESCRIPTION"), "workorder_no": _int("WORKORDER_NO"),
+        "event_closed_at_utc": _utc("EVENT_CLOSED_TIME", zone), "iva_no": F.col("IVA_NO"), "status": F.col("STATUS"),
+        **_source(raw, source_system),
     }
+    typed, scratch = _project(clean, columns, checked)
+    typed = typed.withColumn("has_work_order", F.col("workorder_no").isNotNull())
     issues = {
-        "invalid priority": parse_failed("Priority", priority) | ~priority.isin(*ALARM_PRIORITIES),
-        "missing alert_event_id": columns["alert_event_id"].isNull(),
-        "bad event_time": parse_failed("EVENT_TIME", columns["event_time_utc"]),
-        "bad event_closed_time": parse_failed("EVENT_CLOSED_TIME", columns["event_closed_at_utc"]),
-        "bad workorder_no": parse_failed("WORKORDER_NO", work_order),
+        "invalid priority": _unparsed("Priority", "priority") | ~F.col("priority").isin(*ALARM_PRIORITIES),
+        "missing alert_event_id": F.col("alert_event_id").isNull(),
+        "bad event_time": _unparsed("EVENT_TIME", "event_time_utc"),
+        "bad event_closed_time": _unparsed("EVENT_CLOSED_TIME", "event_closed_at_utc"),
+        "bad workorder_no": _unparsed("WORKORDER_NO", "workorder_no"),
     }
-    return map_to_site(_finish(raw, columns, issues, strict), erp_sites(sites), ERP_KEY)
+    return map_to_site(_finish(typed, issues, strict, scratch), erp_sites(sites), ERP_KEY)
 
 
 def conform_work_orders(raw: DataFrame, sites: DataFrame, zone: str = "Europe/Helsinki", strict: bool = False,
                         source_system: str = "erp_work_orders") -> DataFrame:
-    text = lambda c: repair_mojibake(clean_null(c))
-    started, finished = _utc("WORK_STARTED_DATETIME", zone), _utc("WORK_FINISHED_DATETIME", zone)
-    days = parse_finished_days("WORK_FINISHED_DAYS")
-    invoicable, subcontractor = parse_bool("WORK_INVOICABLE"), parse_bool("IS_SUBCONTRACTOR_WORK")
-    violation = parse_int("IS_SLA_VIOLATION") != 0
+    checked = ["WORK_FINISHED_DAYS", "SLA_REQUIRED_START_DATETIME", "SLA_REQUIRED_END_DATETIME", "IS_SLA_VIOLATION",
+               "WORKTIME_HOURS", "WORK_INVOICABLE", "IS_SUBCONTRACTOR_WORK"]
+    keys = {"wo_no": "WO_NO", "customer_no": "CUSTOMER_NO", "customer_site_no": "CUSTOMER_SITE_NO",
+            "contract_no": "CONTRACT_NO", "wo_parent_id": "WO_PARENT_ID"}
+    texts = ["ASSIGNMENT_TYPE", "PM_NO", "PM_ACTION_DESCR", "WORK_DESCRIPTION", "WORK_ORDER_PERFORMED_ACTION"]
+    clean = _cleaned(raw.withColumn("_description", F.col("WORK_ORDER_DESCRIPTION")), [
+        *keys.values(), *checked, *texts, "PRIORITY_ID", "WORK_STARTED_DATETIME", "WORK_FINISHED_DATETIME",
+        "WORK_ORDER_DESCRIPTION"])
     columns = {
-        "wo_no": parse_int("WO_NO"), "customer_no": parse_int("CUSTOMER_NO"),
-        "customer_site_no": parse_int("CUSTOMER_SITE_NO"), "customer_worksite_no": F.col("CUSTOMER_WORKSITE_NO"),
-        "contract_type": F.col("CONTRACT"), "contract_no": parse_int("CONTRACT_NO"),
-        "work_order_type": F.col("WORK_ORDER_TYPE"), "wo_parent_id": parse_int("WO_PARENT_ID"),
-        "assignment_type": clean_null("ASSIGNMENT_TYPE"), "priority_id": parse_int("PRIORITY_ID").cast("int"),
-        "work_description": text("WORK_DESCRIPTION"),
-        "work_order_description": F.coalesce(text("WORK_ORDER_DESCRIPTION"), F.col("WORK_ORDER_DESCRIPTION")),
-        "work_order_performed_action": text("WORK_ORDER_PERFORMED_ACTION"),
+        **{n: _int(c) for n, c in keys.items()},
+        "customer_worksite_no": F.col("CUSTOMER_WORKSITE_NO"), "contract_type": F.col("CONTRACT"),
+        "work_order_type": F.col("WORK_ORDER_TYPE"), "assignment_type": F.col("ASSIGNMENT_TYPE"),
+        "priority_id": _int("PRIORITY_ID").cast("int"), "work_description": repair_mojibake("WORK_DESCRIPTION"),
+        "work_order_description": F.coalesce(repair_mojibake("WORK_ORDER_DESCRIPTION"), F.col("_description")),
+        "work_order_performed_action": repair_mojibake("WORK_ORDER_PERFORMED_ACTION"),
         "work_type_fin": F.col("WORK_TYPE_DESCRIPTION_FIN"), "work_type_eng": F.col("WORK_TYPE_DESCRIPTION_ENG"),
-        "pm_no": clean_null("PM_NO"), "pm_action_descr": clean_null("PM_ACTION_DESCR"),
-        "work_started_at_utc": started, "work_finished_at_utc": finished,
-        # elapsed wall time, as both ends are read in one zone
-        "work_finished_days": F.coalesce(days, elapsed_days(
-            parse_local_timestamp("WORK_STARTED_DATETIME"), parse_local_timestamp("WORK_FINISHED_DATETIME"))),
+        "pm_no": F.col("PM_NO"), "pm_action_descr": F.col("PM_ACTION_DESCR"),
+        "_started": parse_local_timestamp("WORK_STARTED_DATETIME", cleaned=True),
+        "_finished": parse_local_timestamp("WORK_FINISHED_DATETIME", cleaned=True),
+        "_days": parse_finished_days("WORK_FINISHED_DAYS", cleaned=True),
         "sla_required_start_at_utc": _utc("SLA_REQUIRED_START_DATETIME", zone),
         "sla_required_end_at_utc": _utc("SLA_REQUIRED_END_DATETIME", zone),
-        "is_sla_violation": F.coalesce(violation, F.lit(False)), "worktime_hours": parse_float("WORKTIME_HOURS"),
-        "is_invoicable": F.coalesce(invoicable, F.lit(False)),
-        "is_subcontractor_work": F.coalesce(subcontractor, F.lit(False)), **_source(raw, source_system),
+        "_violation": _int("IS_SLA_VIOLATION"), "worktime_hours": parse_float("WORKTIME_HOURS", cleaned=True),
+        "_invoicable": parse_bool("WORK_INVOICABLE"), "_subcontractor": parse_bool("IS_SUBCONTRACTOR_WORK"),
+        **_source(raw, source_system),
     }
+    typed, scratch = _project(clean, columns, checked)
+    typed = typed.withColumns({
+        "work_started_at_utc": local_to_utc("_started", zone), "work_finished_at_utc": local_to_utc("_finished", zone),
+        # elapsed wall time, as both ends are read in one zone
+        "work_finished_days": F.coalesce("_days", elapsed_days("_started", "_finished")),
+        "is_sla_violation": F.coalesce(F.col("_violation") != 0, F.lit(False)),
+        "is_invoicable": F.coalesce("_invoicable", F.lit(False)),
+        "is_subcontractor_work": F.coalesce("_subcontractor", F.lit(False)),
+    })
+    texts = ("work_description", "work_order_description", "work_order_performed_action")
     issues = {
-        "missing wo_no": columns["wo_no"].isNull(),
-        "missing start": started.isNull(), "missing finish": finished.isNull(),
-        "bad finished_days": parse_failed("WORK_FINISHED_DAYS", days),
-        "bad sla_start": parse_failed("SLA_REQUIRED_START_DATETIME", columns["sla_required_start_at_utc"]),
-        "bad sla_end": parse_failed("SLA_REQUIRED_END_DATETIME", columns["sla_required_end_at_utc"]),
-        "bad sla_violation": parse_failed("IS_SLA_VIOLATION", violation),
-        "bad worktime_hours": parse_failed("WORKTIME_HOURS", columns["worktime_hours"]),
-        "bad invoicable": parse_failed("WORK_INVOICABLE", invoicable),
-        "bad subcontractor": parse_failed("IS_SUBCONTRACTOR_WORK", subcontractor),
-        "mojibake": has_mojibake(F.concat_ws(" ", *[
-            columns[c] for c in ("work_description", "work_order_description", "work_order_performed_action")])),
+        "missing wo_no": F.col("wo_no").isNull(),
+        "missing start": F.col("_started").isNull(), "missing finish": F.col("_finished").isNull(),
+        "bad finished_days": _unparsed("WORK_FINISHED_DAYS", "_days"),
+        "bad sla_start": _unparsed("SLA_REQUIRED_START_DATETIME", "sla_required_start_at_utc"),
+        "bad sla_end": _unparsed("SLA_REQUIRED_END_DATETIME", "sla_required_end_at_utc"),
+        "bad sla_violation": _unparsed("IS_SLA_VIOLATION", "_violation"),
+        "bad worktime_hours": _unparsed("WORKTIME_HOURS", "worktime_hours"),
+        "bad invoicable": _unparsed("WORK_INVOICABLE", "_invoicable"),
+        "bad subcontractor": _unparsed("IS_SUBCONTRACTOR_WORK", "_subcontractor"),
+        "mojibake": has_mojibake(F.concat_ws(" ", *texts)),
     }
-    return map_to_site(_finish(raw, columns, issues, strict), erp_sites(sites), ERP_KEY)
+    scratch += ["_started", "_finished", "_days", "_violation", "_invoicable", "_subcontractor"]
+    return map_to_site(_finish(typed, issues, strict, scratch), erp_sites(sites), ERP_KEY)
 
 
 def conform_maintenance_plans(raw: DataFrame, sites: DataFrame, zone: str = "Europe/Helsinki", strict: bool = False,
                               source_system: str = "erp_maintenance_plans") -> DataFrame:
     """Typed plans, the latest row of each plan number."""
-    updated = _utc("LAST_UPDATED", zone)
+    checked = ["START_DATE", "VALID_FROM"]
+    clean = _cleaned(raw, [*checked, "CUSTOMER_NO", "CUSTOMER_SITE_NO", "DESCRIPTION", "DESCRIPTION_ENG", "PRIORITY_ID",
+                           "INTERVAL", "PM_INTERVAL_UNIT", "PLAN_HRS", "LAST_UPDATED"])
     columns = {
         "pm_no": strip_blank("PM_NO"), "contract_type": F.col("MCH_CODE_CONTRACT"),
-        "customer_no": parse_int("CUSTOMER_NO"), "customer_site_no": parse_int("CUSTOMER_SITE_NO"),
+        "customer_no": _int("CUSTOMER_NO"), "customer_site_no": _int("CUSTOMER_SITE_NO"),
         "customer_worksite_no": F.col("CUSTOMER_WORKSITE_NO"), "action_descr": F.col("ACTION_DESCR"),
-        "action_descr_eng": F.col("ACTION_DESCR_ENG"), "description": clean_null("DESCRIPTION"),
-        "description_eng": clean_null("DESCRIPTION_ENG"), "priority_id": parse_int("PRIORITY_ID").cast("int"),
-        "interval": parse_int("INTERVAL"), "interval_unit": clean_null("PM_INTERVAL_UNIT"),
-        "plan_hrs": parse_float("PLAN_HRS"), "start_date": parse_date("START_DATE"),
-        "valid_from": parse_date("VALID_FROM"), "objstate": F.col("OBJSTATE"), "last_updated_utc": updated,
-        **_source(raw, source_system),
+        "action_descr_eng": F.col("ACTION_DESCR_ENG"), "description": F.col("DESCRIPTION"),
+        "description_eng": F.col("DESCRIPTION_ENG"), "priority_id": _int("PRIORITY_ID").cast("int"),
+        "interval": _int("INTERVAL"), "interval_unit": F.col("PM_INTERVAL_UNIT"),
+        "plan_hrs": parse_float("PLAN_HRS", cleaned=True), "start_date": parse_date("START_DATE", cleaned=True),
+        "valid_from": parse_date("VALID_FROM", cleaned=True), "objstate": F.col("OBJSTATE"),
+        "last_updated_utc": _utc("LAST_UPDATED", zone), **_source(raw, source_system),
     }
+    typed, scratch = _project(clean, columns, checked)
     issues = {
-        "missing last_updated": updated.isNull(), "missing pm_no": columns["pm_no"].isNull(),
-        "bad start_date": parse_failed("START_DATE", columns["start_date"]),
-        "bad valid_from": parse_failed("VALID_FROM", columns["valid_from"]),
+        "missing last_updated": F.col("last_updated_utc").isNull(), "missing pm_no": F.col("pm_no").isNull(),
+        "bad start_date": _unparsed("START_DATE", "start_date"), "bad valid_from": _unparsed("VALID_FROM", "valid_from"),
     }
-    latest = keep_latest(_finish(raw, columns, issues, strict), ["pm_no"], ["last_updated_utc"],
+    latest = keep_latest(_finish(typed, issues, strict, scratch), ["pm_no"], ["last_updated_utc"],
                          ["action_descr", "source_file"])
     return map_to_site(latest, erp_sites(sites), ERP_KEY)
 

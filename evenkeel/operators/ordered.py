@@ -21,7 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-RANGES = 128
+MOST_RANGES = 4096
+ROWS_PER_RANGE = 50_000
+COARSE = 64
 
 
 def _beside(left: DataFrame, right: DataFrame, on: list[str], small: bool) -> DataFrame:
@@ -37,34 +39,56 @@ def _beside(left: DataFrame, right: DataFrame, on: list[str], small: bool) -> Da
     return left.join(renamed, match, "left").drop(*names)
 
 
+def _with_group_value(left: DataFrame, right: DataFrame, keys: list[str], name: str, few: bool) -> DataFrame:
+    """One value per group beside the rows. For few groups it is a lookup in one
+    constant map, so that an array is not copied into every row by a join."""
+    if keys and few:
+        entries = F.collect_list(F.struct(F.struct(*keys).alias("key"), F.col(name).alias("value")))
+        table = right.agg(F.map_from_entries(entries).alias("_map")).scalar()
+        return left.withColumn(name, F.element_at(table, F.struct(*keys)))
+    return _beside(left, right.select(*keys, name), keys, False)
+
+
+def _cuts_below(cuts: str, key: str) -> Column:
+    """How many of the sorted cut points lie below the key: first in steps of
+    ``COARSE``, then one by one inside the step."""
+    whole = F.sequence(F.lit(0), F.floor((F.size(cuts) - 1) / COARSE).cast("int"))
+    steps = F.size(F.filter(whole, lambda i: F.get(cuts, i * COARSE) < F.col(key)))
+    start = F.greatest(steps - 1, F.lit(0)) * COARSE
+    inside = F.size(F.filter(F.slice(F.col(cuts), start + 1, F.lit(COARSE)), lambda cut: cut < F.col(key)))
+    few = F.size(F.filter(cuts, lambda cut: cut < F.col(key)))
+    count = F.when(F.size(cuts) <= COARSE, few).otherwise(start + inside)
+    return F.when(F.coalesce(F.size(cuts), F.lit(0)) > 0, count).otherwise(F.lit(0))
+
+
 def running_totals(
     df: DataFrame,
     order: Sequence[Column],
     measures: Mapping[str, Column],
     groups: Sequence[str] = (),
     few_groups: bool = False,
-    ranges: int = RANGES,
 ) -> DataFrame:
     """Add ``cum_<m>`` (sum up to and including the row) and ``total_<m>``.
 
     ``order`` is ascending (negate a number to sort it downwards) and must be
     unique within a group. Set ``few_groups`` when the number of groups is bounded
-    by the caller (a fixed list of labels), which lets the per-group cut points be
-    broadcast; otherwise the join is left to adaptive execution, which splits a
-    skewed side.
+    by the caller (a fixed list of labels), which lets what is known per group
+    travel as a constant; otherwise the joins are left to adaptive execution,
+    which splits a skewed side.
     """
     keys = list(groups)
     small = few_groups or not groups
-    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+    key = order[0] if len(order) == 1 else F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
     base = df.withColumns({"_key": key, **{f"_m_{m}": c for m, c in measures.items()}})
 
     sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    step = F.greatest(F.lit(1).cast("bigint"), F.floor(F.col("_n") / ranges))
-    drawn = _beside(base.select(*keys, "_key"), sizes, keys, small).where(F.pmod(F.xxhash64("_key"), step) == 0)
-    # about `ranges` keys a group by construction
-    cuts = drawn.groupBy(*keys).agg(F.sort_array(F.collect_list("_key")).alias("_cuts"))
-    below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_key")))
-    ranged = _beside(base, cuts, keys, small).withColumn("_range", F.coalesce(below, F.lit(0))).drop("_cuts")
+    step = F.greatest(F.lit(ROWS_PER_RANGE).cast("bigint"), F.floor(F.col("_n") / MOST_RANGES))
+    drawn = _with_group_value(base.select(*keys, "_key"), sizes, keys, "_n", small)
+    # at most about MOST_RANGES keys a group by construction
+    cuts = drawn.where(F.pmod(F.xxhash64("_key"), step) == 0).groupBy(*keys).agg(
+        F.sort_array(F.collect_list("_key")).alias("_cuts"))
+    ranged = _with_group_value(base, cuts, keys, "_cuts", small)
+    ranged = ranged.withColumn("_range", _cuts_below("_cuts", "_key")).drop("_cuts")
 
     sums = ranged.groupBy(*keys, "_range").agg(*[F.sum(f"_m_{m}").alias(f"_s_{m}") for m in measures])
     within = W.partitionBy(*keys)
