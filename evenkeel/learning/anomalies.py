@@ -25,7 +25,7 @@ EULER_GAMMA = 0.5772156649015329
 TREES_PER_TASK = 20
 # executors need not have this package: its functions travel with the tasks
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
-TREE_SCHEMA = "tree INT, split_on ARRAY<INT>, split_at ARRAY<DOUBLE>, low INT, child ARRAY<INT>, depth_at ARRAY<DOUBLE>"
+BLOCK_SCHEMA = "trees INT, sample_rows INT, split_on ARRAY<INT>, split_at ARRAY<DOUBLE>, child ARRAY<INT>, depth_at ARRAY<DOUBLE>"
 
 
 def mean_path(n: int | np.ndarray) -> np.ndarray:
@@ -35,30 +35,54 @@ def mean_path(n: int | np.ndarray) -> np.ndarray:
     return np.where(n > 2, big, np.where(n == 2, 1.0, 0.0))
 
 
-def _grow(x: np.ndarray, rng: np.random.Generator) -> tuple[list, list, list, list]:
-    """One isolation tree as flat lists; a leaf has split −1, children sit side by side."""
-    limit = math.ceil(math.log2(max(len(x), 2)))
-    on, at, child, depth_at = [-1], [0.0], [0], [0.0]
-    todo = [(0, np.arange(len(x)), 0)]
-    while todo:
-        node, rows, depth = todo.pop()
-        part = x[rows]
-        low, high = part.min(axis=0), part.max(axis=0)
-        varies = np.flatnonzero(high > low)
-        if depth >= limit or len(rows) <= 1 or len(varies) == 0:
-            depth_at[node] = depth + float(mean_path(len(rows)))
-            continue
-        feature = int(rng.choice(varies))
-        cut = float(rng.uniform(low[feature], high[feature]))
-        first = len(on)
-        on[node], at[node], child[node] = feature, cut, first
-        for _ in range(2):
-            on.append(-1), at.append(0.0), child.append(0), depth_at.append(0.0)
-        below = part[:, feature] < cut
-        todo += [(first, rows[below], depth + 1), (first + 1, rows[~below], depth + 1)]
+def _grow(x: np.ndarray, tree: np.ndarray, trees: int, rng: np.random.Generator) -> tuple[np.ndarray, ...]:
+    """Isolation trees over rows labelled with their tree, all grown level by level.
+
+    Nodes sit in one table whose first ``trees`` entries are the roots; a leaf has
+    split −1 and its expected depth, an inner node the index of its lower child.
+    """
+    limit = math.ceil(math.log2(max(np.bincount(tree, minlength=trees).max(), 2)))
+    on, at, child = np.full(trees, -1), np.zeros(trees), np.zeros(trees, dtype=int)
+    depth_at = np.zeros(trees)
+    node = tree.copy()
+    for depth in range(limit + 1):
+        order = np.argsort(node, kind="stable")
+        x, node = x[order], node[order]
+        here, starts, counts = np.unique(node, return_index=True, return_counts=True)
+        low, high = np.minimum.reduceat(x, starts, axis=0), np.maximum.reduceat(x, starts, axis=0)
+        varies = high > low
+        inner = (counts > 1) & varies.any(axis=1) & (depth < limit)
+        depth_at[here[~inner]] = depth + mean_path(counts[~inner])
+        if not inner.any():
+            break
+        lottery = rng.random(varies.shape)
+        feature = np.where(varies, lottery, -1.0).argmax(axis=1)
+        lines = np.arange(len(here))
+        cut = low[lines, feature] + rng.random(len(here)) * (high[lines, feature] - low[lines, feature])
+        first = len(on) + 2 * (np.cumsum(inner) - 1)
+        on[here[inner]], at[here[inner]], child[here[inner]] = feature[inner], cut[inner], first[inner]
+        fresh = 2 * int(inner.sum())
+        on, at = np.append(on, np.full(fresh, -1)), np.append(at, np.zeros(fresh))
+        child, depth_at = np.append(child, np.zeros(fresh, dtype=int)), np.append(depth_at, np.full(fresh, depth + 1.0))
+        place = np.repeat(lines, counts)
+        goes_on = inner[place]
+        x, place = x[goes_on], place[goes_on]
+        node = first[place] + (x[np.arange(len(x)), feature[place]] >= cut[place])
     return on, at, child, depth_at
 
 
+def _depths(x: np.ndarray, trees: int, on: np.ndarray, at: np.ndarray, child: np.ndarray, depth_at: np.ndarray) -> np.ndarray:
+    """Summed expected depth of each row over a block of trees."""
+    node = np.tile(np.arange(trees), (len(x), 1))
+    lines = np.broadcast_to(np.arange(len(x))[:, None], node.shape)
+    inner = on[node] >= 0
+    while inner.any():
+        here = node[inner]
+        node[inner] = child[here] + (x[lines[inner], on[here]] >= at[here])
+        inner = on[node] >= 0
+    return depth_at[node].sum(axis=1)
+
+
 def isolation_forest(df: DataFrame, site: str, identifier: str, features: Sequence[str], trees: int = TREES,
                      sample: int = SAMPLE, contamination: float = CONTAMINATION, seed: int = SEED,
                      least_rows: int = LEAST_ROWS, blocks: int = 1) -> DataFrame:
@@ -84,35 +108,26 @@ def isolation_forest(df: DataFrame, site: str, identifier: str, features: Sequen
     drawn = drawn.withColumn("_pick", F.row_number().over(order)).where(F.col("_pick") <= sample)
 
     def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for tree, part in pdf.groupby("tree"):
-            part = part.sort_values("_pick")
-            rng = np.random.default_rng([seed, int(tree)])
-            on, at, child, depth_at = _grow(part[features].to_numpy(float), rng)
-            out.append((key[0], int(tree), on, at, len(part), child, depth_at))
-        names = [site, "tree", "split_on", "split_at", "low", "child", "depth_at"]
-        return pd.DataFrame(out, columns=names)
+        pdf = pdf.sort_values(["tree", "_pick"])
+        names, local = np.unique(pdf["tree"], return_inverse=True)
+        rng = np.random.default_rng([seed, int(key[1])])
+        table = _grow(pdf[features].to_numpy(float), local, len(names), rng)
+        rows = int(np.bincount(local).max())
+        return pd.DataFrame([(key[0], len(names), rows, *(c.tolist() for c in table))], columns=[
+            site, "trees", "sample_rows", "split_on", "split_at", "child", "depth_at"])
 
     kind = dict(df.dtypes)[site]
     grown = drawn.withColumn("_task", F.floor(F.col("tree") / TREES_PER_TASK)).groupBy(site, "_task").applyInPandas(
-        grow, f"`{site}` {kind}, {TREE_SCHEMA}")
+        grow, f"`{site}` {kind}, {BLOCK_SCHEMA}")
 
     def score(pdf: pd.DataFrame, forest: pd.DataFrame) -> pd.DataFrame:
         x = pdf[features].to_numpy(float)
         depth = np.zeros(len(x))
-        lines = np.arange(len(x))
-        for on, at, child, depth_at in zip(forest["split_on"], forest["split_at"], forest["child"], forest["depth_at"]):
-            on, at, child, depth_at = map(np.asarray, (on, at, child, depth_at))
-            node = np.zeros(len(x), dtype=int)
-            inner = on[node] >= 0
-            while inner.any():
-                here = node[inner]
-                right = x[lines[inner], on[here]] >= at[here]
-                node[inner] = child[here] + right
-                inner = on[node] >= 0
-            depth += depth_at[node]
-        typical = float(mean_path(int(forest["low"].max()))) if len(forest) else 1.0
-        values = -np.power(2.0, -(depth / max(len(forest), 1)) / max(typical, 1e-12))
+        for b in forest.itertuples():
+            depth += _depths(x, b.trees, *map(np.asarray, (b.split_on, b.split_at, b.child, b.depth_at)))
+        grown_trees = max(int(forest["trees"].sum()), 1)
+        typical = max(float(mean_path(int(forest["sample_rows"].max()))), 1e-12) if len(forest) else 1.0
+        values = -np.power(2.0, -(depth / grown_trees) / typical)
         return pd.DataFrame({site: pdf[site], identifier: pdf[identifier], "anomaly_score": values})
 
     block = F.pmod(F.xxhash64(identifier), F.lit(blocks))

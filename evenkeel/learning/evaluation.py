@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 
 from evenkeel.functions import equal_bin
 from evenkeel.operators.ordered import row_numbers, running_totals
+from evenkeel.session import durable
 
 # --- fixed values: shares of the backlog a crew can act on -----------------------
 CAPACITY_FRACTIONS = (0.05, 0.10, 0.20, 0.30)
@@ -79,8 +80,12 @@ def precision_at_k(scored: DataFrame, score: str, label: str, identifier: str,
     wide = r.groupBy(*groups).agg(*[c for f in fractions for c in at(f)])
     edges = wide.select(*groups, F.inline(F.array(*[
         F.struct(F.lit(float(f)).alias("k_frac"), *[F.col(f"`{n}_{f}`").alias(n) for n in names]) for f in fractions])))
+    if few_groups or not groups:
+        # len(fractions) rows a group: found now, so the totals are not worked out twice
+        edges = scored.sparkSession.createDataFrame(edges.collect(), edges.schema)
+    else:
+        edges = durable(edges)
     split = edges.where("need < edge_n").select(*groups, "k_frac", "edge", "need")
-    split = F.broadcast(split) if few_groups or not groups else split  # len(fractions) rows a group
     rows = scored.select(*groups, F.col(score).cast("double").alias("_s"), F.col(identifier).alias("_id"),
                          F.col(label).cast("bigint").alias("_y"))
     renamed = split.withColumnsRenamed({g: f"_g_{g}" for g in groups})
