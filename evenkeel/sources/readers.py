@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from evenkeel.functions import cp1252_from_latin1, delimiter_of, has_mojibake, is_null_literal
 from evenkeel.sources.contracts import OCCUPANCY_SCHEMA, PROPERTY_SCHEMA
 
-UTF8_BOM_AS_LATIN1 = "ï»¿"
 SIDE_FILES = r"(\.meta\.json|^_manifest\.json)$"
 
 
 def _lines(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
-    """Every line of every file as Latin-1 text, which keeps each byte as it is."""
-    reader = spark.read.option("encoding", "ISO-8859-1").option("recursiveFileLookup", "true")
+    """Every line of every file. The text source copies bytes without decoding
+    them (but for a byte-order mark, which it drops), so lines may be invalid UTF-8."""
+    reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.text(path).select(
@@ -24,25 +24,25 @@ def _lines(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("_at"))
 
 
+def _decoded(value: str, utf8: Column) -> Column:
+    latin1 = F.decode(F.col(value).cast("binary"), "ISO-8859-1")
+    text = F.when(utf8, F.col(value)).otherwise(cp1252_from_latin1(latin1))
+    return F.regexp_replace(F.ltrim(text, F.lit("\ufeff")), "\r$", "")
+
+
 def csv_dialects(spark: SparkSession, path: str, glob: str | None = "*.csv") -> DataFrame:
     """One row a file: encoding, delimiter, header and data lines, from one scan.
 
-    UTF-8 if every line is valid UTF-8 (with or without a byte-order mark), else
-    Windows-1252. A UTF-8 file whose text shows mojibake is read as Windows-1252
-    too, as its bytes then come out no worse.
+    UTF-8 if every line is valid UTF-8 (a byte-order mark is dropped on reading),
+    else Windows-1252.
     """
-    lines = _lines(spark, path, glob)
-    as_bytes = F.encode("value", "ISO-8859-1")
-    per_file = lines.groupBy("file_path", "file_name").agg(
-        F.min_by("value", "_at").alias("_header"), F.bool_and(F.is_valid_utf8(as_bytes.cast("string"))).alias("_utf8"),
+    per_file = _lines(spark, path, glob).groupBy("file_path", "file_name").agg(
+        F.min_by("value", "_at").alias("_header"), F.bool_and(F.is_valid_utf8("value")).alias("_utf8"),
         (F.count(F.lit(1)) - 1).alias("data_lines"))
-    bom = F.col("_header").startswith(UTF8_BOM_AS_LATIN1)
-    encoding = F.when(bom, "utf-8-sig").when(F.col("_utf8"), "utf-8").otherwise("cp1252")
-    body = F.when(bom, F.substring("_header", len(UTF8_BOM_AS_LATIN1) + 1, 1 << 20)).otherwise(F.col("_header"))
-    body = F.regexp_replace(body, "\r$", "")
-    decoded = F.when(F.col("_utf8"), F.decode(F.encode(body, "ISO-8859-1"), "UTF-8")).otherwise(cp1252_from_latin1(body))
-    return per_file.select("file_path", "file_name", encoding.alias("encoding"), decoded.alias("header"),
-                           delimiter_of(decoded).alias("delimiter"), "data_lines")
+    header = _decoded("_header", F.col("_utf8"))
+    return per_file.select(
+        "file_path", "file_name", F.when(F.col("_utf8"), "utf-8").otherwise("cp1252").alias("encoding"),
+        header.alias("header"), delimiter_of(header).alias("delimiter"), "data_lines")
 
 
 def read_erp_csv(spark: SparkSession, path: str, glob: str | None = "*.csv",
@@ -61,7 +61,7 @@ def read_erp_csv(spark: SparkSession, path: str, glob: str | None = "*.csv",
     parts = []
     for (charset, sep, header), files in groups.items():
         names = [h.strip().strip('"') for h in header.split(sep)]
-        utf8 = charset.startswith("utf-8")
+        utf8 = charset == "utf-8"
         schema = ", ".join(f"`{n}` STRING" for n in names)
         raw = (
             spark.read.schema(schema).option("header", "true").option("sep", sep).option("quote", '"')
@@ -123,9 +123,7 @@ def read_wide_csv(spark: SparkSession, path: str, identifier: str = "asset",
     heads = csv_dialects(spark, path, glob).select(
         F.col("file_path").alias("_path"), F.col("header").alias("_head"), "delimiter", "encoding")
     lines = _lines(spark, path, glob).join(heads, F.col("file_path") == F.col("_path"))
-    decoded = F.when(F.col("encoding").startswith("utf-8"), F.decode(F.encode("value", "ISO-8859-1"), "UTF-8")).otherwise(
-        cp1252_from_latin1("value"))
-    text = F.regexp_replace(F.ltrim(decoded, F.lit("\ufeff")), "\r$", "")
+    text = _decoded("value", F.col("encoding") == "utf-8")
 
     def cells(c: Column) -> Column:
         # a separator inside double quotes does not separate
