@@ -16,11 +16,10 @@ from evenkeel.sources.readers import read_table, row_counts
 
 
 def sites_of(t: Tables):
-    """A crosswalk in configuration shape: one site a nation, every fourth unmapped."""
+    """A crosswalk in configuration shape: one site a nation, one region unmapped."""
     n, r = t.read("nation"), t.read("region")
     key = F.col("n_nationkey")
-    mapped = key % 4 != 3
-    return n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).where(mapped).select(
+    return n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).where(F.col("r_name") != "ASIA").select(
         F.concat(F.lit("site_"), F.lower("n_name")).alias("site_id"), F.col("n_name").alias("display_name"),
         F.col("r_name").alias("customer_name"), F.lit(None).cast("string").alias("address"), F.col("r_name").alias("city"),
         F.when(key % 2 == 0, "FI").alias("country"), F.lit(None).cast("string").alias("timezone"),
@@ -30,8 +29,12 @@ def sites_of(t: Tables):
         F.col("n_name").alias("building_name"), key.alias("position"))
 
 
+def mapped_nations(t: Tables):
+    return t.read("nation").join(t.read("region").where("r_name <> 'ASIA'"), F.col("n_regionkey") == F.col("r_regionkey"))
+
+
 SITES_SQL = """SELECT 'site_' || lower(n_name) AS site_id, n_name, r_name, n_nationkey, n_regionkey
-  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 4 <> 3"""
+  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA'"""
 
 
 @query("conformed_alarms", "T1 S1 K3", f"""
@@ -191,13 +194,14 @@ def _(t: Tables):
 
 
 @query("unpivoted_dates", "T7", """
-SELECT asset, CAST(d AS DATE) AS utilization_date, CASE WHEN n > 0 THEN n + 0.5 END AS utilization_pct
-FROM (SELECT user_id AS asset, d, CAST(count(*) FILTER (WHERE CAST(ts AS DATE) = CAST(d AS DATE)) AS DOUBLE) AS n
-      FROM events JOIN (VALUES ('2024-01-01'), ('2024-01-02'), ('2024-01-03')) v(d) ON true GROUP BY 1, 2)""")
-def _(t: Tables):
-    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
-    n = lambda d: F.count_if(F.to_date("ts") == F.lit(d).cast("date"))
-    wide = t.read("events").groupBy(F.col("user_id").alias("asset")).agg(*[
+SELECT asset, d AS utilization_date, CASE WHEN n > 0 THEN n + 0.5 END AS utilization_pct
+FROM (SELECT u.user_id AS asset, d, CAST(count(e.event_id) AS DOUBLE) AS n FROM (SELECT DISTINCT user_id FROM events) u
+      CROSS JOIN (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events) LEFT JOIN events e ON e.user_id = u.user_id AND CAST(e.ts AS DATE) = d GROUP BY 1, 2)""")
+def _(t: Tables):
+    dated = t.read("events").select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("d"))
+    days = [r.d for r in dated.select("d").distinct().orderBy("d").collect()]  # the calendar: the wide table's header
+    n = lambda d: F.count_if(F.col("d") == d)
+    wide = dated.groupBy(F.col("user_id").alias("asset")).agg(*[
         F.when(n(d) > 0, F.concat(n(d).cast("string"), F.lit(".5"))).otherwise("n/a").alias(d) for d in days])
     return c.unpivot_wide_dates(wide, "asset", "utilization_date", "utilization_pct")
 
@@ -296,8 +300,7 @@ def _(t: Tables):
 WITH sites AS ({SITES_SQL})
 SELECT c_custkey, c_nationkey FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM sites)""")
 def _(t: Tables):
-    known = t.read("nation").where(F.col("n_nationkey") % 4 != 3)
-    return j.orphans(t.read("customer").select("c_custkey", "c_nationkey"), "c_nationkey", known, "n_nationkey")
+    return j.orphans(t.read("customer").select("c_custkey", "c_nationkey"), "c_nationkey", mapped_nations(t), "n_nationkey")
 
 
 @query("alarm_type_context", "J10 G16", """
@@ -325,10 +328,10 @@ def _(t: Tables):
 
 @query("labelled_orders", "J13", """
 SELECT o_orderkey, coalesce(n_name, CAST(c_nationkey AS VARCHAR)) AS display_name FROM orders JOIN customer ON o_custkey = c_custkey
-LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 4 <> 3) ON c_nationkey = n_nationkey""")
+LEFT JOIN (SELECT nation.* FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA') ON c_nationkey = n_nationkey""")
 def _(t: Tables):
     o = t.read("orders").join(t.read("customer"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
-    dim = t.read("nation").where(F.col("n_nationkey") % 4 != 3).select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("display_name"))
+    dim = mapped_nations(t).select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("display_name"))
     return j.with_labels(o, dim, "c_nationkey", "display_name").select("o_orderkey", "display_name")
 
 

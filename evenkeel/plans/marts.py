@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from evenkeel.functions import (
     ALARM_SEVERITY, INCIDENT_SEVERITY, code_lookup, first_weekday_of_month, matches_class, prefixed_id, severity_of,
@@ -74,6 +75,35 @@ def open_order_rows(orders: DataFrame, started: str = "work_started_at_utc", fin
     return count(dated, ["site_id"], "_from", "_to", "signal_date", "open_work_orders")
 
 
+def work_order_rows(orders: DataFrame, started: str = "work_started_at_utc",
+                    finished: str = "work_finished_at_utc") -> DataFrame:
+    """Open orders and violations per site and day from one pass over the orders.
+
+    An order is a step up on its start day, a step down the day after its finish,
+    and a violation on its finish day. Steps are combined per site and day on the
+    map side; the running sum sees at most one row a site and day. A run of days
+    with open orders is spelt out, a violation stays on its own day.
+    """
+    first, last = F.to_date(started), F.to_date(finished)
+    valid = first <= last
+    step = lambda day, up, bad: F.struct(day.alias("_day"), F.lit(up).cast("bigint").alias("_step"),
+                                         F.lit(bad).cast("bigint").alias("_bad"))
+    steps = F.array_compact(F.array(
+        F.when(valid, step(first, 1, 0)), F.when(valid, step(F.date_add(last, 1), -1, 0)),
+        F.when(F.col("is_sla_violation") & last.isNotNull(), step(last, 0, 1))))
+    changes = orders.where(F.col("site_id").isNotNull()).select("site_id", F.inline(steps)).groupBy("site_id", "_day").agg(
+        F.sum("_step").alias("_step"), F.sum("_bad").alias("_bad"))
+    along = W.partitionBy("site_id").orderBy("_day")
+    runs = changes.select(
+        "site_id", "_day", "_bad", F.sum("_step").over(along.rowsBetween(W.unboundedPreceding, 0)).alias("open_work_orders"),
+        F.lead("_day").over(along).alias("_next"))
+    days = F.when(F.col("open_work_orders") > 0, F.sequence("_day", F.date_sub("_next", 1))).otherwise(F.array("_day"))
+    spelt = runs.where("open_work_orders > 0 OR _bad > 0").select(
+        "site_id", F.explode(days).alias("signal_date"), "open_work_orders", "_day", "_bad")
+    return spelt.select("site_id", "signal_date", "open_work_orders",
+                        F.when(F.col("signal_date") == F.col("_day"), F.col("_bad")).otherwise(F.lit(0)).alias("sla_violations"))
+
+
 def reading_rows(readings: DataFrame, means: Mapping[str, str] = METRIC_MEANS, sums: Mapping[str, str] = METRIC_SUMS,
                  time: str = "timestamp_utc") -> DataFrame:
     """All metrics in one pass; rows of other metrics are filtered at the scan."""
@@ -128,7 +158,7 @@ def daily_signals(alarms: DataFrame | None = None, orders: DataFrame | None = No
     if alarms is not None:
         parts.append(alarm_rows(alarms, **pick("fire", "hvac", "fire_priority")))
     if orders is not None:
-        parts += [violation_rows(orders), open_order_rows(orders)]
+        parts.append(work_order_rows(orders))
     if readings is not None:
         parts.append(reading_rows(readings, **pick("means", "sums")))
     if use is not None:
