@@ -145,10 +145,10 @@ def robust_z(df: DataFrame, site: str, features: Sequence[str], name: str = "bas
 
     Groups are a site's days, so the two medians' buffers are bounded.
     """
-    middle = df.groupBy(site).agg(*[F.percentile(f, F.lit(0.5)).alias(f"_m_{f}") for f in features])
-    away = df.join(middle, site).withColumns({f"_d_{f}": F.abs(F.col(f) - F.col(f"_m_{f}")) for f in features})
-    spread = away.groupBy(site).agg(*[F.percentile(f"_d_{f}", F.lit(0.5)).alias(f"_s_{f}") for f in features])
-    out = away.join(spread, site)
+    own = W.partitionBy(site)
+    middle = {f"_m_{f}": F.percentile(f, F.lit(0.5)).over(own) for f in features}
+    away = df.withColumns(middle).withColumns({f"_d_{f}": F.abs(F.col(f) - F.col(f"_m_{f}")) for f in features})
+    out = away.withColumns({f"_s_{f}": F.percentile(f"_d_{f}", F.lit(0.5)).over(own) for f in features})
     z = [F.col(f"_d_{f}") / (F.when(F.col(f"_s_{f}") == 0, F.lit(1e-6)).otherwise(F.col(f"_s_{f}")) * MAD_TO_SIGMA)
          for f in features]
     largest = z[0] if len(z) == 1 else F.greatest(*z)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from evenkeel.functions import probability_label
 from evenkeel.learning.evaluation import classification_metrics
 from evenkeel.operators.joins import rate_lookup
+from evenkeel.operators.ordered import exact_quantiles
 from evenkeel.plans.features import cutoff_split
 from evenkeel.session import durable
 
@@ -228,8 +229,6 @@ def varying_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def impute_median(df: DataFrame, columns: Sequence[str], fitted_on: DataFrame | None = None) -> DataFrame:
     """Fill gaps with the exact medians of ``fitted_on`` (default: the rows themselves)."""
-    from evenkeel.operators.ordered import exact_quantiles
-
     base = df if fitted_on is None else fitted_on
-    return df.withColumns({
-        c: F.coalesce(F.col(c).cast("double"), exact_quantiles(base, c, {"m": 0.5}).scalar()) for c in columns})
+    medians = {c: exact_quantiles(base, c, {"m": 0.5}).first()["m"] for c in columns}
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(m).cast("double")) for c, m in medians.items()})

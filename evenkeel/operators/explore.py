@@ -92,23 +92,24 @@ def distribution(df: DataFrame, value: str, fractions: Mapping[str, float], grou
         F.min(column).alias("min"), F.max(column).alias("max"))
     quantiles = exact_quantiles(df, value, fractions, groups, few_groups)
     if not groups:
-        return moments.withColumns({f: quantiles.select(f).scalar() for f in fractions})
+        found = quantiles.first()
+        return moments.withColumns({f: F.lit(found[f]).cast("double") for f in fractions})
     return moments.join(quantiles, list(groups), "left")
 
 
 def cap_by_quantile(df: DataFrame, value: str, fraction: float = 0.95, low: float | None = None,
                     drop: bool = True) -> DataFrame:
     """Rows up to the value's own quantile (``drop``), or values clipped to it."""
-    wanted = {"_high": fraction} | ({"_low": low} if low is not None else {})
-    cuts = exact_quantiles(df, value, wanted)
-    high = cuts.select("_high").scalar()
-    floor = cuts.select("_low").scalar() if low is not None else None
+    wanted = {"high": fraction} | ({"low": low} if low is not None else {})
+    # one row to the driver: as literals the cuts reach the scan
+    cuts = exact_quantiles(df, value, wanted).first()
+    column, high = F.col(value), F.lit(cuts["high"])
     if drop:
-        kept = df.where(F.col(value) <= high)
-        return kept if floor is None else kept.where(F.col(value) >= floor)
-    bounded = F.least(F.col(value), high)
-    bounded = bounded if floor is None else F.greatest(bounded, floor)
-    return df.withColumn(value, F.when(F.col(value).isNotNull(), bounded))
+        kept = df.where(column <= high)
+        return kept if low is None else kept.where(column >= F.lit(cuts["low"]))
+    bounded = F.least(column, high)
+    bounded = bounded if low is None else F.greatest(bounded, F.lit(cuts["low"]))
+    return df.withColumn(value, F.when(column.isNotNull(), bounded))
 
 
 def pivot_counts(df: DataFrame, keys: Sequence[str], column: str, values: Sequence[str], prefix: str = "") -> DataFrame:

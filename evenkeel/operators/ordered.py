@@ -1,11 +1,12 @@
-"""Exact order statistics without putting a group into one task.
+"""Exact order statistics without putting a large group into one task.
 
 A window ordered over a whole table, or over a group that holds a third of it,
-runs in one task. Here the order is cut into ranges instead: a deterministic
-sample of the keys gives the cut points, every row gets the number of its range,
-range totals (a few hundred rows a group) become offsets, and the running sum is
-taken inside each range. The answer does not depend on which cut points were
-drawn, only the balance does.
+runs in one task. Groups are therefore counted first (one job, one number to the
+driver). If the largest is small, that window is used. If not, the order is cut
+into ranges: a deterministic sample of the keys gives the cut points, every row
+gets the number of its range, range totals (a few thousand rows a group) become
+offsets, and the running sum is taken inside each range. The answer does not
+depend on which cut points were drawn, only the balance does.
 
 Keys must come out the same whenever a task is re-run. A key computed from a
 floating-point sum over a shuffle is not; pass such input through
@@ -21,8 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+ROWS_PER_RANGE = 1_000_000  # one task sorts this many rows at ease
 MOST_RANGES = 4096
-ROWS_PER_RANGE = 50_000
 COARSE = 64
 
 
@@ -80,28 +81,35 @@ def running_totals(
     small = few_groups or not groups
     key = order[0] if len(order) == 1 else F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
     base = df.withColumns({"_key": key, **{f"_m_{m}": c for m, c in measures.items()}})
+    scratch = ["_key", *[f"_m_{m}" for m in measures]]
 
     sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    step = F.greatest(F.lit(ROWS_PER_RANGE).cast("bigint"), F.floor(F.col("_n") / MOST_RANGES))
-    drawn = _with_group_value(base.select(*keys, "_key"), sizes, keys, "_n", small)
-    # at most about MOST_RANGES keys a group by construction
-    cuts = drawn.where(F.pmod(F.xxhash64("_key"), step) == 0).groupBy(*keys).agg(
+    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    group = W.partitionBy(*keys)
+    if largest <= ROWS_PER_RANGE:
+        upto = group.orderBy("_key").rowsBetween(W.unboundedPreceding, 0)
+        return base.withColumns({
+            **{f"cum_{m}": F.sum(f"_m_{m}").over(upto) for m in measures},
+            **{f"total_{m}": F.sum(f"_m_{m}").over(group) for m in measures}}).drop(*scratch)
+
+    # one key in `step` becomes a cut point: at most about MOST_RANGES a group
+    step = max(ROWS_PER_RANGE, largest // MOST_RANGES)
+    cuts = base.where(F.pmod(F.xxhash64("_key"), F.lit(step)) == 0).groupBy(*keys).agg(
         F.sort_array(F.collect_list("_key")).alias("_cuts"))
     ranged = _with_group_value(base, cuts, keys, "_cuts", small)
     ranged = ranged.withColumn("_range", _cuts_below("_cuts", "_key")).drop("_cuts")
 
     sums = ranged.groupBy(*keys, "_range").agg(*[F.sum(f"_m_{m}").alias(f"_s_{m}") for m in measures])
-    within = W.partitionBy(*keys)
-    before = within.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    before = group.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = sums.select(
         *keys, "_range",
         *[F.coalesce(F.sum(f"_s_{m}").over(before), F.lit(0)).alias(f"_o_{m}") for m in measures],
-        *[F.sum(f"_s_{m}").over(within).alias(f"total_{m}") for m in measures],
+        *[F.sum(f"_s_{m}").over(group).alias(f"total_{m}") for m in measures],
     )
     local = W.partitionBy(*keys, "_range").orderBy("_key").rowsBetween(W.unboundedPreceding, 0)
     out = _beside(ranged, offsets, [*keys, "_range"], small)
     out = out.withColumns({f"cum_{m}": F.col(f"_o_{m}") + F.sum(f"_m_{m}").over(local) for m in measures})
-    return out.drop("_key", "_range", *[f"_m_{m}" for m in measures], *[f"_o_{m}" for m in measures])
+    return out.drop("_range", *scratch, *[f"_o_{m}" for m in measures])
 
 
 def row_numbers(df: DataFrame, order: Sequence[Column], groups: Sequence[str] = (),
@@ -142,44 +150,23 @@ def exact_quantiles(df: DataFrame, value: str, fractions: Mapping[str, float],
     ])
 
 
-def _edge_of_rank(df: DataFrame, order: Column, identifier: str, rank: Column) -> tuple[DataFrame, DataFrame]:
-    """The order value at a rank with how many of its rows still fit, and the rows
-    as (order, id). ``rank`` may use ``total_rows``.
-
-    Order values are counted first, so a value shared by a third of the rows is
-    one row here.
-    """
-    keyed = df.select(order.alias("_order"), F.col(identifier).alias("_id"))
-    counts = keyed.groupBy("_order").agg(F.count(F.lit(1)).alias("_rows"))
-    ranked = running_totals(counts, [F.col("_order")], {"rows": F.col("_rows")})
-    before = F.col("cum_rows") - F.col("_rows")
-    edge = ranked.where((F.col("cum_rows") >= rank) & (before < rank)).select(
-        "_order", (rank - before).cast("bigint").alias("_need"))
-    return edge, keyed
-
-
-def cut_at_rank(df: DataFrame, order: Column, identifier: str, rank: Column) -> Column:
+def cut_at_rank(df: DataFrame, order: str, identifier: str, rank: Column) -> Column:
     """Condition true for the first ``rank`` rows by (``order``, ``identifier``).
 
-    Only the rows that tie at the cut are numbered by identifier. The cut comes
-    back as scalar subqueries, so the table itself is neither joined nor shuffled.
+    ``rank`` may use ``total_rows``. Order values are counted first, so a value
+    shared by a third of the rows is one row, and only rows that tie at the cut are
+    numbered by identifier. Two values come to the driver; the condition is made of
+    literals, so the table is neither joined nor shuffled and scans push it down.
     """
-    edge, keyed = _edge_of_rank(df, order, identifier, rank)
-    at = edge.select("_order").scalar()
-    ties = row_numbers(keyed.where(F.col("_order") == at).select("_id"), [F.col("_id")])
-    last = ties.where(F.col("row_number") == edge.select("_need").scalar()).select("_id").scalar()
-    return (order < at) | ((order == at) & (F.col(identifier) <= last))
-
-
-def cut_at_rank_now(df: DataFrame, order: str, identifier: str, rank: Column) -> Column:
-    """``cut_at_rank`` evaluated at once: two values come to the driver, and the
-    condition is made of literals that every later scan can push down."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    edge, keyed = _edge_of_rank(df, F.col(order), identifier, rank)
-    found = edge.first()
-    if found is None:
+    counts = df.groupBy(order).agg(F.count(F.lit(1)).alias("_rows"))
+    ranked = running_totals(counts, [F.col(order)], {"rows": F.col("_rows")})
+    before = F.col("cum_rows") - F.col("_rows")
+    edge = ranked.where((F.col("cum_rows") >= rank) & (before < rank)).select(
+        order, (rank - before).cast("bigint").alias("_need")).first()
+    if edge is None:
         return F.lit(False)
-    at = F.lit(found["_order"]).cast(types[order])
-    ties = row_numbers(keyed.where(F.col("_order") == at).select("_id"), [F.col("_id")])
-    last = F.lit(ties.where(F.col("row_number") == found["_need"]).first()["_id"]).cast(types[identifier])
+    at = F.lit(edge[order]).cast(types[order])
+    ties = row_numbers(df.where(F.col(order) == at).select(identifier), [F.col(identifier)])
+    last = F.lit(ties.where(F.col("row_number") == edge["_need"]).first()[identifier]).cast(types[identifier])
     return (F.col(order) < at) | ((F.col(order) == at) & (F.col(identifier) <= last))

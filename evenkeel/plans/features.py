@@ -6,12 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from evenkeel.functions import (
     elapsed_days, elapsed_hours, is_weekend, iso_weekday, known_or_unknown, presence_flag,
 )
 from evenkeel.operators.joins import day_context
-from evenkeel.operators.ordered import cut_at_rank, cut_at_rank_now
+from evenkeel.operators.ordered import cut_at_rank
 
 # --- fixed values: feature lists -------------------------------------------------
 TARGET = "is_sla_violation"
@@ -97,22 +98,16 @@ def intake_features(orders: DataFrame, rolling: DataFrame | None = None) -> Data
         F.col(TARGET).cast("int").alias(TARGET))
 
 
-def _train_rank(test_fraction: float) -> Column:
-    return F.rint(F.col("total_rows") * F.lit(1.0 - test_fraction)).cast("bigint")
-
-
 def train_rows(df: DataFrame, timestamp: str, identifier: str, test_fraction: float = 0.2) -> Column:
     """Condition: among the earliest ``round(n · (1 − f))`` rows by (time, id)."""
-    return cut_at_rank(df, F.col(timestamp), identifier, _train_rank(test_fraction))
+    rank = F.rint(F.col("total_rows") * F.lit(1.0 - test_fraction)).cast("bigint")
+    return cut_at_rank(df, timestamp, identifier, rank)
 
 
 def time_split(df: DataFrame, timestamp: str = TIMESTAMP, identifier: str = "wo_no",
                test_fraction: float = 0.2) -> tuple[DataFrame, DataFrame]:
-    """Earliest rows train, the most recent fraction tests; together all rows.
-
-    The cut is found now, once: training reads its rows many times.
-    """
-    early = cut_at_rank_now(df, timestamp, identifier, _train_rank(test_fraction))
+    """Earliest rows train, the most recent fraction tests; together all rows."""
+    early = train_rows(df, timestamp, identifier, test_fraction)
     return df.where(early), df.where(~early)
 
 
@@ -139,14 +134,15 @@ def site_feature_matrix(daily: DataFrame, features: Sequence[str], site: str = "
     A feature a site lacks is null in all of its rows; ``usable`` lists the rest.
     Groups are a site's days, so the median's buffer is bounded by the calendar.
     """
-    stats = daily.groupBy(site).agg(
-        *[F.avg(F.col(f).isNotNull().cast("double")).alias(f"_share_{f}") for f in features],
-        *[F.percentile(F.col(f).cast("double"), F.lit(0.5)).alias(f"_med_{f}") for f in features])
-    joined = daily.select(site, date, *features).join(stats, site)
+    own = W.partitionBy(site)
+    value = {f: F.col(f).cast("double") for f in features}
+    stats = daily.select(
+        site, date, *features,
+        *[F.avg(F.col(f).isNotNull().cast("double")).over(own).alias(f"_share_{f}") for f in features],
+        *[F.percentile(value[f], F.lit(0.5)).over(own).alias(f"_med_{f}") for f in features])
     kept = {f: (F.col(f"_share_{f}") >= keep_above) & F.col(f"_med_{f}").isNotNull() for f in features}
-    return joined.select(
-        site, date,
-        *[F.when(kept[f], F.coalesce(F.col(f).cast("double"), F.col(f"_med_{f}"))).alias(f) for f in features],
+    return stats.select(
+        site, date, *[F.when(kept[f], F.coalesce(value[f], F.col(f"_med_{f}"))).alias(f) for f in features],
         F.array_compact(F.array(*[F.when(kept[f], F.lit(f)) for f in features])).alias("usable"))
 
 
