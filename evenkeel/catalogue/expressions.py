@@ -116,12 +116,12 @@ def _(t: Tables):
 
 
 @query("file_name_parts", "C13 S11 K5", """
-SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'Aurora House' ELSE 'Horizon Plaza' END AS building,
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'North House' ELSE 'South Plaza' END AS building,
        CASE WHEN o_orderkey % 3 = 0 THEN 'normalized' ELSE 'raw_count' END AS kind, CAST(o_orderdate AS DATE) AS range_end,
        CAST(o_orderdate AS DATE) AS export_date FROM orders""")
 def _(t: Tables):
     even, d = F.col("o_orderkey") % 2 == 0, F.col("o_orderdate")
-    stem = F.when(even, "Aurora_House_").otherwise("Horizon_Plaza_")
+    stem = F.when(even, "North_House_").otherwise("South_Plaza_")
     dated = F.when(even, F.date_format(d, "yyyy-MM-dd")).otherwise(F.date_format(d, "yyyyMMdd"))
     name = F.concat(stem, dated, F.lit("_1"), F.when(F.col("o_orderkey") % 3 == 0, "-normalized").otherwise(""), F.lit(".json"))
     wide = F.concat(F.lit("Room_Utilization_010190-"), F.date_format(d, "ddMMyy"), F.lit(".csv"))
@@ -129,7 +129,7 @@ def _(t: Tables):
     end = x.range_end_of_file(wide)
     end = F.when(F.year(end) > F.year(d), F.add_months(end, -1200)).otherwise(end)
     return t.read("orders").select(
-        "o_orderkey", x.building_of_file(name, ["Aurora House", "Horizon Plaza"]).alias("building"),
+        "o_orderkey", x.building_of_file(name, ["North House", "South Plaza"]).alias("building"),
         x.occupancy_kind_of_file(name).alias("kind"), end.alias("range_end"),
         x.file_export_date(name, F.current_date()).alias("export_date"))
 

@@ -26,8 +26,8 @@ SMALL = {"trees": 10, "depth": 4}
 @query("creation_features", "M1 J4 M3 C28", """
 SELECT wo_no, work_started_at_utc, is_sla_violation, work_type_eng, work_order_type, contract_type, coalesce(assignment_type, 'unknown') AS assignment_type,
        coalesce(CAST(priority_id AS VARCHAR), 'unknown') AS priority_id_str, w.site_id, CAST(is_subcontractor_work AS INT) AS is_subcontractor_work,
-       CAST(is_invoicable AS INT) AS is_invoicable, CAST(month(work_started_at_utc) AS BIGINT) AS start_month, CAST(isodow(work_started_at_utc) AS BIGINT) AS start_weekday,
-       CAST(isodow(work_started_at_utc) >= 6 AS INT) AS start_is_weekend, CAST(year(work_started_at_utc) AS BIGINT) AS start_year,
+       CAST(is_invoicable AS INT) AS is_invoicable, CAST(month(work_started_at_utc) AS INTEGER) AS start_month, CAST(isodow(work_started_at_utc) AS INTEGER) AS start_weekday,
+       CAST(isodow(work_started_at_utc) >= 6 AS INT) AS start_is_weekend, CAST(year(work_started_at_utc) AS INTEGER) AS start_year,
        round(epoch(sla_required_end_at_utc - sla_required_start_at_utc) / 3600.0, 6) AS sla_window_hours, CAST(d.open_work_orders AS DOUBLE) AS site_open_wo_at_start
 FROM work_orders w LEFT JOIN daily d ON d.site_id = w.site_id AND d.signal_date = CAST(work_started_at_utc AS DATE)""", ("work_orders", "daily"))
 def _(t: Tables):
@@ -36,8 +36,8 @@ def _(t: Tables):
 
 @query("intake_features", "M2 J5", """
 SELECT wo_no, work_started_at_utc, w.site_id, contract_type, work_order_type, work_type_eng, CAST(priority_id AS DOUBLE) AS priority_id,
-       CAST(month(work_started_at_utc) AS BIGINT) AS month, CAST(isodow(work_started_at_utc) - 1 AS BIGINT) AS day_of_week, CAST(hour(work_started_at_utc) AS BIGINT) AS hour,
-       CAST(year(work_started_at_utc) AS BIGINT) AS year, round(epoch(sla_required_end_at_utc - work_started_at_utc) / 86400.0, 6) AS sla_window_days,
+       CAST(month(work_started_at_utc) AS INTEGER) AS month, CAST(isodow(work_started_at_utc) - 1 AS INTEGER) AS day_of_week, CAST(hour(work_started_at_utc) AS INTEGER) AS hour,
+       CAST(year(work_started_at_utc) AS INTEGER) AS year, round(epoch(sla_required_end_at_utc - work_started_at_utc) / 86400.0, 6) AS sla_window_days,
        CAST(pm_no IS NOT NULL AS INT) AS has_pm_no, CAST(wo_parent_id IS NOT NULL AS INT) AS has_parent_wo, CAST(sla_required_end_at_utc IS NOT NULL AS INT) AS has_sla_deadline,
        CAST(is_invoicable AS INT) AS is_invoicable, CAST(is_subcontractor_work AS INT) AS is_subcontractor_work, round(r.open_wo_7d_avg, 6) AS site_open_wo_7d_avg,
        r.sla_violations_7d AS site_sla_violations_7d, round(r.alarms_7d_avg, 6) AS site_alarms_7d_avg, r.fire_alarms_7d AS site_fire_alarms_7d, r.incidents_7d AS site_incidents_7d,

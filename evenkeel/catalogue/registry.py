@@ -44,7 +44,7 @@ def query(name: str, areas: str, sql: str | None = None, needs: tuple[str, ...]
 
     def register(fn: Callable[["Tables"], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(Tables(pin_utc(spark), folder))
+            return naive(fn(Tables(pin_utc(spark), folder)))
 
         run.__name__ = name
         if name in QUERIES:
@@ -58,6 +58,13 @@ def query(name: str, areas: str, sql: str | None = None, needs: tuple[str, ...]
     return register
 
 
+def naive(df: DataFrame) -> DataFrame:
+    """UTC instants as timestamps without a zone, the kind the given tables have."""
+    if "timestamp" not in dict(df.dtypes).values():
+        return df
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c) for c, t in df.dtypes])
+
+
 def rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
     """Round double columns: engines add up floating-point numbers in other orders."""
     return df.select(*[

@@ -74,8 +74,8 @@ def test_surrogate_key_counts_nulls(spark):
 
 
 def test_file_names(spark):
-    names = ["Aurora_House_2026-05-27_123944-normalized.json", "Horizon_Plaza_20260527.json", "other.json"]
-    assert values(spark, lambda c: x.building_of_file(c, ["Aurora House", "Horizon Plaza"]), names) == ["Aurora House", "Horizon Plaza", None]
+    names = ["North_House_2026-05-27_123944-normalized.json", "South_Plaza_20260527.json", "other.json"]
+    assert values(spark, lambda c: x.building_of_file(c, ["North House", "South Plaza"]), names) == ["North House", "South Plaza", None]
     assert values(spark, x.occupancy_kind_of_file, names) == ["normalized", "raw_count", "raw_count"]
     assert values(spark, x.range_end_of_file, ["Room_Utilization_010124-270524.csv", "x.csv"]) == [dt.date(2024, 5, 27), None]
     fallback = F.lit("2020-01-01").cast("date")

@@ -13,8 +13,8 @@ from evenkeel.sources.contracts import ALARM_COLUMNS, CONTRACTS, PLAN_COLUMNS, W
 SITES = [
     {"site_id": "site_mill", "display_name": "Mill", "customer_name": "Paper Co", "erp": {"customer_no": 1, "customer_site_no": 11}},
     {"site_id": "site_yard", "display_name": "Yard", "customer_name": "Paper Co", "erp": {"customer_no": 1, "customer_site_no": 12}},
-    {"site_id": "site_house", "display_name": "Aurora House", "customer_name": "Homes", "building_name": "Aurora House",
-     "property": {"property_id": "p1", "file_slug": "aurora_house", "child_property_ids": ["p1a"]}},
+    {"site_id": "site_house", "display_name": "North House", "customer_name": "Homes", "building_name": "North House",
+     "property": {"property_id": "p1", "file_slug": "north_house", "child_property_ids": ["p1a"]}},
 ]
 
 
@@ -129,13 +129,13 @@ def test_property_documents(spark, sites, tmp_path):
 
 def test_occupancy(spark, sites, tmp_path):
     record = {"month": 12, "weekday": 1, "site_connection_ok": None, "floor": "1", "floor_id": 5, "occupancy": list(range(24))}
-    for name in ("Aurora_House_2026-05-27_123944-normalized.json", "Aurora_House_2026-05-27_123944.json"):
+    for name in ("North_House_2026-05-27_123944-normalized.json", "North_House_2026-05-27_123944.json"):
         (tmp_path / name).write_text(json.dumps([record]))
-    out = c.conform_occupancy(readers.read_occupancy(spark, str(tmp_path)), sites, ["Aurora House"])
+    out = c.conform_occupancy(readers.read_occupancy(spark, str(tmp_path)), sites, ["North House"])
     rows = out.collect()
     assert len(rows) == 48 and {r.year for r in rows} == {2025} and {r.site_id for r in rows} == {"site_house"}
     assert {r.value_type for r in rows} == {"normalized", "raw_count"} and len({r.occupancy_id for r in rows}) == 48
-    (tmp_path / "Aurora_House_2.json").write_text(json.dumps([record | {"occupancy": [1, 2]}]))
+    (tmp_path / "North_House_2.json").write_text(json.dumps([record | {"occupancy": [1, 2]}]))
     with pytest.raises(Exception, match="24 hourly"):
         readers.read_occupancy(spark, str(tmp_path)).collect()
 
