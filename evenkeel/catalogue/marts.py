@@ -67,7 +67,7 @@ WITH profiles AS (
          isodow(o_orderdate) AS wd, o_totalprice AS occupancy_value, CASE WHEN o_orderkey % 2 = 0 THEN 'normalized' ELSE 'raw_count' END AS value_type
   FROM orders JOIN customer ON o_custkey = c_custkey)
 SELECT site_id, CAST(make_date(y, mo, 1) + to_days(CAST((wd - isodow(make_date(y, mo, 1)) + 7) % 7 AS INTEGER)) AS DATE) AS signal_date,
-       round(avg(occupancy_value), 4) AS avg_elevator_occupancy
+       round(avg(occupancy_value), 6) AS avg_elevator_occupancy
 FROM profiles WHERE value_type = 'normalized' GROUP BY 1, 2""")
 def _(t: Tables):
     o = t.read("orders").join(t.read("customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -76,7 +76,7 @@ def _(t: Tables):
         t.site("c_nationkey").alias("site_id"), F.year(day).alias("year"), F.month(day).alias("month"),
         (F.weekday(day) + 1).alias("weekday"), F.col("o_totalprice").alias("occupancy_value"),
         F.when(F.col("o_orderkey") % 2 == 0, "normalized").otherwise("raw_count").alias("value_type"))
-    return rounded(m.aggregate_rows([m.occupancy_rows(profiles)]), 4)
+    return rounded(m.aggregate_rows([m.occupancy_rows(profiles)]), 6)
 
 
 @query("daily_incidents", "G7", """

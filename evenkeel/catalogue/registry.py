@@ -104,9 +104,9 @@ SELECT o_orderkey AS wo_no, 'site_' || CAST(c_nationkey % 7 AS VARCHAR) AS site_
        o_orderkey % 2 = 0 AS is_invoicable, o_custkey % 3 = 0 AS is_subcontractor_work,
        o_orderdate AS sla_required_start_at_utc,
        CASE WHEN o_orderkey % 4 <> 0 THEN o_orderdate + to_days(CAST(1 + o_custkey % 40 AS INTEGER)) END AS sla_required_end_at_utc,
-       round(o_totalprice / 10000.0, 2) AS worktime_hours, o_orderpriority AS work_order_description,
+       round_even(o_totalprice / 100.0, 0) / 100.0 AS worktime_hours, o_orderpriority AS work_order_description,
        CASE WHEN o_orderkey % 3 = 0 THEN c_mktsegment END AS work_order_performed_action,
-       round(o_totalprice / 500000.0, 4) AS breach_probability, o_totalprice, o_custkey
+       round_even(o_totalprice / 50.0, 0) / 10000.0 AS breach_probability, o_totalprice, o_custkey
 FROM orders JOIN customer ON o_custkey = c_custkey""")
 
 shared("incidents", """
@@ -219,9 +219,9 @@ class Tables:
             (key % 2 == 0).alias("is_invoicable"), (cust % 3 == 0).alias("is_subcontractor_work"),
             F.col("o_orderdate").alias("sla_required_start_at_utc"),
             F.when(key % 4 != 0, F.col("o_orderdate") + days(cust % 40 + 1)).alias("sla_required_end_at_utc"),
-            F.round(price / 10000.0, 2).alias("worktime_hours"), F.col("o_orderpriority").alias("work_order_description"),
+            (F.rint(price / 100.0) / 100.0).alias("worktime_hours"), F.col("o_orderpriority").alias("work_order_description"),
             F.when(key % 3 == 0, F.col("c_mktsegment")).alias("work_order_performed_action"),
-            F.round(price / 500000.0, 4).alias("breach_probability"), "o_totalprice", "o_custkey")
+            (F.rint(price / 50.0) / 10000.0).alias("breach_probability"), "o_totalprice", "o_custkey")
 
     def incidents(self) -> DataFrame:
         turn = F.col("l_linenumber") % 4
