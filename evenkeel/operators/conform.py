@@ -245,11 +245,16 @@ def _members(properties: DataFrame, prop: str, fields: Sequence[str]) -> DataFra
 
 
 def explode_readings(properties: DataFrame, prop: str = "property", source_system: str = "building_automation",
-                     units: Mapping[str, str] = METRIC_UNITS) -> DataFrame:
-    """Property → metric → point, children included, in long form."""
+                     units: Mapping[str, str] = METRIC_UNITS, spread: int | None = None) -> DataFrame:
+    """Property → metric → point, children included, in long form.
+
+    A large document is parsed by one task; ``spread`` deals its metrics to that
+    many partitions before the points are unfolded.
+    """
     members = _members(properties, prop, ["readings"])
     keep = [c for c in members.columns if c != "readings"]
     metrics = members.select(*keep, F.explode("readings").alias("metric", "_block"))
+    metrics = metrics.repartition(spread, "property_id", "metric") if spread else metrics
     points = metrics.select(*keep, "metric", F.inline("_block.data"))
     return points.select(
         surrogate_key("property_id", "metric", "key", "t").alias("reading_id"), "property_id", "parent_property_id",

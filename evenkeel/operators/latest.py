@@ -14,7 +14,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     """The first ``n`` rows of each key in ``order`` (end it with a unique column).
 
     ``row_number() <= n`` is planned with a group limit before the shuffle: each
-    task sends on at most ``n`` rows a key, so a hot key does not pile up.
+    task sends on at most ``n`` rows a key, so a hot key does not pile up. Spark
+    does so up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000).
     """
     ranked = df.withColumn("_rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
     kept = ranked.where(F.col("_rank") <= n)

@@ -85,8 +85,8 @@ def mojibake_files(spark: SparkSession, path: str, glob: str | None = "*.csv") -
 def read_properties(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """One row a building-automation document.
 
-    A document is one task; it is spread out after the explode in
-    ``conform.explode_readings``, whose long table is what later stages read.
+    A document is one task; ``conform.explode_readings(spread=…)`` deals its
+    metrics out, and its long table is what later stages read.
     """
     return (
         spark.read.schema(PROPERTY_SCHEMA).option("multiLine", "true").option("recursiveFileLookup", "true")
@@ -148,7 +148,7 @@ def read_table(spark: SparkSession, path: str, site: str | None = None, site_col
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows per table: reads Parquet footers only."""
+    """Rows per table; no column is read, so a Parquet scan only visits footers."""
     parts = [t.agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for n, t in tables.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)
 

@@ -26,6 +26,36 @@ def test_sweep_equals_expansion(spark):
     assert reversed_intervals(df, "f", "t").count() == 1
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_rows_are_limited_before_the_shuffle(spark):
+    """A hot key sends each task's best rows on, not all of its rows."""
+    from evenkeel.operators.latest import first_per_key, keep_latest
+
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
+    for out in (keep_latest(df, ["k"], ["id"]), first_per_key(df, ["k"], [F.col("id").desc()], 120)):
+        plan = plan_of(out)
+        assert plan.count("WindowGroupLimit") == 2
+        assert plan.rindex("Partial") > plan.index("Exchange hashpartitioning")
+    assert {(r.k, r.id) for r in keep_latest(df, ["k"], ["id"]).collect()} == {(0, 999), (1, 997), (2, 998)}
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    from evenkeel.sources.readers import read_table
+
+    plan = plan_of(read_table(spark, "/root/testdata/sf0.001/customer.parquet", "BUILDING", "c_mktsegment").select("c_custkey"))
+    assert "EqualTo(c_mktsegment,BUILDING)" in plan and "c_acctbal" not in plan
+
+
+def test_split_cut_is_pushed_down(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    train, test = f.time_split(orders, "o_orderdate", "o_orderkey")
+    assert train.count() + test.count() == orders.count()
+    assert "LessThan(o_orderdate" in plan_of(train) and "Join" not in plan_of(train)
+
+
 def test_orders_in_one_pass(spark):
     rows = [("a", "2024-01-01", "2024-01-03", True), ("a", "2024-01-03", "2024-01-02", True), ("a", "2024-01-10", "2024-01-10", False),
             (None, "2024-01-01", "2024-01-01", True), ("b", "2024-01-05", None, True), ("a", "2024-01-02", "2024-01-03", None)]

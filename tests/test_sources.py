@@ -116,6 +116,7 @@ def test_property_documents(spark, sites, tmp_path):
     (tmp_path / "p1.json.meta.json").write_text("{}")
     props = readers.read_properties(spark, str(tmp_path))
     rows = c.conform_readings(props, sites).collect()
+    assert {r.reading_id for r in c.conform_readings(props, sites, spread=4).collect()} == {r.reading_id for r in rows}
     assert len(rows) == 5 and len({r.reading_id for r in rows}) == 5
     child = next(r for r in rows if r.property_id == "p1a")
     assert child.parent_property_id == "p1" and child.site_id == "site_house" and child.unit == "m3"
