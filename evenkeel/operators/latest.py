@@ -57,5 +57,9 @@ def latest_with_preference(df: DataFrame, key: str, date: str, preferred: Column
 
 
 def sorted_by_key(df: DataFrame, key: str, *order: str) -> DataFrame:
-    """Rows of a key together and in order, without one global sort."""
-    return df.repartition(key).sortWithinPartitions(key, *order)
+    """Rows in order of key and ``order`` across and inside partitions.
+
+    Ranges are cut on all sort columns, so a key with a third of the rows is
+    spread over several partitions.
+    """
+    return df.repartitionByRange(key, *order).sortWithinPartitions(key, *order)

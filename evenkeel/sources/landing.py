@@ -72,7 +72,10 @@ def land_rows(raw: DataFrame, path: str, contract: Contract, ingest_date: str, s
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, sort_by: list[str] | None = None) -> str:
     """Overwrite a table. Rows are sorted inside each file, so readers that filter
-    on the sort columns skip row groups; there is no global sort."""
+    on the sort columns skip row groups; there is no global sort. Directories are
+    filled by rebalanced tasks: few files for a small one, several for a hot one."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
     writer = df.write.mode("overwrite")

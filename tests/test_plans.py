@@ -42,6 +42,21 @@ def test_latest_rows_are_limited_before_the_shuffle(spark):
     assert {(r.k, r.id) for r in keep_latest(df, ["k"], ["id"]).collect()} == {(0, 999), (1, 997), (2, 998)}
 
 
+def test_sorting_spreads_a_hot_key(spark):
+    from evenkeel.operators.latest import sorted_by_key
+
+    df = spark.range(0, 4000, 1, 4).select(F.when(F.col("id") % 10 < 9, "hot").otherwise("cold").alias("k"), "id")
+    rows = sorted_by_key(df, "k", "id").withColumn("part", F.spark_partition_id()).collect()
+    assert [(r.k, r.id) for r in rows] == sorted((r.k, r.id) for r in rows)
+    spread = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = {r.part for r in sorted_by_key(df, "k", "id").withColumn("part", F.spark_partition_id()).collect() if r.k == "hot"}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", spread)
+    assert len(parts) > 4
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     from evenkeel.sources.readers import read_table
 
