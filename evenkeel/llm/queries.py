@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import packing, tokenfiles
+from evenkeel.llm import mixing, packing, quality, tokenfiles
 from evenkeel.llm.common import table
 from evenkeel.session import pin_utc
 
@@ -35,3 +35,55 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
         tokenfiles.token_folder(spark), end_id=2)
     docs = tokenfiles.read_token_files(spark, files)
     return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.quality_rules(table(spark, folder, "documents"), keep=["doc_id"])
+    return judged.select("doc_id", *[f"quality.{n}" for n in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "word_distance", "class_distance")])
+
+
+@query
+def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix_sources(table(spark, folder, "documents"), keep=["doc_id"])
+    return mixed.select("doc_id", *[f"mix.{n}" for n in mixing.MIX])
+
+
+ORACLE["op8_source_mixing"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+  FROM documents
+), keyed AS (
+  SELECT doc_id, source, size,
+         -ln((('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5::DOUBLE)
+             / 4503599627370496::DOUBLE)
+         / CASE WHEN size > 0 THEN size::DOUBLE / (size + len(regexp_extract_all(text, '[#*$%&|<>]'))) ELSE 1 END AS key
+  FROM sized
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight
+  FROM keyed GROUP BY source
+), levels AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (
+             ORDER BY 3 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (ORDER BY 3 * source_size / weight, source NULLS LAST
+                             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM sources
+), targets AS (
+  SELECT source, source_size, least(3.0::DOUBLE * source_size, max(level) OVER () * weight) AS target FROM levels
+), planned AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM targets
+), ordered AS (
+  SELECT k.doc_id, k.size, p.source_size, p.target, p.epochs,
+         round(p.target - p.epochs * p.source_size) AS open,
+         sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - k.size AS before
+  FROM keyed k JOIN planned p ON k.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size::BIGINT AS size, source_size, target::DOUBLE AS target,
+       (epochs * size + greatest(0, least(size, open - before)))::BIGINT AS taken
+FROM ordered
+"""
