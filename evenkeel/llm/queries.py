@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import chat, mixing, packing, quality, tokenfiles
+from evenkeel.llm import chat, mixing, neardup, packing, quality, tokenfiles
 from evenkeel.llm.common import table
 from evenkeel.session import pin_utc
 
@@ -155,3 +155,42 @@ SELECT conv_id, count(*) AS n_turns,
        (max(win) + 1)::BIGINT AS n_windows
 FROM seen GROUP BY conv_id
 """
+
+
+@query
+def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents"), size=3, percent=85)
+
+
+ORACLE["op5_minhash_near_dedup"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE
+           WHEN len(w) = 0 THEN []
+           WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+  FROM words
+), classes AS (
+  SELECT min(doc_id) AS node, s, len(s) AS n FROM (SELECT doc_id, list_sort(s) AS s FROM sets) WHERE len(s) > 0 GROUP BY s
+), items AS (
+  SELECT node, n, unnest(s) AS item FROM classes
+), links AS (
+  SELECT a.node AS u, b.node AS v FROM items a JOIN items b ON a.item = b.item AND a.node < b.node
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), edges AS (
+  SELECT u, v FROM links UNION SELECT v, u FROM links
+), reach AS (
+  SELECT node, node AS other FROM classes
+  UNION SELECT r.node, e.v FROM reach r JOIN edges e ON r.other = e.u
+), labels AS (
+  SELECT node, min(other) AS component_id FROM reach GROUP BY node
+), members AS (
+  SELECT x.doc_id, len(x.s) AS n_shingles, coalesce(l.component_id, x.doc_id) AS component_id
+  FROM (SELECT doc_id, list_sort(s) AS s FROM sets) x
+  LEFT JOIN classes c ON x.s = c.s LEFT JOIN labels l ON c.node = l.node
+)
+SELECT doc_id, n_shingles::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM members
+"""
