@@ -21,7 +21,6 @@ KEPT_PIECES = 1_000_000
 _CUT = re.compile(r"(?= \S)")
 _ODD = re.compile(r" (?:\s|\Z)")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
-_TAIL = ".,;:!?"
 _ENCODERS: dict[tuple[str, str], "PieceEncoder"] = {}
 
 
@@ -58,13 +57,9 @@ class PieceEncoder:
         return [b"".join(map(ids, p)) for p in pieces]
 
     def _learn(self, missing: set[str]) -> None:
-        parts = {p: self._parts(p) for p in missing}
-        fresh = list({s for v in parts.values() for s in v} - self.seen.keys())
+        fresh = list(missing)
         for start in range(0, len(fresh), 5_000):
             self._encode_pieces(fresh[start:start + 5_000])
-        for p, v in parts.items():
-            if len(v) > 1:
-                self.seen[p] = self.seen[v[0]] + self.seen[v[1]]
 
     def _encode_pieces(self, pieces: list[str]) -> None:
         """Encode pieces as one text and cut its ids where each piece's bytes end."""
@@ -98,14 +93,6 @@ class PieceEncoder:
             sizes[i] = len(token.removesuffix(ending)) if ending else len(token)
         return sizes
 
-    def _parts(self, piece: str) -> tuple[str, ...]:
-        """Punctuation behind a letter is a pre-token of its own."""
-        stem = piece.rstrip(_TAIL)
-        if self.form == "whole" or stem == piece or not stem[-1:].isalpha():
-            return (piece,)
-        tail = piece[len(stem):]
-        return (stem, "\0" + tail if self.form == "spaced" else tail)
-
     def _string(self, piece: str) -> str:
         if self.form != "spaced":
             return piece
