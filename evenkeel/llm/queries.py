@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import chat, mixing, neardup, packing, quality, tokenfiles
+from evenkeel.llm import chat, language, mixing, neardup, packing, quality, secrets, tokenfiles
 from evenkeel.llm.common import table
 from evenkeel.session import pin_utc
 
@@ -194,3 +194,25 @@ WITH RECURSIVE words AS (
 )
 SELECT doc_id, n_shingles::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM members
 """
+
+
+def fold_of(folds: int):
+    """Remainder of the CRC-32 of the id as text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % folds
+
+
+@query
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", fold_of(5) == 0)
+    model = language.fit_languages(docs.where(~F.col("held_out")))
+    return language.identify_languages(docs, model, keep=["doc_id", "held_out"])
+
+
+@query
+def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, folder, "documents"), keep=["doc_id"])
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id", *[F.size(of(k)).cast("bigint").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(listed(of("assign", "access", "hex")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
