@@ -1,7 +1,7 @@
 """Token files: Arrow streams in files, fixed-size-list batches of equal-length sequences and masks.
 
 A file ``part-00007.arrows`` holds the ids of a run of documents, cut into sequences
-of ``length`` ids (``ids``) with a ``mask`` that is 1 where an id is real; only a
+of ``length`` ids (``ids``) with a ``mask`` that is true where an id is real; only a
 file's last sequence is padded. All batches but the last hold ``BATCH_SEQUENCES``
 sequences, so a sequence's place follows from its number, and a memory-mapped file
 yields arrays over the file's own pages. ``part-00007.docs.arrows`` tells where the
@@ -79,11 +79,11 @@ class Sequences:
         return self.count
 
     def __getitem__(self, i: int):
-        """(ids, mask) as arrays over the file's memory."""
+        """(ids, mask): an array and an Arrow array (a bit each) over the file's memory."""
         if not 0 <= i < self.count:
             raise IndexError(i)
         batch, row = self.batches[i // BATCH_SEQUENCES], i % BATCH_SEQUENCES
-        return tuple(_flat(batch, n, row, row + 1) for n in ("ids", "mask"))
+        return _view(batch, "ids", row, row + 1).to_numpy(zero_copy_only=True), _view(batch, "mask", row, row + 1)
 
     def flat(self, start: int, stop: int):
         """Ids from position ``start`` to ``stop`` of the file's stream."""
@@ -94,15 +94,15 @@ class Sequences:
         length = self.batches[0].schema.field("ids").type.list_size
         step, out = length * BATCH_SEQUENCES, []
         for b in range(start // step, (stop - 1) // step + 1):
-            values = _flat(self.batches[b], "ids", 0, self.batches[b].num_rows)
+            values = _view(self.batches[b], "ids", 0, self.batches[b].num_rows).to_numpy(zero_copy_only=True)
             out.append(values[max(0, start - b * step):stop - b * step])
         return out[0] if len(out) == 1 else np.concatenate(out)
 
 
-def _flat(batch, name: str, first: int, last: int):
+def _view(batch, name: str, first: int, last: int):
     column = batch.column(batch.schema.get_field_index(name))
     width = column.type.list_size
-    return column.values.slice((column.offset + first) * width, (last - first) * width).to_numpy(zero_copy_only=True)
+    return column.values.slice((column.offset + first) * width, (last - first) * width)
 
 
 def _store(uri: str):
@@ -133,7 +133,7 @@ def _writer(tokenizer: str, folder: str, end_id: int, length: int, dtype: str):
         name = f"{top}/part-{part:05d}"
         mine = f"{top}/.writing-{part:05d}-{TaskContext.get().taskAttemptId()}"
         kind = pa.from_numpy_dtype(np.dtype(dtype))
-        schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length))])
+        schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length))])
         doc_schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
         held, held_bytes, written, docs = [], 0, 0, 0
         step = length * BATCH_SEQUENCES * width
@@ -142,8 +142,7 @@ def _writer(tokenizer: str, folder: str, end_id: int, length: int, dtype: str):
             real = len(raw) // width
             ids = np.zeros(-(-real // length) * length, dtype)
             ids[:real] = np.frombuffer(raw, dtype)
-            mask = np.zeros(len(ids), np.uint8)
-            mask[:real] = 1
+            mask = np.arange(len(ids)) < real
             lists = [pa.FixedSizeListArray.from_arrays(pa.array(a), length) for a in (ids, mask)]
             return pa.RecordBatch.from_arrays(lists, schema=schema)
 
