@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import chat, language, mixing, neardup, packing, quality, secrets, tokenfiles
+from evenkeel.llm import chat, language, mixing, neardup, packing, quality, secrets, tokenfiles, toxicity
 from evenkeel.llm.common import table
 from evenkeel.session import pin_utc
 
@@ -216,3 +216,11 @@ def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", *[F.size(of(k)).cast("bigint").alias(f"n_{k}") for k in ("assign", "access", "hex")],
         F.sha2(listed(of("assign", "access", "hex")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", fold_of(3) == 1)
+    lexicon = toxicity.fit_lexicon(docs.where(~F.col("held_out")), table(spark, folder, "labels"))
+    scored = toxicity.score_toxicity(docs, lexicon, keep=["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
