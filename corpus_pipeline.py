@@ -4,20 +4,52 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from evenkeel.llm import packing
+from evenkeel.llm import mixing, neardup, packing, quality, secrets
 from evenkeel.llm.common import new_path, table
 from evenkeel.session import pin_utc
 
 
+def _documents(rows: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of documents; ``n_chars`` follows the text."""
+    if "n_chars" in like.columns:
+        kind = like.schema["n_chars"].dataType
+        rows = rows.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(kind))
+    return rows.select(*like.columns)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules keep, unchanged."""
+    return quality.quality_rules(docs).where("quality.kept").select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five-word shingles, 0.8), the one
+    with the smallest id; repeated rows once. Texts without a word all stay."""
+    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id", "text"])
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets replaced by their kinds."""
+    return _documents(secrets.scan_secrets(docs, redact=True), docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; a source's last one as far as its target."""
+    return _documents(mixing.mixed_documents(mixing.mix_sources(docs)), docs)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 tokens."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("packing", packed)]
+STAGES = [("quality rules", quality_rules), ("MinHash near-dedup", near_dedup), ("secret scans", secret_scan),
+          ("mixing sources", source_mixing), ("packing", packed)]
 
-#: The stages tokenize, sketch and check embedded checksums, which SQL cannot express.
+#: Sketches, checksums and tokens are beyond SQL; the stages are tested one by one.
 ORACLE_SQL = None
 
 

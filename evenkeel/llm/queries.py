@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import chat, language, mixing, neardup, packing, quality, secrets, tokenfiles, toxicity
+from evenkeel.llm import chat, language, mixing, neardup, neighbours, packing, quality, secrets, tokenfiles, toxicity
 from evenkeel.llm.common import table
 from evenkeel.session import pin_utc
 
@@ -224,3 +224,9 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     lexicon = toxicity.fit_lexicon(docs.where(~F.col("held_out")), table(spark, folder, "labels"))
     scored = toxicity.score_toxicity(docs, lexicon, keep=["doc_id", "held_out"])
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query
+def op4_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = neighbours.valid_vectors(table(spark, folder, "embeddings"))
+    return neighbours.nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
