@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pathlib
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,6 +63,23 @@ def drop_tables(spark: SparkSession, frames: Iterable[DataFrame]) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give Python workers this package, once an application, whatever their path is."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = pathlib.Path(__file__).resolve().parent.parent
+    archive = pathlib.Path(tempfile.mkdtemp(prefix="spark-", dir="/tmp")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as file:
+        for source in sorted(package.rglob("*.py")):
+            file.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and use it several times inside ``body``."""
     return F.transform(F.array(value), body)[0]

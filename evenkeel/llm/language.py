@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from evenkeel.llm.common import ship
+
 
 #: The model is fitted on about this many labelled documents, chosen by hash.
 SAMPLE_DOCUMENTS = 8_000
@@ -124,6 +126,7 @@ def identify_languages(docs: DataFrame, model: Model, text: str = "text", keep:
     language (ties: first by name). Null texts, texts without a letter and an empty
     model give ``und`` with score 0. Rows are independent; no rows, no result.
     """
+    ship(docs.sparkSession)
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField("lang_pred", T.StringType()),

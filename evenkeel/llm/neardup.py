@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.llm import shingles
-from evenkeel.llm.common import cut, drop_tables
+from evenkeel.llm.common import cut, drop_tables, ship
 from evenkeel.llm.components import connected_components
 
 #: Shares of a bucket's members that lead, one round each.
@@ -40,6 +40,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80,
     part, but names no component unless all of its members have none. Repeated rows are
     copies. Other columns are not read. An empty table gives no rows.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(identifier).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     signed = cut(rows.mapInArrow(shingles.signatures(size), SIGNATURE), "signatures")
     signed_ids = signed.select("doc_id", "n_shingles", "low", "high")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from evenkeel.llm.common import cut
+from evenkeel.llm.common import cut, ship
 
 #: Vectors of a shard, on average: what one task holds.
 SHARD_VECTORS = 4096
@@ -123,6 +123,8 @@ class Graph:
         source = np.repeat(nodes, DEGREE)
         target = self.out[nodes].ravel()
         source, target = source[target >= 0], target[target >= 0]
+        new = ~(self.out[target] == source[:, None]).any(axis=1)
+        source, target = source[new], target[new]
         order = np.argsort(target, kind="stable")
         source, target = source[order], target[order]
         names, first, counts = np.unique(target, return_index=True, return_counts=True)
@@ -168,6 +170,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20) -> D
     Vectors of other lengths than a query's are never its candidates. Repeated ids
     are rows of their own. Empty tables give no rows.
     """
+    ship(vectors.sparkSession)
     by_value = W.partitionBy("v").orderBy("vec_id")
     ranked = vectors.select("vec_id", "v").withColumn("n", F.row_number().over(by_value)).where(F.col("n") <= k + 1)
     entries = cut(ranked.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).withColumn(

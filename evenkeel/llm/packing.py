@@ -7,6 +7,8 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evenkeel.llm.common import ship
+
 #: Documents that are packed together, on average.
 GROUP_DOCUMENTS = 2048
 #: A group that outgrows this many tokens is packed in several runs: bounds a task's memory.
@@ -69,6 +71,7 @@ def pack_documents(
     no rows. ``ids`` are little-endian unsigned 32-bit, ``padded`` is the length that
     the piece's sequence is padded to (``length``, or its own if a power of two).
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"),
                        F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     groups = max(1, -(-docs.count() // group_documents))

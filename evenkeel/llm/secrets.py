@@ -9,6 +9,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from evenkeel.llm.common import ship
+
 #: Kinds in the order in which spans that start together are listed.
 KINDS = ("assign", "access", "hex", "github", "npm")
 SPANS = T.ArrayType(T.StructType([
@@ -100,6 +102,7 @@ def scan_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
     only if their embedded CRC-32 agrees. Null text has no spans and stays null. Rows
     are independent: repeated rows are scanned alike, an empty table gives no rows.
     """
+    ship(docs.sparkSession)
     kept = [c for c in (docs.columns if keep is None else keep) if c != "spans"]
     source = docs.select(*kept, docs[text].alias("_text"))
     schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField("spans", SPANS)])

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from evenkeel.llm.common import cut, new_path
+from evenkeel.llm.common import cut, new_path, ship
 
 SEQUENCE = 2048
 BATCH_SEQUENCES = 256
@@ -45,6 +45,7 @@ def write_token_files(
     Null or empty text: ``end_id`` alone. Null ids come first, equal ids in the order
     of their texts. Other columns are not read. An empty table makes no file.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"),
                        F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
@@ -58,6 +59,7 @@ def read_token_files(spark: SparkSession, files: DataFrame) -> DataFrame:
     (one row a file) plus the position inside the file. ``ids`` are little-endian
     unsigned 32-bit, whatever their width in the file.
     """
+    ship(spark)
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     placed = files.select("path", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
     dealt = placed.repartition(F.col("path"))

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from evenkeel.llm.common import ship
+
 #: The lexicon and its scale are learned from about this many labelled documents.
 SAMPLE_DOCUMENTS = 20_000
 #: Terms considered (those in most toxic documents), and how often a term must be seen.
@@ -120,6 +122,7 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, identifier: str = "doc_id",
     kinds of labels nothing is learned. All that is collected is bounded by the sample
     and ``CANDIDATES``.
     """
+    ship(docs.sparkSession)
     known = labels.where(F.col(label).isNotNull() & F.col(identifier).isNotNull()).groupBy(identifier).agg(
         F.max(label).cast("int").alias("_toxic"))
     share = min(1.0, sample / max(1, known.count()))
@@ -254,6 +257,7 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon, text: str = "text", keep:
     in that weight a thousand words. Only the text is looked at. Null and empty texts
     score as texts without a term. Rows are independent; no rows, no result.
     """
+    ship(docs.sparkSession)
     kept = [c for c in (docs.columns if keep is None else keep) if c != "score"]
     shipped = docs.sparkSession.sparkContext.broadcast(lexicon)
     schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField("score", T.DoubleType())])
