@@ -13,7 +13,7 @@ from evenkeel.plans import serving as s
 shared("graded", f"""
 SELECT *, round_even(breach_probability * 100, 1) AS breach_risk_pct, {RISK_SQL} AS risk_band, {SEVERITY_SQL} AS severity,
        coalesce(CAST(priority_id AS VARCHAR), 'unknown') AS priority_id_str
-FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY work_started_at_utc DESC, wo_no) AS recency FROM work_orders) WHERE recency <= 120""", "work_orders")
+FROM work_orders""", "work_orders")
 shared("acted", f"SELECT *, {ACTION_SQL} AS action FROM graded", "graded")
 shared("queue", """
 SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY CASE action WHEN 'Urgent' THEN 0 WHEN 'Monitor' THEN 1 ELSE 2 END,
@@ -49,6 +49,16 @@ def _(t: Tables):
     return rank64(queue_of(t))
 
 
+@query("recent_dispatch_queue", "L1 M27", f"""
+SELECT wo_no, site_id, action, row_number() OVER (PARTITION BY site_id ORDER BY CASE action WHEN 'Urgent' THEN 0 WHEN 'Monitor' THEN 1 ELSE 2 END,
+  CASE severity WHEN 'Critical' THEN 0 WHEN 'High' THEN 1 WHEN 'Medium' THEN 2 WHEN 'Low' THEN 3 ELSE 4 END,
+  CASE risk_band WHEN 'HIGH' THEN 0 WHEN 'MEDIUM' THEN 1 ELSE 2 END, breach_probability DESC, wo_no) AS queue_rank
+FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY work_started_at_utc DESC, wo_no) AS recency FROM acted) WHERE recency <= {d.BACKLOG_ROWS}""", ("acted",))
+def _(t: Tables):
+    """The view of the latest orders: here the cut is the feature."""
+    return rank64(d.dispatch_queue(scored_of(t), rows=d.BACKLOG_ROWS).select("wo_no", "site_id", "action", "queue_rank"))
+
+
 @query("task_assignments", "M28 W9 C20", """
 SELECT wo_no, site_id, role, assigned_to, action, queue_rank FROM assigned""", ("assigned",))
 def _(t: Tables):
@@ -60,7 +70,7 @@ SELECT wo_no, role, {MEMBER_SQL} AS assigned_to FROM (SELECT wo_no, role, row_nu
 FROM (SELECT wo_no, round_even(breach_probability * 100, 1) AS breach_risk_pct, {ROLE_SQL} AS role FROM work_orders))""", ("work_orders",))
 def _(t: Tables):
     backlog = t.work_orders().withColumn("breach_risk_pct", d.half_even(F.col("breach_probability") * 100, 1))
-    return d.assign_tasks(backlog, by=(), bounded=False).select("wo_no", "role", "assigned_to")
+    return d.assign_tasks(backlog, by=()).select("wo_no", "role", "assigned_to")
 
 
 @query("crew_workload", "G10", """

@@ -109,10 +109,11 @@ def _(t: Tables):
 
 @query("month_by_type_pivot", "G16", """
 SELECT CAST(month(ts) AS BIGINT) AS month, count(*) FILTER (WHERE event_type = 'click') AS n_click, count(*) FILTER (WHERE event_type = 'error') AS n_error,
-       count(*) FILTER (WHERE event_type = 'purchase') AS n_purchase FROM events GROUP BY 1""")
+       count(*) FILTER (WHERE event_type = 'purchase') AS n_purchase, count(*) FILTER (WHERE event_type = 'signup') AS n_signup,
+       count(*) FILTER (WHERE event_type = 'view') AS n_view FROM events GROUP BY 1""")
 def _(t: Tables):
     dated = t.read("events").withColumn("month", F.month("ts").cast("bigint"))
-    return e.pivot_counts(dated, ["month"], "event_type", ["click", "error", "purchase"], "n_")
+    return e.pivot_counts(dated, ["month"], "event_type", ["click", "error", "purchase", "signup", "view"], "n_")
 
 
 PRESENCE_SQL = "\nUNION ALL ".join(

@@ -114,7 +114,7 @@ SELECT l_orderkey * 10 + l_linenumber AS incident_id, 'site_' || CAST(l_suppkey
        'node_' || CAST(l_partkey AS VARCHAR) AS node_id, 'incident_' || lower(l_linestatus) AS event_type,
        CASE l_linenumber % 4 WHEN 0 THEN 'immediate' WHEN 1 THEN 'significant' WHEN 2 THEN 'according_to_agreement' ELSE 'other' END AS priority,
        l_shipdate AS created_at_utc, l_linestatus = 'F' AS is_resolved, 'incident ' || l_returnflag AS description
-FROM lineitem WHERE l_returnflag = 'R'""")
+FROM lineitem""")
 
 shared("readings", """
 SELECT event_id, 'site_' || CAST(user_id % 7 AS VARCHAR) AS site_id, 'property_' || CAST(user_id % 7 AS VARCHAR) AS property_id,
@@ -225,7 +225,7 @@ class Tables:
 
     def incidents(self) -> DataFrame:
         turn = F.col("l_linenumber") % 4
-        return self.read("lineitem").where(F.col("l_returnflag") == "R").select(
+        return self.read("lineitem").select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("incident_id"), self.site("l_suppkey").alias("site_id"),
             F.concat(F.lit("node_"), F.col("l_partkey").cast("string")).alias("node_id"),
             F.concat(F.lit("incident_"), F.lower("l_linestatus")).alias("event_type"),

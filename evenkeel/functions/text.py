@@ -125,6 +125,10 @@ def surrogate_key(*parts: Column | str) -> Column:
 def code_lookup(c: Column | str, codes: Mapping, default: str | None = None) -> Column:
     """Strict code map; codes outside it (and null) become ``default``."""
     column = as_column(c)
+    if all(isinstance(code, str) for code in codes):
+        # one look-up in a constant: the column is not repeated for every code
+        found = F.try_element_at(F.create_map(*[F.lit(x) for pair in codes.items() for x in pair]), column.cast("string"))
+        return found if default is None else F.coalesce(found, F.lit(default))
     chain = None
     for code, label in codes.items():
         test = column == F.lit(code)

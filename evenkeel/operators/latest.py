@@ -15,8 +15,11 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
 
     ``row_number() <= n`` is planned with a group limit before the shuffle: each
     task sends on at most ``n`` rows a key, so a hot key does not pile up. Spark
-    does so up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000).
+    does so up to a threshold (1000), which is raised where ``n`` is larger.
     """
+    threshold = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if n >= int(df.sparkSession.conf.get(threshold, "1000")):
+        df.sparkSession.conf.set(threshold, str(n + 1))
     ranked = df.withColumn("_rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
     kept = ranked.where(F.col("_rank") <= n)
     return kept.withColumnRenamed("_rank", rank_name) if rank_name else kept.drop("_rank")

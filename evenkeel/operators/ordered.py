@@ -1,12 +1,12 @@
 """Exact order statistics without putting a large group into one task.
 
 A window ordered over a whole table, or over a group that holds a third of it,
-runs in one task. Groups are therefore counted first (one job, one number to the
-driver). If the largest is small, that window is used. If not, the order is cut
-into ranges: a deterministic sample of the keys gives the cut points, every row
-gets the number of its range, range totals (a few thousand rows a group) become
-offsets, and the running sum is taken inside each range. The answer does not
-depend on which cut points were drawn, only the balance does.
+runs in one task. The order is therefore cut into ranges: a deterministic sample
+of the keys gives the cut points, every row gets the number of its range, range
+totals become offsets, and the running sum is taken inside each range. A range
+holds about ``ROWS_PER_RANGE`` rows at every size, so their number grows with the
+group and a small group is one range. The answer does not depend on which cut
+points were drawn, only the balance does.
 
 Keys must come out the same whenever a task is re-run. A key computed from a
 floating-point sum over a shuffle is not; pass such input through
@@ -22,8 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-ROWS_PER_RANGE = 1_000_000  # one task sorts this many rows at ease
-MOST_RANGES = 4096
+ROWS_PER_RANGE = 200_000  # one task sorts this many rows at ease
 COARSE = 64
 
 
@@ -83,18 +82,9 @@ def running_totals(
     base = df.withColumns({"_key": key, **{f"_m_{m}": c for m, c in measures.items()}})
     scratch = ["_key", *[f"_m_{m}" for m in measures]]
 
-    sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0] or 0
     group = W.partitionBy(*keys)
-    if largest <= ROWS_PER_RANGE:
-        upto = group.orderBy("_key").rowsBetween(W.unboundedPreceding, 0)
-        return base.withColumns({
-            **{f"cum_{m}": F.sum(f"_m_{m}").over(upto) for m in measures},
-            **{f"total_{m}": F.sum(f"_m_{m}").over(group) for m in measures}}).drop(*scratch)
-
-    # one key in `step` becomes a cut point: at most about MOST_RANGES a group
-    step = max(ROWS_PER_RANGE, largest // MOST_RANGES)
-    cuts = base.where(F.pmod(F.xxhash64("_key"), F.lit(step)) == 0).groupBy(*keys).agg(
+    # one key in so many becomes a cut point; a small group has none, so one range
+    cuts = base.where(F.pmod(F.xxhash64("_key"), F.lit(ROWS_PER_RANGE)) == 0).groupBy(*keys).agg(
         F.sort_array(F.collect_list("_key")).alias("_cuts"))
     ranged = _with_group_value(base, cuts, keys, "_cuts", small)
     ranged = ranged.withColumn("_range", _cuts_below("_cuts", "_key")).drop("_cuts")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -13,6 +11,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -35,11 +34,18 @@ def durable(df: DataFrame) -> DataFrame:
 
     Used where a result is read several times and must be the same each time
     (scores of a fitted model, say), so that a lost executor costs a re-read
-    rather than a recomputation with other floating-point sums.
+    rather than a recomputation with other floating-point sums. The folder is that of
+    ``spark.checkpoint.dir``; only a session in one process may go without that
+    setting and uses a folder in the warehouse. ``build_session`` lets Spark delete
+    checkpoints that nothing refers to any more.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        if not folder:
+            if not context.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+            folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

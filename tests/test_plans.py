@@ -153,13 +153,23 @@ def test_assignment_is_greedy_least_loaded(queue):
         assert got[r.wo_no] == worker
 
 
-def test_unbounded_assignment_agrees(queue):
+def test_assignment_agrees_for_one_site(queue):
     a = {r.wo_no: r.assigned_to for r in d.assign_tasks(queue).collect()}
-    b = {r.wo_no: r.assigned_to for r in d.assign_tasks(queue, by=(), bounded=False).collect()}
+    b = {r.wo_no: r.assigned_to for r in d.assign_tasks(queue, by=()).collect()}
     assert a == b
 
 
-def test_queue_keeps_the_latest_rows(queue, spark):
+def test_roles_without_a_crew_share_the_fallback(spark):
+    rows = [(i, "s", kind, 90.0 - i) for i, kind in enumerate(["Security services", "Repairs and maintenance electrical",
+                                                              "Winter maintenance", "Cleaning services"])]
+    df = spark.createDataFrame(rows, "wo_no INT, site_id STRING, work_type_eng STRING, breach_risk_pct DOUBLE")
+    got = {r.wo_no: r.assigned_to for r in d.assign_tasks(df, {"Cleaner": ["c"], "Technician": ["t1", "t2"]}).collect()}
+    assert got == {0: "t1", 1: "t2", 2: "t1", 3: "c"}
+    assert {r.assigned_to for r in d.assign_tasks(df, {"Technician": ["t"]}).collect()} == {"t"}
+    assert {r.assigned_to for r in d.assign_tasks(df, {"Technician": []}).collect()} == {None}
+
+
+def test_queue_keeps_all_rows(queue, spark):
     assert queue.count() == 16 and [r.queue_rank for r in queue.orderBy("queue_rank").collect()] == list(range(1, 17))
 
 
