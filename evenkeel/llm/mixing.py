@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from evenkeel.llm.common import text_of, words_of
+from evenkeel.llm.common import cut, text_of, words_of
 
 WEIGHTS = (5, 2, 1)
 #: No source is taken more often than this.
 MOST_EPOCHS = 3
 #: Documents in a slice of a source's order, on average: one slice is sorted a source.
-SLICE_DOCUMENTS = 50_000
+SLICE_DOCUMENTS = 5_000
 MIX = ("size", "source_size", "target", "taken")
 
 
@@ -81,8 +81,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = M
     keyed = sized.withColumn("_key", exponential_key(F.col("_id"), quality_weight(F.col("_text"), F.col("_size")), seed))
     placed = keyed.withColumn("_slice", F.floor((1 - F.exp(-F.col("_key"))) * slices))
 
-    sums = placed.groupBy(F.col("_source").alias("source"), F.col("_slice").alias("slice")).agg(
-        F.sum("_size").alias("words"))
+    sums = cut(placed.groupBy(F.col("_source").alias("source"), F.col("_slice").alias("slice")).agg(
+        F.sum("_size").alias("words")), "slices")
     targets = source_targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     planned = targets.withColumn("epochs", epochs).withColumn(
