@@ -16,11 +16,9 @@ from evenkeel.plans.marts import rolling_context
 from evenkeel.plans.serving import model_comparison
 from evenkeel.session import durable
 
-CATEGORIES = ["work_order_type", "contract_type", "assignment_type", "priority_id_str", "site_id"]
-NUMBERS = ["is_subcontractor_work", "is_invoicable", "start_month", "start_weekday", "start_year", "sla_window_hours", "site_open_wo_at_start"]
+CATEGORIES = ["work_type_eng", "work_order_type", "contract_type", "assignment_type", "priority_id_str", "site_id"]
+NUMBERS = ["is_subcontractor_work", "is_invoicable", "start_month", "start_weekday", "start_is_weekend", "start_year", "sla_window_hours", "site_open_wo_at_start"]
 LABEL = "is_sla_violation"
-# small models: the columns made from the given tables hold little to learn
-SMALL = {"trees": 10, "depth": 4}
 
 
 @query("creation_features", "M1 J4 M3 C28", """
@@ -231,7 +229,7 @@ def _(t: Tables):
 
 @query("usage_tiers", "M24 G20")
 def _(t: Tables):
-    return usage_tiers(usage_profile(t.room_use(), "asset_name", "utilization_pct"), restarts=5)
+    return usage_tiers(usage_profile(t.room_use(), "asset_name", "utilization_pct"))
 
 
 def _features(t: Tables):
@@ -242,7 +240,7 @@ def _features(t: Tables):
 @query("boosted_model_metrics", "M7 M6 M13 V7")
 def _(t: Tables):
     train, test = _features(t)
-    model = m.fit_breach_model(train, "boosted", CATEGORIES, NUMBERS, LABEL, identifier="wo_no", **SMALL)
+    model = m.fit_breach_model(train, "boosted", CATEGORIES, NUMBERS, LABEL, identifier="wo_no")
     scored = m.scored_once(model, test, "p")
     rows = v.classification_metrics(scored, "p", LABEL).withColumn("model", F.lit("boosted"))
     base = v.classification_metrics(m.priority_rate(train, test, LABEL), "p", LABEL).withColumn("model", F.lit("priority rate"))
@@ -252,21 +250,21 @@ def _(t: Tables):
 @query("forest_importance", "M8 M17 M6")
 def _(t: Tables):
     train, _test = _features(t)
-    return m.fit_breach_model(train, "forest", CATEGORIES, NUMBERS, LABEL, **SMALL).impurity_importance()
+    return m.fit_breach_model(train, "forest", CATEGORIES, NUMBERS, LABEL).impurity_importance()
 
 
 @query("logistic_predictions", "M9 M18")
 def _(t: Tables):
     train, test = _features(t)
-    model = m.fit_breach_model(train, "logistic", CATEGORIES, NUMBERS, LABEL, trees=50)
+    model = m.fit_breach_model(train, "logistic", CATEGORIES, NUMBERS, LABEL)
     return model.transform(test).select("wo_no", "site_id", "breach_probability", LABEL)
 
 
 @query("permutation_importance", "M16")
 def _(t: Tables):
     train, test = _features(t)
-    model = m.fit_breach_model(train, "logistic", CATEGORIES, NUMBERS, LABEL, trees=20)
-    return v.permutation_importance(test, lambda df: model.transform(df, "p"), [*CATEGORIES, *NUMBERS], "p", LABEL, "wo_no", repeats=2)
+    model = m.fit_breach_model(train, "logistic", CATEGORIES, NUMBERS, LABEL)
+    return v.permutation_importance(test, lambda df: model.transform(df, "p"), [*CATEGORIES, *NUMBERS], "p", LABEL, "wo_no")
 
 
 @query("segment_models", "M11 M12")
@@ -274,7 +272,7 @@ def _(t: Tables):
     data = durable(f.intake_features(t.work_orders(), rolling_context(t.daily())).withColumn(
         "work_started_at_utc", F.col("work_started_at_utc").cast("timestamp")))
     models, _table = m.fit_segments(data, "contract_type", {"KH": "2000-01-01", "KT": "1999-01-01"}, list(f.INTAKE_CATEGORIES),
-                                    list(f.INTAKE_NUMBERS), LABEL, "work_started_at_utc", min_frequency=10, **SMALL)
+                                    list(f.INTAKE_NUMBERS), LABEL, "work_started_at_utc", min_frequency=10)
     scored = m.score_routed(data, "contract_type", models)
     return scored.select("wo_no", "contract_type", "risk_prob", "risk_label", "model_used")
 

@@ -1,14 +1,14 @@
 """Anomalies per site: isolation forest (Liu, Ting and Zhou 2008) and robust z-scores.
 
-Trees see at most 256 sampled rows each; scoring visits a site's days in blocks.
-Both are small bounded tasks that Spark spreads by site and tree.
+Trees see at most 256 sampled rows each, grown in small tasks by site and tree. A
+site's forest then travels to its rows, which are scored in batches wherever they are.
 """
 
 from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from evenkeel.operators.ordered import exact_quantiles
+from evenkeel.session import durable
+
 # --- fixed values: forest parameters ---------------------------------------------
 TREES, SAMPLE, CONTAMINATION, SEED, LEAST_ROWS = 200, 256, 0.05, 42, 30
 MAD_TO_SIGMA = 1.4826
@@ -85,19 +88,21 @@ def _depths(x: np.ndarray, trees: int, on: np.ndarray, at: np.ndarray, child: np
 
 def isolation_forest(df: DataFrame, site: str, identifier: str, features: Sequence[str], trees: int = TREES,
                      sample: int = SAMPLE, contamination: float = CONTAMINATION, seed: int = SEED,
-                     least_rows: int = LEAST_ROWS, blocks: int = 1) -> DataFrame:
-    """Score (−1 to 0, lower is stranger) and flag per row; small sites are left out.
+                     least_rows: int = LEAST_ROWS) -> DataFrame:
+    """Score (−1 to 0, lower is stranger), flag and reason per row; no row is left out.
 
-    ``blocks`` spreads the scoring of each site over several tasks. A feature that
-    is null throughout a site is not used there; rows with other nulls are dropped.
+    A gap takes the site's median of that feature; a feature that is null throughout
+    a site is not used there. Sites below ``least_rows`` are too small for a forest:
+    their rows have a null score, are not flagged, and say so in ``reason``.
     """
     features = list(features)
     sizes = df.groupBy(site).agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[(F.count(f) > 0).alias(f"_has_{f}") for f in features]).where(F.col("_rows") >= least_rows)
+        *[F.percentile(F.col(f).cast("double"), F.lit(0.5)).alias(f"_mid_{f}") for f in features])
     whole = df.select(site, identifier, *[F.col(f).cast("double").alias(f) for f in features]).join(sizes, site)
-    usable = [F.when(F.col(f"_has_{f}"), F.col(f)).otherwise(0.0) for f in features]
-    rows = whole.select(site, identifier, "_rows", *[u.alias(f) for u, f in zip(usable, features)]).dropna(subset=features)
+    filled = [F.coalesce(f, f"_mid_{f}", F.lit(0.0)).alias(f) for f in features]
+    every = whole.select(site, identifier, "_rows", *filled)
+    rows, small = every.where(F.col("_rows") >= least_rows), every.where(F.col("_rows") < least_rows)
 
     # a row draws each tree by hash; expected draws a tree are about 1.5 times the sample
     chance = F.least(F.lit(1.0), F.lit(1.5 * sample + 32) / F.col("_rows"))
@@ -120,24 +125,33 @@ def isolation_forest(df: DataFrame, site: str, identifier: str, features: Sequen
     grown = drawn.withColumn("_task", F.floor(F.col("tree") / TREES_PER_TASK)).groupBy(site, "_task").applyInPandas(
         grow, f"`{site}` {kind}, {BLOCK_SCHEMA}")
 
-    def score(pdf: pd.DataFrame, forest: pd.DataFrame) -> pd.DataFrame:
-        x = pdf[features].to_numpy(float)
-        depth = np.zeros(len(x))
-        for b in forest.itertuples():
-            depth += _depths(x, b.trees, *map(np.asarray, (b.split_on, b.split_at, b.child, b.depth_at)))
-        grown_trees = max(int(forest["trees"].sum()), 1)
-        typical = max(float(mean_path(int(forest["sample_rows"].max()))), 1e-12) if len(forest) else 1.0
-        values = -np.power(2.0, -(depth / grown_trees) / typical)
-        return pd.DataFrame({site: pdf[site], identifier: pdf[identifier], "anomaly_score": values})
-
-    block = F.pmod(F.xxhash64(identifier), F.lit(blocks))
-    spread = grown.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn(
-        "_block", F.col("_block").cast("bigint"))
-    scored = rows.withColumn("_block", block).groupBy(site, "_block").cogroup(spread.groupBy(site, "_block")).applyInPandas(
-        score, f"`{site}` {kind}, `{identifier}` {dict(df.dtypes)[identifier]}, anomaly_score DOUBLE")
-    # over a site's days; a second aggregate would score everything twice
-    cut = F.percentile("anomaly_score", F.lit(contamination)).over(W.partitionBy(site))
-    return scored.withColumn("is_anomaly", F.col("anomaly_score") < cut)
+    # a few kilobytes a site: the forest goes to the rows, and the rows stay where they are
+    kept = F.sort_array(F.collect_list(F.struct("trees", "sample_rows", "split_on", "split_at", "child", "depth_at")))
+    forests = grown.groupBy(site).agg(kept.alias("_forest"))
+    ready = rows.select(site, identifier, F.array(*features).alias("_x")).join(forests, site)
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            values = np.zeros(len(pdf))
+            for where in pdf.groupby(site, sort=False).indices.values():
+                forest, x = pdf["_forest"].iloc[where[0]], np.stack(pdf["_x"].iloc[where].to_list())
+                depth = np.zeros(len(x))
+                for b in forest:
+                    depth += _depths(x, b["trees"], *(np.asarray(b[c]) for c in ("split_on", "split_at", "child", "depth_at")))
+                grown_trees = max(sum(b["trees"] for b in forest), 1)
+                typical = max(float(mean_path(max(b["sample_rows"] for b in forest))), 1e-12)
+                values[where] = -np.power(2.0, -(depth / grown_trees) / typical)
+            yield pd.DataFrame({site: pdf[site], identifier: pdf[identifier], "anomaly_score": values})
+
+    kinds = dict(df.dtypes)
+    scored = durable(ready.mapInPandas(score, f"`{site}` {kind}, `{identifier}` {kinds[identifier]}, anomaly_score DOUBLE"))
+    cut = exact_quantiles(scored, "anomaly_score", {"_cut": contamination}, [site])
+    judged = scored.join(cut, site).select(
+        site, identifier, "anomaly_score", (F.col("anomaly_score") < F.col("_cut")).alias("is_anomaly"),
+        F.lit(None).cast("string").alias("reason"))
+    return judged.unionByName(small.select(
+        site, identifier, F.lit(None).cast("double").alias("anomaly_score"), F.lit(False).alias("is_anomaly"),
+        F.lit(f"fewer than {least_rows} rows").alias("reason")))
 
 
 def robust_z(df: DataFrame, site: str, features: Sequence[str], name: str = "baseline_zscore") -> DataFrame:

@@ -124,19 +124,20 @@ def calibration_table(scored: DataFrame, score: str, label: str, bins: int = 10,
 
 
 def shuffled_features(df: DataFrame, features: Sequence[str], identifier: str, repeats: int,
-                      seed: int = 42, block_rows: int = 100_000) -> DataFrame:
+                      seed: int = 42) -> DataFrame:
     """Copies of the rows with one feature shuffled: per ``feature`` and ``repeat``.
 
-    Rows fall into random blocks of about ``block_rows`` and take the feature of
-    the next row in a random order of their block, the last one the first's: every
-    column keeps exactly its values and loses its link to the label.
+    In each repeat all rows are numbered in two random orders, and a row takes the
+    feature of the row whose second number is its first: one permutation of the whole
+    table at any size, so every column keeps exactly its values and loses its link to
+    the label. Numbers come from ranges of the orders, not from one sort.
     """
-    blocks = F.greatest(F.lit(1).cast("bigint"), F.floor(df.agg(F.count(F.lit(1))).scalar() / block_rows))
     copies = df.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    copies = copies.withColumn("_block", F.pmod(F.xxhash64(identifier, "repeat", F.lit(seed)), blocks))
-    spec = W.partitionBy("repeat", "_block").orderBy(F.xxhash64(identifier, "repeat", F.lit(seed + 1)), identifier)
-    own = F.struct(*features)
-    moved = copies.withColumn("_other", F.coalesce(F.lead(own).over(spec), F.first(own).over(spec)))
+    order = lambda salt: [F.xxhash64(identifier, "repeat", F.lit(seed + salt)), F.col(identifier)]
+    placed = row_numbers(copies, order(0), ["repeat"], "_at", few_groups=True)
+    givers = row_numbers(copies.select("repeat", identifier, F.struct(*features).alias("_other")), order(1), ["repeat"],
+                         "_at", few_groups=True).select("repeat", "_at", "_other")
+    moved = placed.join(givers, ["repeat", "_at"])
     versions = [
         F.struct(F.lit(f).alias("feature"), *[(F.col(f"_other.{g}") if g == f else F.col(g)).alias(g) for g in features])
         for f in features]
@@ -148,7 +149,9 @@ def permutation_importance(df: DataFrame, predict: Callable[[DataFrame], DataFra
                            score: str, label: str, identifier: str, repeats: int = 8, seed: int = 42) -> DataFrame:
     """Mean and deviation of the AUC lost when a feature is shuffled."""
     base = classification_metrics(predict(df), score, label).first()["roc_auc"]
-    shuffled = predict(shuffled_features(df, features, identifier, repeats, seed))
+    scored = predict(shuffled_features(df, features, identifier, repeats, seed))
+    # scored once: counts of (copy, score, label) are all that the AUC needs
+    shuffled = durable(scored.select("feature", "repeat", score, label))
     per_copy = classification_metrics(shuffled, score, label, ["feature", "repeat"], few_groups=True)
     loss = F.lit(base) - F.col("roc_auc")
     return per_copy.groupBy("feature").agg(F.avg(loss).alias("importance"), F.stddev_pop(loss).alias("std"))

@@ -314,7 +314,7 @@ def unpivot_wide_dates(wide: DataFrame, identifier: str, name: str, value: str)
     dates = [c for c in wide.columns if c != identifier]
     long = wide.select(identifier, *[F.col(f"`{c}`").cast("string").alias(c) for c in dates]).unpivot(
         identifier, dates, name, value)
-    return long.select(identifier, F.to_date(name).alias(name), F.col(value).try_cast("double").alias(value))
+    return long.select(identifier, F.try_to_date(F.col(name)).alias(name), F.col(value).try_cast("double").alias(value))
 
 
 def conform_utilization(long: DataFrame, site_id: str, identifier: str = "asset",
@@ -325,7 +325,7 @@ def conform_utilization(long: DataFrame, site_id: str, identifier: str = "asset"
     file name. All rows belong to one site.
     """
     typed = long.select(
-        F.col(identifier).alias("asset_name"), F.to_date("header").alias("utilization_date"),
+        F.col(identifier).alias("asset_name"), F.try_to_date(F.col("header")).alias("utilization_date"),
         clean_null("value").try_cast("double").alias("utilization_pct"), F.col("file_path").alias("source_file"),
         range_end_of_file("file_name").alias("_export_end"))
     latest = keep_latest(typed, ["asset_name", "utilization_date"], ["_export_end"], ["source_file"])

@@ -105,7 +105,10 @@ def rate_lookup(train: DataFrame, test: DataFrame, level: str, label: str, name:
 def link_rate(df: DataFrame, key: str, target: DataFrame, target_key: str, by: Sequence[str] = ()) -> DataFrame:
     """Rows, rows with a link key, rows whose key matches, and the two rates."""
     known = target.select(F.col(target_key).alias("_target")).distinct()
-    linked = df.join(known, df[key] == known["_target"], "left")
+    # null keys match nothing: kept out of the join, they do not all go to one task
+    keyed = df.where(F.col(key).isNotNull())
+    linked = keyed.join(known, keyed[key] == known["_target"], "left").unionByName(
+        df.where(F.col(key).isNull()), allowMissingColumns=True)
     return linked.groupBy(*by).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count(key).alias("keyed"),

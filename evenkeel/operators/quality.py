@@ -226,8 +226,10 @@ def run_checks(df: DataFrame, layer: str, table: str, checks: Sequence[Check],
             rows.append(_result(check, layer, table, total, failed, _verdict(check, df, total, failed, value)))
         results.append(fused.select(F.inline(F.array(*rows))))
     results += [key_check(df, layer, table, c) for c in checks if c.kind in KEY_KINDS]
-    results += [reference_check(df, layer, table, c, (references or {})[c.options["table"]])
-                for c in checks if c.kind == "reference"]
+    for c in (c for c in checks if c.kind == "reference"):
+        target = (references or {}).get(c.options["table"])
+        results.append(missing_reference(df, layer, table, c) if target is None
+                       else reference_check(df, layer, table, c, target))
     return reduce(lambda a, b: a.unionByName(b), results)
 
 
@@ -277,6 +279,15 @@ def reference_check(df: DataFrame, layer: str, table: str, check: Check, referen
     return sums.select(F.inline(F.array(_result(check, layer, table, total, orphan, verdict))))
 
 
+def missing_reference(df: DataFrame, layer: str, table: str, check: Check) -> DataFrame:
+    """The failing result of a reference whose target table is not there."""
+    keyed = df.agg(F.count(check.columns[0]).alias("total"))
+    total = F.col("total")
+    verdict = {"passed": F.lit(False), "actual": F.lit(0.0), "expected": F.lit(check.options.get("min_rate", 0.99) * 100.0),
+               "message": F.lit(f"missing reference table: {check.options['table']}"), "severity": F.lit("error")}
+    return keyed.select(F.inline(F.array(_result(check, layer, table, total, total, verdict))))
+
+
 def failing_rows(df: DataFrame, check: Check, references: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """All rows a check fails; ``limit`` the result where a sample is enough."""
     if check.kind in KEY_KINDS:

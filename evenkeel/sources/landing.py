@@ -103,7 +103,9 @@ def quarantine(bad: DataFrame, path: str, layer: str, table: str, check: str, re
     kept = bad.limit(limit) if limit else bad
     target = f"{path}/layer={layer}/table={table}/check={check}/run={run_id}"
     kept.write.mode("overwrite").parquet(target)
-    meta = bad.agg(F.count(F.lit(1)).alias("row_count")).select(
+    # failing rows are worked out once: what was written is what is counted
+    counted = bad if limit else bad.sparkSession.read.schema(bad.schema).parquet(target)
+    meta = counted.agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), F.lit(check).alias("check_id"),
         F.lit(reason).alias("reason"), F.lit(run_id).alias("run_id"), "row_count", F.lit(target).alias("path"),
         F.current_timestamp().alias("quarantined_at"))

@@ -74,10 +74,11 @@ def test_calibration_omits_empty_bins(spark):
     assert rows == {0: (1, 0.0), 9: (2, 1.0)}
 
 
-@pytest.mark.parametrize("block_rows", [100_000, 50])
-def test_shuffling_keeps_each_column_and_the_rest(scored, block_rows):
+@pytest.mark.parametrize("rows_per_range", [100_000, 50])
+def test_shuffling_keeps_each_column_and_the_rest(scored, rows_per_range, monkeypatch):
+    monkeypatch.setattr(ordered, "ROWS_PER_RANGE", rows_per_range)
     df = scored[0].withColumn("q", F.when(F.col("id") % 3 != 0, F.col("id")))
-    out = v.shuffled_features(df, ["p", "q"], "id", repeats=2, block_rows=block_rows)
+    out = v.shuffled_features(df, ["p", "q"], "id", repeats=2)
     assert out.count() == 2000 * 2 * 2
     for feature in ("p", "q"):
         got = out.where((F.col("feature") == feature) & (F.col("repeat") == 1))
@@ -137,16 +138,18 @@ def test_segments_and_routing(learnable):
     assert out.where("contract <> 'SP' AND risk_prob IS NULL").count() == 0
 
 
-@pytest.mark.parametrize("blocks", [1, 3])
-def test_isolation_forest_finds_planted_days(spark, blocks):
+def test_isolation_forest_finds_planted_days(spark):
     rng = np.random.default_rng(1)
     rows = [(site, dt.date(2020, 1, 1) + dt.timedelta(days=i), float(v1), float(v2), None)
             for site in ("a", "b") for i, (v1, v2) in enumerate(rng.normal(size=(400, 2)))]
-    rows += [("a", dt.date(2022, 1, 1), 9.0, -9.0, None), ("tiny", dt.date(2022, 1, 1), 0.0, 0.0, None)]
+    rows += [("b", dt.date(2022, 1, 1), None, 0.1, None), ("a", dt.date(2022, 1, 1), 9.0, -9.0, None), ("tiny", dt.date(2022, 1, 1), 0.0, 0.0, None)]
     df = spark.createDataFrame(rows, "site STRING, day DATE, x DOUBLE, y DOUBLE, z DOUBLE")
-    out = a.isolation_forest(df, "site", "day", ["x", "y", "z"], trees=60, blocks=blocks)
-    rows = out.collect()
-    assert len(rows) == 801 and all(-1 <= r.anomaly_score <= 0 for r in rows)
+    out = a.isolation_forest(df, "site", "day", ["x", "y", "z"], trees=60)
+    tiny = out.where("site = 'tiny'").first()
+    assert tiny.anomaly_score is None and not tiny.is_anomaly and "30 rows" in tiny.reason
+    assert out.where("site = 'b' AND anomaly_score IS NULL").count() == 0  # its gaps are filled
+    rows = out.where("site <> 'tiny'").collect()
+    assert len(rows) == 802 and all(-1 <= r.anomaly_score <= 0 for r in rows)
     worst = min(rows, key=lambda r: r.anomaly_score)
     assert (worst.site, worst.day) == ("a", dt.date(2022, 1, 1)) and worst.is_anomaly
     assert 0.03 < sum(r.is_anomaly for r in rows) / len(rows) < 0.07

@@ -58,6 +58,11 @@ def test_mapping_of_absent_source_is_a_warning(spark):
     assert r.passed and r.severity == "warning"
 
 
+def test_a_missing_reference_table_fails(numbers):
+    r = run(numbers, Check("f", "reference", ("site_id",), options={"table": "dim_site"}))["f"]
+    assert not r.passed and "missing" in r.message
+
+
 def test_reference(spark, numbers):
     sites = spark.createDataFrame([("site_a",)], "site_id STRING")
     check = Check("f", "reference", ("site_id",), options={"table": "dim_site"})
