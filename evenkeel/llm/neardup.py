@@ -3,12 +3,17 @@
 1. Documents with equal shingle sets are one class (128-bit keys, combined before the
    shuffle). All that follows is between classes, however many copies they have.
 2. Bands of MinHash samples put classes into buckets. In a bucket every member is
-   compared with one leader, not with all others; of the leaders whose odd sketch says
-   "similar" a member keeps the closest, and the link is confirmed on full sets.
+   compared with one leader, not with all others: the member that meets most others in
+   its buckets, as the text does from which copies were made. Of the leaders that its
+   sketches allow a member keeps the closest; full sets confirm the link.
 3. Buckets whose members are now one component are done. In the others, members of
-   different components are compared: first with one member in 256 as leader, then
-   one in 16, then all. Pairs of different components are thus all compared (no link
-   between components is lost), and pairs inside one never need to be.
+   different components are compared: first with one member in ``LEADERS`` as leader,
+   then all. Pairs of different components are thus all compared (no link between
+   components is lost), and pairs inside one never need to be.
+
+Sketches allow a pair when the odd sketches of their samples differ in no more bits
+than those of similar sets would, and the parity bitmaps of their whole sets in no more
+bits than linked sets may differ in shingles (which no linked pair exceeds).
 """
 
 from __future__ import annotations
@@ -21,11 +26,12 @@ from evenkeel.llm.common import cut, drop_tables, ship
 from evenkeel.llm.components import connected_components
 
 #: Shares of a bucket's members that lead, one round each.
-LEADERS = (256, 16, 1)
-#: A sketch may underestimate the similarity by this much (about six deviations).
-SKETCH_SLACK = 0.20
+LEADERS = (32, 1)
+#: An odd sketch may underestimate the similarity by this much (four deviations).
+SKETCH_SLACK = 0.10
 
-SIGNATURE = "doc_id bigint, n_shingles bigint, low bigint, high bigint, bands array<bigint>, sketch array<bigint>"
+SIGNATURE = ("doc_id bigint, n_shingles bigint, low bigint, high bigint, bands array<bigint>, sketch array<bigint>, "
+             "parity array<bigint>")
 SETS = "low bigint, high bigint, shingles array<bigint>"
 
 
@@ -46,40 +52,48 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80,
     signed_ids = signed.select("doc_id", "n_shingles", "low", "high")
     key = ["low", "high"]
     alone = F.col("n_shingles") == 0
+    first = {c: F.first(c).alias(c) for c in ("bands", "sketch", "parity")}
     classes = cut(
-        signed.where(~alone).groupBy(*key).agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"),
-                                               F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n"))
+        signed.where(~alone).groupBy(*key).agg(F.min("doc_id").alias("first_id"), *first.values(),
+                                               F.first("n_shingles").alias("n"))
         .withColumn("node", F.coalesce("first_id", -F.shiftrightunsigned("low", 2) - (1 << 62))), "classes")
 
     banded = classes.select("node", F.posexplode("bands").alias("band", "value"))
     members = cut(banded.select("node", F.xxhash64("band", "value").alias("bucket")), "members")
-    leading = F.min(F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("leader")))
-    buckets = cut(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), leading["leader"].alias("leader")).where(
-        F.col("n") > 1).select("bucket", "leader"), "buckets")
-    shared = cut(members.join(buckets, "bucket"), "shared")
-    drop_tables(docs.sparkSession, [members, buckets])
-
-    met = cut(shared.select("node").distinct().join(classes.select("node", "first_id", *key, "sketch", "n"), "node"), "met")
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
+    shared = cut(members.join(sizes, "bucket"), "shared")
+    degrees = shared.groupBy("node").agg(F.sum("size").alias("degree"))
+    leading = F.max(F.struct("degree", F.xxhash64("node").alias("h"), F.col("node").alias("leader")))
+    leaders = shared.join(degrees, "node").groupBy("bucket").agg(leading["leader"].alias("b"))
+    drop_tables(docs.sparkSession, [members])
+
+    met = cut(shared.select("node").distinct().join(
+        classes.select("node", "first_id", *key, "sketch", "parity", "n"), "node"), "met")
     sets = cut(_sets(rows, met, size), "sets")
-    sketches = met.select("node", "sketch")
-
-    stars = _plausible(shared.where(F.col("node") != F.col("leader")).select(
-        F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), sketches, percent)
-    closest = stars.groupBy("a").agg(F.min(F.struct("odd", F.xxhash64("b").alias("h"), "b"))["b"].alias("b"))
+    profiles = met.select("node", F.struct("sketch", "parity", "n").alias("profile"))
+
+    stars = shared.join(leaders, "bucket").where(F.col("node") != F.col("b")).select(
+        F.col("node").alias("a"), "b").distinct()
+    both = _beside(_beside(stars, profiles, "a", "profile"), profiles, "b", "profile")
+    odd = _odd_bits("profile_a.sketch", "profile_b.sketch", shingles.SKETCH_BITS)
+    closest = both.where(_allowed("profile_a", "profile_b", percent)).groupBy("a").agg(
+        F.min(F.struct(odd.alias("odd"), F.xxhash64("b").alias("h"), "b"))["b"].alias("b"))
     labels = _relabelled(met.select("node", F.col("node").alias("label")), _links(closest, sets, percent))
     for share in LEADERS:
         placed = shared.select("bucket", "node").join(labels, "node")
         open_buckets = placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where(
             F.col("lo") != F.col("hi")).select("bucket")
-        active = cut(placed.join(open_buckets, "bucket"), "active")
+        active = cut(placed.join(open_buckets, "bucket").join(profiles, "node"), "active")
         if active.isEmpty():
             break
         leads = F.pmod(F.xxhash64("node"), F.lit(share)) == 0
-        leaders = active.where(leads).select("bucket", F.col("node").alias("b"), F.col("label").alias("label_b"))
-        pairs = active.join(leaders, "bucket").where(
-            (F.col("label") != F.col("label_b")) & ((F.col("node") < F.col("b")) | ~leads)).select(
+        ahead = active.where(leads).select("bucket", F.col("node").alias("b"), F.col("label").alias("label_b"),
+                                           F.col("profile").alias("profile_b"))
+        pairs = active.join(ahead, "bucket").where(
+            (F.col("label") != F.col("label_b")) & ((F.col("node") < F.col("b")) | ~leads)
+            & _allowed("profile", "profile_b", percent)).select(
             F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-        labels = _relabelled(labels, _links(_plausible(pairs, sketches, percent), sets, percent))
+        labels = _relabelled(labels, _links(pairs, sets, percent))
         drop_tables(docs.sparkSession, [active])
 
     named = classes.select("first_id", "node", *key).join(labels, "node", "left").withColumn(
@@ -94,7 +108,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80,
 
 def _sets(rows: DataFrame, met: DataFrame, size: int) -> DataFrame:
     """Full sets of the classes that share a bucket, from their first documents' texts."""
-    wanted = met.select(F.col("first_id").alias("id"))
+    # as many ids as there are near copies: they grow with the documents, so no broadcast
+    wanted = met.select(F.col("first_id").alias("id")).hint("merge")
     texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text")
     full = texts.mapInArrow(shingles.full_sets(size), SETS)
     found = full.join(met.select("low", "high", "node"), ["low", "high"])
@@ -105,15 +120,18 @@ def _beside(pairs: DataFrame, values: DataFrame, end: str, value: str) -> DataFr
     return pairs.join(values.select(F.col("node").alias(end), F.col(value).alias(f"{value}_{end}")), end)
 
 
-def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sketches differ in no more bits than similar sets' would, and the count."""
-    words = shingles.SKETCH_BITS // 64
-    both = _beside(_beside(pairs, sketches, "a", "sketch"), sketches, "b", "sketch")
-    odd: Column = sum((F.bit_count(F.get("sketch_a", F.lit(i)).bitwiseXOR(F.get("sketch_b", F.lit(i))))
-                       for i in range(1, words)),
-                      F.bit_count(F.get("sketch_a", F.lit(0)).bitwiseXOR(F.get("sketch_b", F.lit(0)))))
-    most = shingles.most_odd_bits(percent / 100 - SKETCH_SLACK)
-    return both.select("a", "b", odd.alias("odd")).where(F.col("odd") <= most)
+def _odd_bits(left: str, right: str, bits: int) -> Column:
+    counts = [F.bit_count(F.get(left, F.lit(i)).bitwiseXOR(F.get(right, F.lit(i)))) for i in range(bits // 64)]
+    return sum(counts[1:], counts[0])
+
+
+def _allowed(left: str, right: str, percent: int) -> Column:
+    """Whether the sketches of two classes leave room for a link."""
+    sampled = _odd_bits(f"{left}.sketch", f"{right}.sketch", shingles.SKETCH_BITS)
+    whole = _odd_bits(f"{left}.parity", f"{right}.parity", shingles.PARITY_BITS)
+    sizes = F.col(f"{left}.n") + F.col(f"{right}.n")
+    return ((sampled <= shingles.most_odd_bits(percent / 100 - SKETCH_SLACK))
+            & (whole * (100 + percent) <= (100 - percent) * sizes))
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

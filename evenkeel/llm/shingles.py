@@ -8,6 +8,8 @@ import numpy as np
 
 BANDS, ROWS = 40, 6
 SKETCH_BITS = 512
+#: Bits of the parity bitmap of a whole set.
+PARITY_BITS = 1024
 #: Bytes of text that are hashed at once (a longer text is hashed alone).
 CHUNK = 1 << 20
 
@@ -116,9 +118,18 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
 def odd_sketch(samples: np.ndarray) -> np.ndarray:
     """Every sample toggles one bit: a bit tells whether an odd number of samples fell
     on it, so equal samples cancel in the XOR of two sketches."""
-    at = mixed(samples + _SAMPLE) & np.uint64(SKETCH_BITS - 1)
-    odd = np.bincount(at.astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return _parities(mixed(samples + _SAMPLE), SKETCH_BITS)
+
+
+def set_parity(hashes: np.ndarray) -> np.ndarray:
+    """The same over all shingles: two sets differ in at least as many shingles as their
+    bitmaps differ in bits."""
+    return _parities(hashes, PARITY_BITS)
+
+
+def _parities(values: np.ndarray, bits: int) -> np.ndarray:
+    at = (values & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).view(np.int64)
 
 
 def most_odd_bits(similarity: float) -> int:
@@ -135,18 +146,20 @@ def signatures(size: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                sizes, low, high, bands, sketches = [], [], [], [], []
+                sizes, low, high, bands, sketches, parities = [], [], [], [], [], []
                 for s in shingle_sets(part.column(1).to_pylist(), size):
                     a, b = set_key(s)
                     sizes.append(len(s)), low.append(a), high.append(b)
                     samples = min_hashes(s) if len(s) else None
                     bands.append(band_keys(samples) if len(s) else [])
                     sketches.append(odd_sketch(samples) if len(s) else [])
+                    parities.append(set_parity(s) if len(s) else [])
                 longs = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column(0), "n_shingles": pa.array(sizes, pa.int64()),
                     "low": pa.array(low, pa.int64()), "high": pa.array(high, pa.int64()),
-                    "bands": pa.array(bands, longs), "sketch": pa.array(sketches, longs)})
+                    "bands": pa.array(bands, longs), "sketch": pa.array(sketches, longs),
+                    "parity": pa.array(parities, longs)})
     return run
 
 
