@@ -92,6 +92,21 @@ def _finish(typed: DataFrame, issues: Mapping[str, Column], strict: bool, scratc
     return out
 
 
+def flag_duplicates(df: DataFrame, key: str, strict: bool = False) -> DataFrame:
+    """Name rows whose key occurs more than once among their ``issues``.
+
+    Keys are counted first, and only repeated ones (few, as a rule) meet the rows;
+    a null key is not a duplicate here, it is an issue of its own.
+    """
+    repeated = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(
+        F.count(F.lit(1)).alias("_times")).where(F.col("_times") > 1)
+    marked = df.join(repeated, df[key] == repeated["_key"], "left")
+    twice, message = F.col("_times").isNotNull(), f"duplicate {key}"
+    added = F.array_append("issues", F.lit(message))
+    stopped = F.raise_error(F.lit(f"rows with issues: {message}")).cast("array<string>") if strict else added
+    return marked.withColumn("issues", F.when(twice, stopped).otherwise(F.col("issues"))).drop("_key", "_times")
+
+
 def split_clean(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Clean rows without the issue list, and the rest with it. Together: all rows."""
     return df.where(F.size("issues") == 0).drop("issues"), df.where(F.size("issues") > 0)
@@ -147,7 +162,8 @@ def conform_alarms(raw: DataFrame, sites: DataFrame, zone: str = "Europe/Helsink
         "bad event_closed_time": _unparsed("EVENT_CLOSED_TIME", "event_closed_at_utc"),
         "bad workorder_no": _unparsed("WORKORDER_NO", "workorder_no"),
     }
-    return map_to_site(_finish(typed, issues, strict, scratch), erp_sites(sites), ERP_KEY)
+    checked_rows = flag_duplicates(_finish(typed, issues, strict, scratch), "alert_event_id", strict)
+    return map_to_site(checked_rows, erp_sites(sites), ERP_KEY)
 
 
 def conform_work_orders(raw: DataFrame, sites: DataFrame, zone: str = "Europe/Helsinki", strict: bool = False,
@@ -201,7 +217,7 @@ def conform_work_orders(raw: DataFrame, sites: DataFrame, zone: str = "Europe/He
         "mojibake": has_mojibake(F.concat_ws(" ", *texts)),
     }
     scratch += ["_started", "_finished", "_days", "_violation", "_invoicable", "_subcontractor"]
-    return map_to_site(_finish(typed, issues, strict, scratch), erp_sites(sites), ERP_KEY)
+    return map_to_site(flag_duplicates(_finish(typed, issues, strict, scratch), "wo_no", strict), erp_sites(sites), ERP_KEY)
 
 
 def conform_maintenance_plans(raw: DataFrame, sites: DataFrame, zone: str = "Europe/Helsinki", strict: bool = False,
@@ -244,6 +260,20 @@ def _members(properties: DataFrame, prop: str, fields: Sequence[str]) -> DataFra
     return properties.where(p.isNotNull()).select(*source, F.inline(everyone))
 
 
+def _bad_times(fields: Mapping[str, str]) -> Column:
+    """Issues of offset timestamps: text that is no timestamp."""
+    return F.array_compact(F.array(*[
+        F.when(F.col(c).isNotNull() & parse_offset_timestamp(c).isNull(), F.lit(f"bad {n}")) for n, c in fields.items()]))
+
+
+def _stopped(df: DataFrame, strict: bool) -> DataFrame:
+    if not strict:
+        return df
+    message = F.concat(F.lit("rows with issues: "), F.array_join("issues", ", "))
+    return df.withColumn("issues", F.when(F.size("issues") == 0, F.col("issues")).otherwise(
+        F.raise_error(message).cast("array<string>")))
+
+
 def explode_readings(properties: DataFrame, prop: str = "property", source_system: str = "building_automation",
                      units: Mapping[str, str] = METRIC_UNITS, spread: int | None = None) -> DataFrame:
     """Property → metric → point, children included, in long form.
@@ -261,7 +291,7 @@ def explode_readings(properties: DataFrame, prop: str = "property", source_syste
         "metric", F.col("key").alias("meter_key"), parse_offset_timestamp("t").alias("timestamp_utc"),
         F.col("v").cast("double").alias("value"), code_lookup("metric", units, "unknown").alias("unit"),
         F.col("src").alias("source"),
-        *[c.alias(n) for n, c in _source(members, source_system).items()])
+        *[c.alias(n) for n, c in _source(members, source_system).items()], _bad_times({"timestamp": "t"}).alias("issues"))
 
 
 def extract_incidents(properties: DataFrame, prop: str = "property",
@@ -277,15 +307,18 @@ def extract_incidents(properties: DataFrame, prop: str = "property",
         F.coalesce("internal", F.lit(False)).alias("is_internal"),
         F.coalesce("include_in_report", F.lit(True)).alias("include_in_report"),
         (F.col("status") == "resolved").alias("is_resolved"),
-        *[c.alias(n) for n, c in _source(members, source_system).items()])
+        *[c.alias(n) for n, c in _source(members, source_system).items()],
+        _bad_times({"created_at": "created_at", "updated_at": "updated_at"}).alias("issues"))
 
 
-def conform_readings(properties: DataFrame, sites: DataFrame, **kwargs) -> DataFrame:
-    return map_to_site(explode_readings(properties, **kwargs), property_sites(sites), ["property_id"])
+def conform_readings(properties: DataFrame, sites: DataFrame, strict: bool = False, **kwargs) -> DataFrame:
+    points = flag_duplicates(_stopped(explode_readings(properties, **kwargs), strict), "reading_id", strict)
+    return map_to_site(points, property_sites(sites), ["property_id"])
 
 
-def conform_incidents(properties: DataFrame, sites: DataFrame, **kwargs) -> DataFrame:
-    return map_to_site(extract_incidents(properties, **kwargs), property_sites(sites), ["property_id"])
+def conform_incidents(properties: DataFrame, sites: DataFrame, strict: bool = False, **kwargs) -> DataFrame:
+    found = flag_duplicates(_stopped(extract_incidents(properties, **kwargs), strict), "incident_id", strict)
+    return map_to_site(found, property_sites(sites), ["property_id"])
 
 
 # ---------------------------------------------------------------- occupancy, utilization

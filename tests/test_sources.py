@@ -75,6 +75,27 @@ def test_alarms(spark, sites, tmp_path):
         c.conform_alarms(readers.read_erp_csv(spark, str(tmp_path)), sites, strict=True).collect()
 
 
+def test_duplicate_keys_and_bad_times_are_named(spark, sites, tmp_path):
+    csv(tmp_path / "alarms.csv", ALARM_COLUMNS, [ALARM | {"ALERT_EVENT_ID": i} for i in (1, 2, 2)], encoding="utf-8-sig")
+    raw = readers.read_erp_csv(spark, str(tmp_path))
+    assert sorted(r.issues for r in c.conform_alarms(raw, sites).collect()) == [[]] + [["duplicate alert_event_id"]] * 2
+    with pytest.raises(Exception, match="duplicate alert_event_id"):
+        c.conform_alarms(raw, sites, strict=True).collect()
+    point = "struct<t:string,v:double,key:string,src:string>"
+    incident = ("struct<id:string,node_id:string,created_at:string,updated_at:string,event_type:string,priority:string,"
+                "status:string,category:string,points:double,description:string,internal:boolean,include_in_report:boolean>")
+    child = f"struct<id:string,readings:map<string,struct<data:array<{point}>>>,incidents:array<{incident}>>"
+    both = f"id:string,readings:map<string,struct<data:array<{point}>>>,incidents:array<{incident}>,children:array<{child}>"
+    points = [("2024-01-01T00:00:00+00:00", 1.0, "k", "s")] * 2 + [("never", 2.0, "k", "s")]
+    event = ("i", "n", "2024-01-01T00:00:00+00:00", "soon", "e", "p", "s", "c", 1.0, "d", None, None)
+    props = spark.createDataFrame([(("p1", {"m": (points,)}, [event], None),)], f"property struct<{both}>")
+    assert sorted(r.issues for r in c.conform_readings(props, sites).collect()) == [
+        ["bad timestamp"], ["duplicate reading_id"], ["duplicate reading_id"]]
+    assert [r.issues for r in c.conform_incidents(props, sites).collect()] == [["bad updated_at"]]
+    with pytest.raises(Exception, match="bad timestamp"):
+        c.conform_readings(props, sites, strict=True).collect()
+
+
 def test_work_orders(spark, sites, tmp_path):
     base = {k: "NULL" for k in WORK_ORDER_COLUMNS} | {
         "CUSTOMER_NO": 1, "CUSTOMER_SITE_NO": 12, "CONTRACT": "KH", "WORK_ORDER_DESCRIPTION": "Testi työ",
