@@ -41,8 +41,75 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.quality_rules(table(spark, folder, "documents"), keep=["doc_id"])
     return judged.select("doc_id", *[f"quality.{n}" for n in (
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "word_distance", "class_distance")])
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")],
+        *[F.round(f"quality.{n}", 6).alias(n) for n in ("word_distance", "class_distance")])
+
+
+def parts_sql(p: str, q: str) -> str:
+    """A bin's part of twice the Jensen-Shannon divergence."""
+    half = lambda a, b: f"CASE WHEN {a} > 0 THEN ({a}) * log2(2 * ({a}) / (({a}) + ({b}))) ELSE 0 END"
+    return f"({half(p, q)} + {half(q, p)})"
+
+
+ORACLE["op3_quality_rules"] = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text FROM documents
+), words AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+         regexp_replace(text, '[a-z\x20\x09-\x0D\x{{DF}}-\x{{FF}}]+', '', 'g') AS rare,
+         list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM docs
+), windows AS (
+  SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS times
+  FROM (SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS win
+        FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM words WHERE len(w) >= 3))
+), covered AS (
+  SELECT rid, count(DISTINCT pos) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS pos FROM windows WHERE times > 1) GROUP BY rid
+), counts AS (
+  SELECT rid, doc_id, lang, text, w, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(text) AS chars,
+         length(regexp_replace(rare, '[^\p{{Lu}}]+', '', 'g')) AS c0, length(regexp_replace(rare, '[^0-9]+', '', 'g')) AS c1,
+         length(regexp_replace(rare, '[^#*$%&|<>]+', '', 'g')) AS c2,
+         length(regexp_replace(rare, '[^.,;:!?''"()/@_\-]+', '', 'g')) AS c3,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+  FROM words LEFT JOIN covered USING (rid)
+), bins AS (
+  SELECT rid, lang, chars, unnest([c0, c1, c2, c3, chars - word_chars, word_chars - c0 - c1 - c2 - c3]) AS n,
+         unnest(range(6)) AS bin FROM counts
+), class_shares AS (
+  SELECT lang, bin, sum(n) / sum(sum(n)) OVER (PARTITION BY lang) AS q FROM bins WHERE lang IS NOT NULL GROUP BY lang, bin
+), tokens AS (
+  SELECT rid, lang, lower(unnest(w)) AS word FROM counts
+), listed AS (
+  SELECT lang, word, n / total AS q
+  FROM (SELECT lang, word, count(*) AS n, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS place,
+               sum(count(*)) OVER (PARTITION BY lang) AS total
+        FROM tokens WHERE lang IS NOT NULL GROUP BY lang, word)
+  WHERE place <= 40
+), others AS (
+  SELECT lang, 1 - sum(q) AS other FROM listed GROUP BY lang
+), met AS (
+  SELECT rid, l.lang, sum({parts_sql("t.n::DOUBLE / c.n_words", "l.q")}) AS part, sum(t.n::DOUBLE / c.n_words) AS p, sum(l.q) AS q
+  FROM (SELECT rid, word, count(*) AS n FROM tokens GROUP BY rid, word) t
+  JOIN listed l USING (word) JOIN counts c USING (rid) GROUP BY rid, l.lang
+), word_distances AS (
+  SELECT rid, min(sqrt(least(1, greatest(0, (coalesce(m.part, 0) + {parts_sql("1 - coalesce(m.p, 0)", "o.other")}
+                                             + 1 - o.other - coalesce(m.q, 0)) / 2)))) AS d
+  FROM (SELECT rid FROM counts) CROSS JOIN others o LEFT JOIN met m USING (rid, lang) GROUP BY rid
+), class_distances AS (
+  SELECT rid, min(d) AS d FROM (
+    SELECT b.rid, s.lang, sqrt(least(1, greatest(0, sum({parts_sql("b.n::DOUBLE / b.chars", "s.q")}) / 2))) AS d
+    FROM (SELECT rid, bin, n, chars FROM bins) b JOIN class_shares s USING (bin) JOIN others USING (lang) WHERE b.chars > 0 GROUP BY b.rid, s.lang) GROUP BY rid
+), judged AS (
+  SELECT c.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         CASE WHEN n_words >= 50 AND chars >= 200 THEN wd.d END AS wd, CASE WHEN n_words >= 50 AND chars >= 200 THEN cd.d END AS cd
+  FROM counts c LEFT JOIN word_distances wd USING (rid) LEFT JOIN class_distances cd USING (rid)
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, c2::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+       n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(wd <= {quality.MOST_WORD_DISTANCE}, true) AND coalesce(cd <= {quality.MOST_CLASS_DISTANCE}, true) AS kept,
+       round(wd, 6) AS word_distance, round(cd, 6) AS class_distance
+FROM judged
+"""
 
 
 @query
