@@ -13,7 +13,7 @@ __all__ = [
     "parse_bool", "delimiter_of", "cp1252_from_latin1", "surrogate_key",
     "code_lookup", "first_keyword", "matches_class", "known_or_unknown",
     "building_of_file", "occupancy_kind_of_file", "range_end_of_file", "prefixed_id",
-    "contains_email", "is_null_literal",
+    "is_null_literal",
 ]
 
 # --- fixed values: must equal the source system's conventions -------------------
@@ -172,7 +172,3 @@ def range_end_of_file(name: Column | str) -> Column:
 
 def prefixed_id(prefix: str, c: Column | str, suffix: str = "") -> Column:
     return F.concat(F.lit(prefix), as_column(c).cast("string"), F.lit(suffix))
-
-
-def contains_email(c: Column | str) -> Column:
-    return F.coalesce(as_column(c).rlike(EMAIL_PATTERN), F.lit(False))

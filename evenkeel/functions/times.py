@@ -12,7 +12,7 @@ from evenkeel.functions.text import as_column, clean_null
 
 __all__ = [
     "LOCAL_ZONE", "parse_local_timestamp", "parse_date", "local_to_utc", "parse_offset_timestamp",
-    "utc_date", "iso_weekday", "is_weekend", "iso_year", "month_start", "elapsed_seconds",
+    "iso_weekday", "is_weekend", "iso_year", "month_start", "elapsed_seconds",
     "elapsed_hours", "elapsed_days", "first_weekday_of_month", "export_year",
     "nth_business_day", "file_export_date", "calendar_columns",
 ]
@@ -55,10 +55,6 @@ def parse_offset_timestamp(c: Column | str) -> Column:
     return as_column(c).try_cast("timestamp")
 
 
-def utc_date(c: Column | str) -> Column:
-    return F.to_date(as_column(c))
-
-
 def iso_weekday(c: Column | str) -> Column:
     return F.weekday(as_column(c)) + 1
 

@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.functions import probability_label
+from evenkeel.functions import nan_to_null, probability_label
 from evenkeel.learning.evaluation import classification_metrics
 from evenkeel.operators.joins import rate_lookup
 from evenkeel.operators.ordered import exact_quantiles
@@ -72,9 +72,10 @@ def _prepared(df: DataFrame, kept: Mapping[str, list[str]], categories: Sequence
     level = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(MISSING))
     folded = {f"_cat_{c}": F.when(level(c).isin(kept[c]), level(c)).otherwise(RARE) if kept[c] else F.lit(RARE)
               for c in categories}
-    plain = {f"_num_{c}": F.col(c).cast("double") for c in numbers}
+    # not-a-number is missing here, and ends with it: no model sees either
+    plain = {f"_num_{c}": nan_to_null(F.col(c).cast("double")) for c in numbers}
     # trees cannot route a missing value: a flag keeps that it was missing
-    flags = {f"_gap_{c}": F.col(c).isNull().cast("double") for c in numbers}
+    flags = {f"_gap_{c}": nan_to_null(F.col(c).cast("double")).isNull().cast("double") for c in numbers}
     return df.withColumns({**folded, **plain, **flags})
 
 

@@ -144,7 +144,3 @@ def site_feature_matrix(daily: DataFrame, features: Sequence[str], site: str = "
     return stats.select(
         site, date, *[F.when(kept[f], F.coalesce(value[f], F.col(f"_med_{f}"))).alias(f) for f in features],
         F.array_compact(F.array(*[F.when(kept[f], F.lit(f)) for f in features])).alias("usable"))
-
-
-def with_calendar(df: DataFrame, date: str) -> DataFrame:
-    return df.withColumns({"weekday": iso_weekday(date), "month": F.month(date), "is_weekend": is_weekend(date)})

@@ -44,7 +44,7 @@ def durable(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
-            if not context.master.startswith("local["):
+            if context.master.split("[")[0] != "local":
                 raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
         context.setCheckpointDir(folder)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.functions import cp1252_from_latin1, delimiter_of, has_mojibake, is_null_literal
+from evenkeel.functions import cp1252_from_latin1, delimiter_of, is_null_literal
 from evenkeel.sources.contracts import OCCUPANCY_SCHEMA, PROPERTY_SCHEMA
 
 SIDE_FILES = r"(\.meta\.json|^_manifest\.json)$"
@@ -74,14 +74,6 @@ def read_erp_csv(spark: SparkSession, path: str, glob: str | None = "*.csv",
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def mojibake_files(spark: SparkSession, path: str, glob: str | None = "*.csv") -> DataFrame:
-    """Files with lines that still show mojibake once read as UTF-8."""
-    reader = spark.read.option("recursiveFileLookup", "true")
-    reader = reader.option("pathGlobFilter", glob) if glob else reader
-    return reader.text(path).where(has_mojibake("value")).groupBy(F.col("_metadata.file_name").alias("file_name")).agg(
-        F.count(F.lit(1)).alias("bad_lines"))
-
-
 def read_properties(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """One row a building-automation document.
 
