@@ -67,7 +67,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = M
     the target are then taken in the order of exponential keys divided by document
     quality, the last document as far as the target reaches. The order of a source is
     cut into slices by the keys' distribution function; slices are summed first, so
-    only the slice where the target ends is sorted, however large the source is.
+    only the slice where the target ends is sorted, however large the source is. Texts
+    are read once: sizes and keys are written, with the kept columns, to the shared folder.
 
     Null text has size 0 and is never taken. Null sources are one source, the last.
     Rows that tie in key are ordered by id and text; equal rows are interchangeable.
@@ -79,7 +80,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = M
     sized = docs.select(*kept, F.col(source).alias("_source"), F.col(identifier).alias("_id"), value.alias("_text")
                         ).withColumn("_size", F.size(words_of(F.col("_text"))).cast("bigint"))
     keyed = sized.withColumn("_key", exponential_key(F.col("_id"), quality_weight(F.col("_text"), F.col("_size")), seed))
-    placed = keyed.withColumn("_slice", F.floor((1 - F.exp(-F.col("_key"))) * slices))
+    placed = cut(keyed.withColumns({
+        "_slice": F.floor((1 - F.exp(-F.col("_key"))) * slices), "_tie": F.xxhash64("_text")}).drop("_text"), "mix")
 
     sums = cut(placed.groupBy(F.col("_source").alias("source"), F.col("_slice").alias("slice")).agg(
         F.sum("_size").alias("words")), "slices")
@@ -99,7 +101,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = M
     ready = placed.join(plan, F.col("_source").eqNullSafe(F.col("of")), "left")
     whole = ready.where(F.col("_slice") != F.col("last")).withColumn(
         "_part", F.when(F.col("_slice") < F.col("last"), F.col("_size")).otherwise(F.lit(0)))
-    order = W.partitionBy("_source").orderBy("_key", "_id", F.xxhash64("_text")).rowsBetween(W.unboundedPreceding, 0)
+    order = W.partitionBy("_source").orderBy("_key", "_id", "_tie").rowsBetween(W.unboundedPreceding, 0)
     edge = ready.where(F.col("_slice") == F.col("last")).withColumn("_upto", F.sum("_size").over(order)).withColumn(
         "_part", F.greatest(F.lit(0), F.least(F.col("_size"), F.col("open") - F.col("_upto") + F.col("_size")))
     ).drop("_upto")
