@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.llm import mixing, neardup, packing, quality, secrets
-from evenkeel.llm.common import new_path, table
+from evenkeel.llm.common import WRITTEN, drop_folders, new_path, table
 from evenkeel.session import pin_utc
 
 
@@ -19,11 +22,30 @@ def _documents(rows: DataFrame, like: DataFrame) -> DataFrame:
     return rows.select(*like.columns)
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_LEFT: list[str] = []
+
+
+def stage(fn: Stage) -> Stage:
+    """A stage's result is written before the next stage is called, so that one first
+    deletes the tables which the stage before left in the shared folder."""
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_folders(spark, _LEFT)
+        before = len(WRITTEN)
+        out = fn(spark, docs, sf_dir)
+        _LEFT[:] = WRITTEN[before:]
+        return out
+    return run_stage
+
+
+@stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep, unchanged."""
     return quality.quality_rules(docs).where("quality.kept").select(*docs.columns)
 
 
+@stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, 0.8), the one
     with the smallest id; repeated rows once. Texts without a word all stay."""
@@ -31,16 +53,19 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id", "text"])
 
 
+@stage
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by their kinds."""
     return _documents(secrets.scan_secrets(docs, redact=True), docs)
 
 
+@stage
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; a source's last one as far as its target."""
     return _documents(mixing.mixed_documents(mixing.mix_sources(docs)), docs)
 
 
+@stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 tokens."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -56,8 +81,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each is written and read again by the next."""
     docs = table(pin_utc(spark), sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, step in STAGES:
         path = new_path(spark, f"stage-{name.replace(' ', '-')}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        step(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -44,23 +44,29 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Folders of the tables that ``cut`` has written, oldest first.
+WRITTEN: list[str] = []
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read that instead: a lost
     executor then costs a read, and what is read twice is the same twice."""
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
+    WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_tables(spark: SparkSession, frames: Iterable[DataFrame]) -> None:
     """Delete tables made by ``cut`` that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for frame in frames:
-        for folder in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+    drop_folders(spark, {f.rsplit("/", 1)[0] for frame in frames for f in frame.inputFiles()})
+
+
+def drop_folders(spark: SparkSession, folders: Iterable[str]) -> None:
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 _SHIPPED: set[str] = set()
