@@ -41,8 +41,8 @@ def stage(fn: Stage) -> Stage:
 
 @stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep, unchanged."""
-    return quality.quality_rules(docs).where("quality.kept").select(*docs.columns)
+    """Documents that the rules keep, unchanged; texts of unknown words go, however rare."""
+    return quality.quality_rules(docs, least_known=quality.LEAST_KNOWN).where("quality.kept").select(*docs.columns)
 
 
 @stage

@@ -1,6 +1,7 @@
 """Chat windows, quality rules, language, secrets, toxicity: edge cases and brute force."""
 
 import collections
+import random
 import re
 
 import pytest
@@ -61,6 +62,18 @@ def test_quality_tells_junk_from_prose(spark):
     assert all(kept[i]["word_distance"] < 0.3 for i in range(40))
 
 
+def test_rare_word_salad_is_not_kept(spark):
+    draw = random.Random(7)
+    letters = lambda: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.randrange(3, 10)))
+    words = [letters() for _ in range(1500)]
+    shares = [1 / (i + 5) for i in range(1500)]
+    texts = [" ".join(draw.choices(words, shares, k=70)).replace(" ", ", ", 9).capitalize() + "." for _ in range(9_999)]
+    salad = " ".join(letters() for _ in range(300))
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in enumerate([*texts, salad])], DOCS)
+    judged = quality.quality_rules(docs, keep=["doc_id"], least_known=quality.LEAST_KNOWN).select("doc_id", "quality.*")
+    assert [r["doc_id"] for r in judged.where("not kept and not base_failed").collect()] == [9_999]
+
+
 @pytest.mark.parametrize("apply", [
     lambda d: quality.quality_rules(d),
     lambda d: secrets.scan_secrets(d, redact=True),
