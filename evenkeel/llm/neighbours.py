@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -15,6 +15,8 @@ from evenkeel.llm.common import cut, ship
 SHARD_VECTORS = 4096
 #: Queries that one task runs against one shard, on average.
 QUERY_BLOCK = 4096
+#: Vectors of a shard differ in length by a factor of this power of two at most.
+NORM_BITS = 2
 DEGREE, BEAM, BUILD_BEAM = 32, 96, 64
 #: A neighbour hides what it is nearer to, by this factor, than the vector itself.
 RELAXED = 1.2
@@ -149,6 +151,27 @@ def lifted(vectors: np.ndarray, largest: float) -> np.ndarray:
     return np.concatenate([vectors, rest[:, None]], axis=1)
 
 
+def norm_band(v: Column) -> Column:
+    """Number of the band of lengths that a vector belongs to; band 0 reaches from half
+    to twice the unit. Nothing overflows, however long or short the vector is."""
+    largest = F.array_max(F.transform(v, lambda x: F.abs(x)))
+    scaled = F.aggregate(v, F.lit(0.0), lambda a, x: a + (x / largest) * (x / largest))
+    return F.round((F.log2(largest) + F.log2(scaled) / 2) / NORM_BITS).cast("int")
+
+
+def unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length 1 in the same directions (zero stays zero)."""
+    tiny = np.finfo(np.float64).smallest_subnormal
+    scaled = vectors / np.maximum(np.abs(vectors).max(axis=1, initial=0.0), tiny)[:, None]
+    return scaled / np.maximum(np.sqrt(np.einsum("ij,ij->i", scaled, scaled)), tiny)[:, None]
+
+
+def _graph_vectors(vectors: np.ndarray, band: int) -> np.ndarray:
+    """A shard's vectors by the unit of their band, lifted to its longest vector."""
+    scaled = np.ldexp(vectors, -NORM_BITS * band)
+    return lifted(scaled, float(np.sqrt(np.einsum("ij,ij->i", scaled, scaled).max())))
+
+
 def valid_vectors(df: DataFrame, identifier: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(vec_id, v): vectors that are not null, not zero, and hold only finite numbers."""
     rows = df.select(F.col(identifier).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
@@ -164,7 +187,8 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20) -> D
     ``vectors`` and ``queries`` are (vec_id, v) as ``valid_vectors`` gives them. Vectors
     that are equal are one entry of the index with its ``k`` + 1 smallest ids (no query
     can get more of them), so copies neither crowd a graph nor a task. Entries are dealt
-    to shards by hash. Each shard builds its graph once and stores it; each is searched
+    to shards by length (``norm_band``: a few very long vectors would drown the
+    differences of all others), then by hash. Each shard builds its graph once and stores it; each is searched
     by all queries, in blocks, and a shard hands on ``k`` + 1 entries a query. Scores are
     computed again in double precision on the original vectors; ties: smaller id first.
     Vectors of other lengths than a query's are never its candidates. Repeated ids
@@ -174,22 +198,21 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20) -> D
     by_value = W.partitionBy("v").orderBy("vec_id")
     ranked = vectors.select("vec_id", "v").withColumn("n", F.row_number().over(by_value)).where(F.col("n") <= k + 1)
     entries = cut(ranked.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).withColumn(
-        "width", F.size("v")), "entries")
-    stats = entries.groupBy("width").agg(F.count(F.lit(1)).alias("n"), F.max(
-        F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).alias("largest"))
+        "width", F.size("v")).withColumn("band", norm_band(F.col("v"))), "entries")
+    stats = entries.groupBy("width", "band").agg(F.count(F.lit(1)).alias("n"))
     stats = stats.withColumn("shards", F.ceil(F.col("n") / SHARD_VECTORS))
-    dealt = entries.join(stats.select("width", "shards", "largest"), "width").withColumn(
+    dealt = entries.join(stats.select("width", "band", "shards"), ["width", "band"]).withColumn(
         "shard", F.pmod(F.xxhash64("v"), F.col("shards")).cast("int"))
-    built = "width int, shard int, largest double, v array<double>, ids array<bigint>, number int, out array<int>"
-    index = cut(dealt.groupBy("width", "shard").applyInPandas(_build, built), "graph")
+    built = "width int, band int, shard int, v array<double>, ids array<bigint>, number int, out array<int>"
+    index = cut(dealt.groupBy("width", "band", "shard").applyInPandas(_build, built), "graph")
 
     asked = queries.select("vec_id", "v", F.size("v").alias("width")).distinct()
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    places = stats.select("width", F.explode(F.sequence(F.lit(0), (F.col("shards") - 1).cast("int"))).alias("shard"))
+    places = stats.select("width", "band", F.explode(F.sequence(F.lit(0), (F.col("shards") - 1).cast("int"))).alias("shard"))
     every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    left = index.select("*", every_block).groupBy("width", "shard", "block")
-    right = asked.join(places, "width").groupBy("width", "shard", "block")
+    left = index.select("*", every_block).groupBy("width", "band", "shard", "block")
+    right = asked.join(places, "width").groupBy("width", "band", "shard", "block")
     found = left.cogroup(right).applyInPandas(_search(k), "query_id bigint, vec_id bigint, score double")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
@@ -200,11 +223,11 @@ def _build(rows):
     import pandas as pd
 
     rows = rows.assign(first=[int(i[0]) for i in rows["ids"]]).sort_values("first", kind="stable").drop(columns="first")
-    x = lifted(np.stack(rows["v"].to_list()), float(rows["largest"].iloc[0]))
+    x = _graph_vectors(np.stack(rows["v"].to_list()), int(rows["band"].iloc[0]))
     graph = Graph(x).build(int(rows["shard"].iloc[0]))
     return pd.DataFrame({
-        "width": rows["width"].astype("int32"), "shard": rows["shard"].astype("int32"), "largest": rows["largest"],
-        "v": rows["v"], "ids": rows["ids"], "number": np.arange(len(rows), dtype=np.int32), "out": list(graph.out)})
+        "width": rows["width"].astype("int32"), "band": rows["band"].astype("int32"),
+        "shard": rows["shard"].astype("int32"), "v": rows["v"], "ids": rows["ids"], "number": np.arange(len(rows), dtype=np.int32), "out": list(graph.out)})
 
 
 def _search(k: int):
@@ -216,13 +239,13 @@ def _search(k: int):
             return nothing
         entries = entries.sort_values("number")
         exact = np.stack(entries["v"].to_list())
-        graph = Graph(lifted(exact, float(entries["largest"].iloc[0])), np.stack(entries["out"].to_list()).astype(np.int32))
+        graph = Graph(_graph_vectors(exact, int(entries["band"].iloc[0])), np.stack(entries["out"].to_list()).astype(np.int32))
         ids = entries["ids"].to_list()
         asked, names = np.stack(queries["v"].to_list()), queries["vec_id"].to_numpy()
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
         for start in range(0, len(asked), BATCH):
             q = asked[start:start + BATCH]
-            near, _ = graph.search(np.concatenate([q, np.zeros((len(q), 1))], axis=1), max(BEAM, 2 * k))
+            near, _ = graph.search(np.concatenate([unit(q), np.zeros((len(q), 1))], axis=1), max(BEAM, 2 * k))
             for name, vector, found in zip(names[start:start + BATCH], q, near):
                 found = found[found >= 0]
                 # summed in one order, so that a score is the same in every shard

@@ -131,6 +131,26 @@ def test_neighbours_reach_recall(spark):
     assert [r["vec_id"] for r in by[1000]][:3] == [5, 1001, 1002]
 
 
+@pytest.mark.parametrize("long", [1e6, 1e20])
+def test_neighbours_beside_long_vectors(spark, long):
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(1500, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[3] *= long
+    x[4] /= long
+    valid = neighbours.valid_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)],
+                                                           "vec_id bigint, embedding array<double>"))
+    got = collections.defaultdict(set)
+    for r in neighbours.nearest_neighbours(valid, valid.where("vec_id % 50 = 3 or vec_id = 4")).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    hits = 0
+    for q in (*range(3, 1500, 50), 4):
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hits += len(got[q] & set(np.argsort(-scores)[:20].tolist()))
+    assert hits >= 0.95 * 20 * 31
+
+
 def test_neighbours_of_few(spark):
     few = neighbours.valid_vectors(spark.createDataFrame(
         [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 1.0]), (4, [1.0])], "vec_id bigint, embedding array<double>"))
