@@ -1,6 +1,7 @@
 """Near duplicates, neighbours, mixing, packing, token files, pipeline."""
 
 import collections
+import math
 import random
 import zlib
 
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from evenkeel.llm import mixing, neardup, neighbours, packing, tokenfiles
+from evenkeel.llm import mixing, neardup, neighbours, packing, shingles, tokenfiles
 from evenkeel.llm.components import connected_components
 from evenkeel.llm.queries import ORACLE, QUERIES
 from evenkeel.llm.tokens import PieceEncoder
@@ -88,6 +89,21 @@ def test_near_duplicates_equal_all_pairs(spark, size, percent):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got.values())
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sketches_drop_fewer_linked_pairs_than_bands(percent):
+    share, samples, bits = percent / 100, shingles.BANDS * shingles.ROWS, shingles.SKETCH_BITS
+    limit = shingles.most_odd_bits(share - neardup.SKETCH_SLACK)
+    odd, k, lost = np.eye(1, bits + 1)[0], np.arange(bits + 1), 0.0
+    for different in range(samples + 1):  # samples that differ, each two bits turned over
+        lost += math.comb(samples, different) * (1 - share) ** different * share ** (samples - different) * odd[limit + 1:].sum()
+        for _ in range(2):
+            turned = np.zeros(bits + 1)
+            turned[1:] += odd[:-1] * (1 - k[:-1] / bits)
+            turned[:-1] += odd[1:] * k[1:] / bits
+            odd = turned
+    assert lost < (1 - share ** shingles.ROWS) ** shingles.BANDS
+
+
 def test_near_duplicates_of_odd_rows(spark):
     docs = spark.createDataFrame([(None, "a b c d"), (None, "a b c d"), (None, "x y z"), (4, "x y z"), (4, "x y z"), (5, None)],
                                  "doc_id bigint, text string")
