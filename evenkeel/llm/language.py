@@ -15,7 +15,8 @@ from pyspark.sql import Window as W
 from evenkeel.llm.common import ship
 
 
-#: The model is fitted on about this many labelled documents, chosen by hash.
+#: The model is fitted on about this many labelled documents, chosen by hash: all of the
+#: rare languages and as many of each other one (125 at least, with 64 languages).
 SAMPLE_DOCUMENTS = 8_000
 LANGUAGES = 64
 WORDS, GRAMS = 20_000, 5_000
@@ -37,12 +38,17 @@ class Model:
 def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", identifier: str = "doc_id",
                   sample: int = SAMPLE_DOCUMENTS) -> Model:
     """Log frequencies of the ``WORDS`` commonest words and ``GRAMS`` commonest n-grams of
-    each length, per language, from a hash sample of about ``sample`` labelled rows.
-    What comes to the driver is bounded by these numbers."""
+    each length, per language, from a hash sample of about ``sample`` labelled rows: the
+    ``LANGUAGES`` with most rows share it evenly, and what rare ones leave goes to the
+    others. What comes to the driver is bounded by these numbers."""
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(identifier).alias("h"))
-    share = min(1.0, sample / max(1, labelled.count()))
-    chosen = labelled.where(F.pmod("h", F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(
+        F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    room = evenly(list(sizes.values()), sample)
+    shares = [F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1.0, room / n) * (1 << 20)) + 1)]
+    chosen = labelled.where(F.pmod("h", F.lit(1 << 20)) < F.element_at(F.create_map(*shares), F.col("lang"))
+                            if shares else F.lit(False))
     spoken = chosen.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("w"))
     words = spoken.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n"))
     padded = F.concat(F.lit(" "), F.col("w"), F.lit(" "))
@@ -73,6 +79,17 @@ def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", ident
     return Model(languages, index, rows)
 
 
+def evenly(sizes: list[int], total: int) -> float:
+    """The most that each class may give so that all give ``total``; small ones give all."""
+    left, room = float(total), float(total)
+    for i, n in enumerate(sorted(sizes)):
+        room = left / (len(sizes) - i)
+        if n > room:
+            return room
+        left -= n
+    return max(room, max(sizes, default=0))
+
+
 def _mark(size: int, word: str) -> str:
     return word if size == 0 else f"{size}{word}"
 

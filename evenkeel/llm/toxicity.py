@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.llm.common import ship
+from evenkeel.llm.language import evenly
 
-#: The lexicon and its scale are learned from about this many labelled documents.
+#: The lexicon and its scale are learned from about this many labelled documents: half of
+#: them toxic and half not, or all of a label that has fewer.
 SAMPLE_DOCUMENTS = 20_000
 #: Terms considered (those in most toxic documents), and how often a term must be seen.
 CANDIDATES = 50_000
@@ -113,7 +115,8 @@ class Matcher:
 
 def fit_lexicon(docs: DataFrame, labels: DataFrame, identifier: str = "doc_id", text: str = "text",
                 label: str = "toxic", sample: int = SAMPLE_DOCUMENTS) -> Lexicon:
-    """Learn terms, weights, exceptions and scale from a hash sample of labelled rows.
+    """Learn terms, weights, exceptions and scale from a hash sample of labelled rows,
+    drawn by label; the scale weighs them back to their shares in all labels.
 
     Weights are log odds of documents. A beginning of words stands in the lexicon only
     where no longer term says the same. An exception is a term with the word before or
@@ -125,8 +128,13 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, identifier: str = "doc_id",
     ship(docs.sparkSession)
     known = labels.where(F.col(label).isNotNull() & F.col(identifier).isNotNull()).groupBy(identifier).agg(
         F.max(label).cast("int").alias("_toxic"))
-    share = min(1.0, sample / max(1, known.count()))
-    chosen = known.where(F.pmod(F.xxhash64(identifier), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    labelled = {bool(r["toxic"]): r["n"] for r in known.groupBy((F.col("_toxic") == 1).alias("toxic")).agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    room = evenly(list(labelled.values()), sample)
+    share = {kind: min(1.0, room / max(1, labelled.get(kind, 0))) for kind in (False, True)}
+    upto = lambda kind: F.lit(int(share[kind] * (1 << 20)) + 1)
+    chosen = known.where(F.pmod(F.xxhash64(identifier), F.lit(1 << 20)) < F.when(
+        F.col("_toxic") == 1, upto(True)).otherwise(upto(False)))
     # bounded by the sample: a few hundred kilobytes; of equal texts one teaches
     rows = docs.join(F.broadcast(chosen), identifier).where(F.col(text).isNotNull()).groupBy(
         F.col(text).alias("text")).agg(F.max("_toxic").alias("_toxic"))
@@ -156,7 +164,7 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, identifier: str = "doc_id",
         _measure(lexicon), "a double, b double, c double, toxic int").groupBy("a", "b", "c", "toxic").agg(
         F.count(F.lit(1)).alias("n")).collect()
     lexicon.scale = _logistic(np.array([[1.0, r["a"], r["b"], r["c"]] for r in measured]),
-                              np.array([float(r["toxic"]) for r in measured]), np.array([float(r["n"]) for r in measured]))
+                              np.array([float(r["toxic"]) for r in measured]), np.array([r["n"] / share[r["toxic"] == 1] for r in measured]))
     return lexicon
 
 

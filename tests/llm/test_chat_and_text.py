@@ -128,6 +128,26 @@ def test_language_backs_off_to_grams(spark):
     assert {r["lang_pred"] for r in language.identify_languages(asked, nothing).collect()} == {"und"}
 
 
+def test_rare_languages_are_learned_whole(spark):
+    rows = [(i, f"the thing with nothing is that they think {i}", "en", "a", 0) for i in range(20_000)]
+    rows += [(20_000 + i, "der schöne schnee und das schiff", "de", "a", 0) for i in range(2)]
+    model = language.fit_languages(spark.createDataFrame(rows, DOCS), sample=40)
+    assert model.languages == ["de", "en"] and "schnee" in model.index
+    assert language.evenly([5, 100, 100], 65) == 30 and language.evenly([5, 6], 65) >= 6 and language.evenly([], 9) >= 0
+
+
+def test_rare_toxic_rows_are_learned_whole(spark):
+    draw = random.Random(3)
+    plain = lambda: " ".join(draw.choice("sun moon rain wind road tree lake hill bird song".split()) + draw.choice("aeiou")
+                             for _ in range(20))
+    rows = [(i, plain() + " grunkel" * (i < 20), None, None, 0) for i in range(8_000)]
+    labels = spark.createDataFrame([(i, int(i < 20)) for i in range(8_000)], "doc_id bigint, toxic int")
+    lexicon = toxicity.fit_lexicon(spark.createDataFrame(rows, DOCS), labels, sample=400)
+    assert any("grunkei" in t for t in lexicon.weights)
+    matcher = toxicity.Matcher(lexicon)
+    assert matcher.score(plain() + " grunkel") > 0.7 > 0.3 > matcher.score(plain())
+
+
 def test_language_on_held_out_documents(spark):
     from evenkeel.llm.queries import QUERIES
     folder = "/root/testdata/sf0.01"
