@@ -74,6 +74,18 @@ def test_rare_word_salad_is_not_kept(spark):
     assert [r["doc_id"] for r in judged.where("not kept and not base_failed").collect()] == [9_999]
 
 
+def test_languages_without_reference_get_no_verdict(spark, monkeypatch):
+    monkeypatch.setattr(quality, "LANGUAGES", 1)
+    texts = [(" ".join(f"{a}{(i * j) % 13}{'x' * 5}" for j in range(60)), lang)
+             for a, lang, n in (("one", "en", 20), ("other", "xx", 3), ("none", None, 1)) for i in range(1, n + 1)]
+    docs = spark.createDataFrame([(i, t, lang, "a", 0) for i, (t, lang) in enumerate(texts)], DOCS)
+    assert quality.frequent_words(docs, languages=quality.common_languages(docs))[0] == sorted(
+        {w for t, lang in texts if lang == "en" for w in t.split()})
+    judged = quality.quality_rules(docs).select("lang", "quality.*")
+    assert judged.where("lang = 'xx' and word_distance is null and class_distance is null and kept = (not base_failed)").count() == 3
+    assert judged.where("word_distance is not null and (lang is null or lang = 'en')").count() == 21
+
+
 @pytest.mark.parametrize("apply", [
     lambda d: quality.quality_rules(d),
     lambda d: secrets.scan_secrets(d, redact=True),
