@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from evenkeel.llm.common import cut, text_of, words_of
+from evenkeel.llm.common import WORD, cut, let, text_of, words_of
 
 WEIGHTS = (5, 2, 1)
 #: No source is taken more often than this.
@@ -111,11 +111,15 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = M
 
 
 def mixed_documents(mixed: DataFrame, text: str = "text") -> DataFrame:
-    """Documents as often as the mix takes them: whole copies, then the words left."""
-    words = words_of(text_of(text))
+    """Documents as often as the mix takes them: whole copies, then the words left, with
+    all white space before and between them."""
+    runs = F.regexp_extract_all(text_of(text), F.lit(rf"{WORD}|[\x20\x09-\x0D]+"), F.lit(0))
     copies = F.floor(F.col("mix.taken") / F.col("mix.size"))
     left = F.col("mix.taken") - copies * F.col("mix.size")
     parts = F.array_append(F.array_repeat(F.lit(-1).cast("bigint"), copies.cast("int")), left)
     taken = mixed.where(F.col("mix.taken") > 0).withColumn("_part", F.explode(F.filter(parts, lambda n: n != 0)))
-    cut = F.array_join(F.slice(words, 1, F.col("_part").cast("int")), " ")
+    # words and white space take turns
+    upto = lambda runs: F.array_join(F.slice(runs, 1, 2 * F.col("_part").cast("int") - F.when(
+        F.get(runs, F.lit(0)).rlike(WORD), 1).otherwise(0)), "")
+    cut = let(runs, upto)
     return taken.withColumn(text, F.when(F.col("_part") < 0, F.col(text)).otherwise(cut)).drop("_part", "mix")

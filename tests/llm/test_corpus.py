@@ -199,6 +199,14 @@ def test_mix_takes_targets(spark, monkeypatch):
     assert mixing.mix_sources(docs.where("false")).count() == 0
 
 
+def test_cut_documents_keep_their_white_space(spark):
+    texts = [" a\n\tb  c d ", "a\n\tb  c d ", "é\r\n\u00a0f g\n", "x y"]
+    rows = [(t, (size, taken)) for t, size, taken in zip(texts, (4, 4, 3, 2), (7, 3, 2, 2))]
+    mixed = spark.createDataFrame(rows, "text string, mix struct<size: bigint, taken: bigint>")
+    assert sorted(r["text"] for r in mixing.mixed_documents(mixed).collect()) == sorted(
+        [" a\n\tb  c d ", " a\n\tb  c", "a\n\tb  c", "é\r\n\u00a0f", "x y"])
+
+
 def test_heavier_documents_are_drawn_first(spark):
     docs = documents(spark, ["w " * 10 + "# " * (40 * (i % 2)) for i in range(2000)])
     keyed = docs.withColumn("key", mixing.exponential_key(F.col("doc_id"), F.when(F.col("doc_id") % 2 == 0, 1.0).otherwise(0.2), "t"))
