@@ -209,7 +209,10 @@ def _anomalies(t: Tables):
     features = ["alarm_count", "open_work_orders", "sla_violations", "incident_count"]
     daily = durable(t.daily().select("site_id", "signal_date", *features))
     scored = a.isolation_forest(daily, "site_id", "signal_date", features)
-    return scored.join(a.robust_z(daily, "site_id", features), ["site_id", "signal_date"])
+    baseline = a.robust_z(daily, "site_id", features).select(
+        F.col("site_id").alias("_site"), F.col("signal_date").alias("_date"), "baseline_zscore")
+    return scored.join(baseline, F.col("site_id").eqNullSafe(F.col("_site")) & F.col("signal_date").eqNullSafe(F.col("_date")),
+                       "left").drop("_site", "_date")
 
 
 @query("isolation_forest", "M21")

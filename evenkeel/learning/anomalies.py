@@ -93,7 +93,8 @@ def isolation_forest(df: DataFrame, site: str, identifier: str, features: Sequen
 
     A gap takes the site's median of that feature; a feature that is null throughout
     a site is not used there. Sites below ``least_rows`` are too small for a forest:
-    their rows have a null score, are not flagged, and say so in ``reason``.
+    their rows have a null score, are not flagged, and say so in ``reason``. So do
+    rows without a site, which are no site of their own.
     """
     features = list(features)
     sizes = df.groupBy(site).agg(
@@ -149,7 +150,10 @@ def isolation_forest(df: DataFrame, site: str, identifier: str, features: Sequen
     judged = scored.join(cut, site).select(
         site, identifier, "anomaly_score", (F.col("anomaly_score") < F.col("_cut")).alias("is_anomaly"),
         F.lit(None).cast("string").alias("reason"))
-    return judged.unionByName(small.select(
+    nowhere = df.where(F.col(site).isNull()).select(
+        site, identifier, F.lit(None).cast("double").alias("anomaly_score"), F.lit(False).alias("is_anomaly"),
+        F.lit("no site").alias("reason"))
+    return judged.unionByName(nowhere).unionByName(small.select(
         site, identifier, F.lit(None).cast("double").alias("anomaly_score"), F.lit(False).alias("is_anomaly"),
         F.lit(f"fewer than {least_rows} rows").alias("reason")))
 
@@ -180,4 +184,4 @@ def anomaly_metrics(scored: DataFrame, site: str, score: str = "anomaly_score",
 
 
 def strangest(scored: DataFrame, n: int = 10, score: str = "anomaly_score", tiebreak: Sequence[str] = ()) -> DataFrame:
-    return scored.orderBy(F.asc(score), *tiebreak).limit(n)
+    return scored.orderBy(F.asc_nulls_last(score), *tiebreak).limit(n)

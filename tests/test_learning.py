@@ -155,6 +155,15 @@ def test_isolation_forest_finds_planted_days(spark):
     assert 0.03 < sum(r.is_anomaly for r in rows) / len(rows) < 0.07
 
 
+def test_rows_without_a_site_are_named(spark):
+    df = spark.range(100).select(F.when(F.col("id") < 96, F.lit("s")).alias("site"), "id", F.sin("id").alias("x"))
+    out = a.isolation_forest(df, "site", "id", ["x"], trees=10)
+    nowhere = out.where("site IS NULL").collect()
+    assert out.count() == 100 and sorted(r.id for r in nowhere) == [96, 97, 98, 99]
+    assert all(r.anomaly_score is None and r.is_anomaly is False and r.reason == "no site" for r in nowhere)
+    assert all(r.site == "s" for r in a.strangest(out, 5, tiebreak=["id"]).collect())
+
+
 def test_isolation_forest_is_repeatable(spark):
     df = spark.range(200).select(F.lit("s").alias("site"), "id", F.sin("id").alias("x"))
     run = lambda d: sorted((r.id, r.anomaly_score) for r in a.isolation_forest(d, "site", "id", ["x"], trees=20).collect())
