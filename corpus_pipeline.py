@@ -48,9 +48,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 @stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, 0.8), the one
-    with the smallest id; repeated rows once. Texts without a word all stay."""
-    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id", "text"])
+    with the smallest id; repeated rows once. Texts without a word all stay. An id may
+    have several texts, or be null: each row is kept or not by its own text."""
+    marked = docs.withColumn("_mark", F.xxhash64("text"))
+    kept = neardup.near_duplicates(marked, mark="_mark").where("kept").select(
+        F.col("doc_id").alias("_kept"), F.col("mark").alias("_own")).distinct()
+    mine = F.col("doc_id").eqNullSafe(F.col("_kept")) & (F.col("_mark") == F.col("_own"))
+    return marked.join(kept, mine, "left_semi").drop("_mark").dropDuplicates(["doc_id", "text"])
 
 
 @stage

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from evenkeel.llm import shingles
 from evenkeel.llm.common import cut, drop_tables, ship
@@ -37,7 +38,7 @@ SETS = "low bigint, high bigint, shingles array<bigint>"
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80,
-                    identifier: str = "doc_id", text: str = "text") -> DataFrame:
+                    identifier: str = "doc_id", text: str = "text", mark: str | None = None) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     Two documents are linked when 100 · |A ∩ B| ≥ ``percent`` · |A ∪ B| for their sets of
@@ -46,18 +47,32 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80,
     linked with nothing, not with each other. A null id stays null; such a row takes
     part, but names no component unless all of its members have none. Repeated rows are
     copies. Other columns are not read. An empty table gives no rows.
+
+    With ``mark``, a bigint column that tells the rows of an id apart (a hash of the
+    text), that column is carried along and ``kept`` is the row's own: of each component
+    the one row (and its repetitions) with the smallest id, then shingle set, then mark;
+    without ids one row of each component, too. Rows without shingles are all kept.
     """
     ship(docs.sparkSession)
+    marks = [] if mark is None else ["mark"]
     rows = docs.select(F.col(identifier).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    signed = cut(rows.mapInArrow(shingles.signatures(size), SIGNATURE), "signatures")
-    signed_ids = signed.select("doc_id", "n_shingles", "low", "high")
+    marked = docs.select(F.col(identifier).cast("bigint").alias("doc_id"), F.col(text).alias("text"),
+                         *([F.col(mark).alias("mark")] if marks else []))
+    signed = cut(marked.mapInArrow(
+        shingles.signatures(size), SIGNATURE + "".join(f", {m} bigint" for m in marks)), "signatures")
+    signed_ids = signed.select("doc_id", "n_shingles", "low", "high", *marks)
     key = ["low", "high"]
     alone = F.col("n_shingles") == 0
+    by_key = -F.shiftrightunsigned("low", 2) - (1 << 62)
+    node = F.coalesce("first_id", by_key)
+    if marks:  # classes of one id are not one node
+        turn = F.row_number().over(W.partitionBy(node).orderBy(*key))
+        node = F.when(turn == 1, node).otherwise(by_key)
     first = {c: F.first(c).alias(c) for c in ("bands", "sketch", "parity")}
     classes = cut(
         signed.where(~alone).groupBy(*key).agg(F.min("doc_id").alias("first_id"), *first.values(),
                                                F.first("n_shingles").alias("n"))
-        .withColumn("node", F.coalesce("first_id", -F.shiftrightunsigned("low", 2) - (1 << 62))), "classes")
+        .withColumn("node", node), "classes")
 
     banded = classes.select("node", F.posexplode("bands").alias("band", "value"))
     members = cut(banded.select("node", F.xxhash64("band", "value").alias("bucket")), "members")
@@ -99,12 +114,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80,
 
     named = classes.select("first_id", "node", *key).join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
-    least = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    found = cut(named.join(least, "label").select(*key, "component_id"), "found")
+    # of the classes with a component's smallest id the first by key; without ids, of all
+    first_class = F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id", *key))
+    least = named.groupBy("label").agg(first_class.alias("least"))
+    chosen = F.struct(*key) == F.struct(F.col("least.low").alias("low"), F.col("least.high").alias("high"))
+    found = cut(named.join(least, "label").select(
+        *key, F.col("least.first_id").alias("component_id"), chosen.alias("chosen")), "found")
     joined = signed_ids.where(~alone).join(found, key, "left").unionByName(
-        signed_ids.where(alone).withColumn("component_id", F.col("doc_id")))
-    return joined.select("doc_id", "n_shingles", "component_id",
-                         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        signed_ids.where(alone).withColumns({"component_id": F.col("doc_id"), "chosen": F.lit(True)}))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    if not marks:
+        return joined.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+    # rows of the chosen class and id: the one with the smallest mark
+    marks_of = joined.where(kept & F.col("chosen") & ~alone).groupBy(*key).agg(F.min("mark").alias("_least"))
+    return joined.join(marks_of, key, "left").select("doc_id", "n_shingles", "component_id", "mark", (
+        alone | (kept & F.col("chosen") & F.coalesce(F.col("mark") == F.col("_least"), F.lit(False)))).alias("kept"))
 
 
 def _sets(rows: DataFrame, met: DataFrame, size: int) -> DataFrame:

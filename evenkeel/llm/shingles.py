@@ -139,7 +139,8 @@ def most_odd_bits(similarity: float) -> int:
 
 
 def signatures(size: int):
-    """Arrow batches (doc_id, text) → ids, set sizes, keys, bands and sketches."""
+    """Arrow batches (doc_id, text, more) → ids, set sizes, keys, bands, sketches, and
+    the columns after the text as they are."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -155,11 +156,12 @@ def signatures(size: int):
                     sketches.append(odd_sketch(samples) if len(s) else [])
                     parities.append(set_parity(s) if len(s) else [])
                 longs = pa.list_(pa.int64())
+                more = dict(zip(part.schema.names[2:], part.columns[2:]))
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column(0), "n_shingles": pa.array(sizes, pa.int64()),
                     "low": pa.array(low, pa.int64()), "high": pa.array(high, pa.int64()),
                     "bands": pa.array(bands, longs), "sketch": pa.array(sketches, longs),
-                    "parity": pa.array(parities, longs)})
+                    "parity": pa.array(parities, longs), **more})
     return run
 
 

@@ -308,6 +308,18 @@ def test_near_duplicate_stage_keeps_one_of_each_group(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == [0, 5, 6, 7]
 
 
+def test_near_duplicate_stage_decides_by_row(spark):
+    text = lambda name: " ".join(f"{name}{i}" for i in range(60))
+    a, b, c, d = (text(n) for n in "abcd")
+    rows = [(1, a), (2, a + " more"), (2, b), (3, c), (3, c + " more"), (3, c.upper()), (None, d), (None, d + " more"),
+            (None, a), (None, ""), (4, None), (4, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    left = dict(corpus_pipeline.STAGES)["MinHash near-dedup"](spark, docs, FOLDER)
+    assert left.columns == docs.columns
+    got = collections.Counter((r["doc_id"], (r["text"] or "").lower()[:2]) for r in left.collect())
+    assert got == {(1, "a0"): 1, (2, "b0"): 1, (3, "c0"): 1, (None, "d0"): 1, (None, ""): 1, (4, ""): 2}
+
+
 def test_query_columns(spark):
     want = {
         "op1": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars", "op2": "doc_id held_out lang_pred score",
