@@ -11,8 +11,8 @@ from evenkeel.llm.common import ship
 
 #: Documents that are packed together, on average.
 GROUP_DOCUMENTS = 2048
-#: A group that outgrows this many tokens is packed in several runs: bounds a task's memory.
-RUN_TOKENS = 16_000_000
+#: Bytes of ids that a task hands on at once.
+OUT_BYTES = 8_000_000
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, "
           "sequence_id bigint, offset bigint, padded bigint")
@@ -62,9 +62,9 @@ def pack_documents(
 
     Each row is a document: the ids of its text, then ``end_id``. Every full
     ``length`` of a document is a sequence; what remains is one piece, packed with the
-    pieces of its group. A group holds documents whose hash agrees, so groups are
-    alike, each is packed in one task, and no group waits for another. A group that
-    outgrows ``RUN_TOKENS`` (rows repeated over and over) is packed in several runs.
+    pieces of its group. A row's group is drawn by a hash of its content and its place
+    in the table, so groups are alike however often rows repeat, and none waits for
+    another. A task holds the remains of one group; full sequences leave at once.
 
     Null or empty text: a document of ``end_id`` alone. Null ids stay null. Repeated
     rows are documents of their own. Other columns are not read. An empty table gives
@@ -75,7 +75,8 @@ def pack_documents(
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"),
                        F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     groups = max(1, -(-docs.count() // group_documents))
-    grouped = rows.withColumn("group", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)))
+    place = F.monotonically_increasing_id()
+    grouped = rows.withColumn("group", F.pmod(F.xxhash64("doc_id", "text", place), F.lit(groups)))
     dealt = grouped.repartition("group").sortWithinPartitions("group", "doc_id", "text")
     return dealt.mapInArrow(_packer(tokenizer, length, end_id), PIECES)
 
@@ -88,51 +89,52 @@ def _packer(tokenizer: str, length: int, end_id: int):
         from evenkeel.llm.tokens import encoder
 
         encode, end = encoder(tokenizer).encode, np.array([end_id], "<u4").tobytes()
-        group, made, held, tokens = None, 0, [], 0
+        names = ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "padded")
+        out: dict[str, list] = {n: [] for n in names}
+        group, made, rests, size = None, 0, [], 0
+
+        def add(doc, start, ids, total, sequence, offset, padded):
+            nonlocal size
+            size += len(ids)
+            for name, value in zip(names, (doc, start, len(ids) // 4, ids, total, (group << 32) + sequence, offset, padded)):
+                out[name].append(value)
+
+        def close_group():
+            bins = first_fit_decreasing([len(ids) // 4 for _, _, ids, _ in rests], length)
+            filled, offsets = [0] * len(rests), []
+            for (_, _, ids, _), b in zip(rests, bins):
+                offsets.append(filled[b])
+                filled[b] += len(ids) // 4
+            for (doc, start, ids, total), b, offset in zip(rests, bins, offsets):
+                n = filled[b]
+                add(doc, start, ids, total, made + b, offset, n if n & (n - 1) == 0 else length)
+            rests.clear()
+
+        def leave():
+            nonlocal size
+            batch = pa.RecordBatch.from_pydict(
+                {n: pa.array(v, pa.binary() if n == "ids" else pa.int64()) for n, v in out.items()})
+            for values in out.values():
+                values.clear()
+            size = 0
+            return batch
 
-        def flush():
-            nonlocal made, held, tokens
-            out, rests = {n: [] for n in ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")}, []
-
-            def add(doc, start, ids, total, sequence, offset):
-                for name, value in zip(out, (doc, start, len(ids) // 4, ids, total, (group << 32) + sequence, offset)):
-                    out[name].append(value)
-
-            for doc, ids in held:
+        for batch in batches:
+            column = lambda name: batch.column(batch.schema.get_field_index(name))
+            for key, doc, ids in zip(column("group").to_pylist(), column("doc_id").to_pylist(), encode(column("text"))):
+                if key != group:
+                    close_group()
+                    group, made = key, 0
+                ids += end
                 total = len(ids) // 4
                 for start in range(0, total - length + 1, length):
-                    add(doc, start, ids[4 * start:4 * (start + length)], total, made, 0)
+                    add(doc, start, ids[4 * start:4 * (start + length)], total, made, 0, length)
                     made += 1
                 if rest := total % length:
                     rests.append((doc, total - rest, ids[4 * (total - rest):], total))
-            bins = first_fit_decreasing([r[3] - r[1] for r in rests], length)
-            filled = [0] * len(rests)
-            for (doc, start, ids, total), b in zip(rests, bins):
-                add(doc, start, ids, total, made + b, filled[b])
-                filled[b] += total - start
-            ends = {(group << 32) + made + b: n for b, n in enumerate(filled)}
-            sizes = [ends.get(s, length) for s in out["sequence_id"]]
-            made += max(bins, default=-1) + 1
-            held, tokens = [], 0
-            types = {"ids": pa.binary()}
-            columns = {n: pa.array(v, types.get(n, pa.int64())) for n, v in out.items()}
-            columns["padded"] = pa.array([n if n & (n - 1) == 0 else length for n in sizes], pa.int64())
-            return pa.RecordBatch.from_pydict(columns)
-
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                keys = part.column(part.schema.get_field_index("group")).to_pylist()
-                docs = part.column(part.schema.get_field_index("doc_id")).to_pylist()
-                texts = part.column(part.schema.get_field_index("text")).to_pylist()
-                for key, doc, ids in zip(keys, docs, encode(texts)):
-                    if held and (key != group or tokens >= RUN_TOKENS):
-                        yield flush()
-                    if key != group:
-                        group, made = key, 0
-                    held.append((doc, ids + end))
-                    tokens += len(ids) // 4 + 1
-        if held:
-            yield flush()
+                if size >= OUT_BYTES:
+                    yield leave()
+        close_group()
+        yield leave()
 
     return pack

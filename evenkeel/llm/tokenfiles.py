@@ -1,10 +1,10 @@
 """Token files: Arrow streams in files, fixed-size-list batches of equal-length sequences and masks.
 
-A file ``part-00007.arrows`` holds the ids of a run of documents, cut into sequences
+A file ``part-0000000007.arrows`` holds the ids of a run of documents, cut into sequences
 of ``length`` ids (``ids``) with a ``mask`` that is true where an id is real; only a
 file's last sequence is padded. All batches but the last hold ``BATCH_SEQUENCES``
 sequences, so a sequence's place follows from its number, and a memory-mapped file
-yields arrays over the file's own pages. ``part-00007.docs.arrows`` tells where the
+yields arrays over the file's own pages. ``part-0000000007.docs.arrows`` tells where the
 documents of that file start. Files in the order of their names hold documents in
 ascending order of id.
 """
@@ -62,7 +62,7 @@ def read_token_files(spark: SparkSession, files: DataFrame) -> DataFrame:
     ship(spark)
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     placed = files.select("path", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
-    dealt = placed.repartition(F.col("path"))
+    dealt = placed.repartition(max(1, files.count()), "path")  # rows are few and small: a stated number is not merged
     return dealt.mapInArrow(_reader, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
@@ -132,8 +132,8 @@ def _writer(tokenizer: str, folder: str, end_id: int, length: int, dtype: str):
         encode, end = encoder(tokenizer, dtype).encode, np.array([end_id], dtype).tobytes()
         width, part = np.dtype(dtype).itemsize, TaskContext.get().partitionId()
         store, top = _store(folder)
-        name = f"{top}/part-{part:05d}"
-        mine = f"{top}/.writing-{part:05d}-{TaskContext.get().taskAttemptId()}"
+        name = f"{top}/part-{part:010d}"
+        mine = f"{top}/.writing-{part:010d}-{TaskContext.get().taskAttemptId()}"
         kind = pa.from_numpy_dtype(np.dtype(dtype))
         schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length))])
         doc_schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -150,26 +150,26 @@ def _writer(tokenizer: str, folder: str, end_id: int, length: int, dtype: str):
 
         stream = doc_stream = None
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part_of = batch.slice(at, 512)
-                if part_of.num_rows and stream is None:
-                    store.create_dir(top, recursive=True)
-                    sinks = [store.open_output_stream(mine + x) for x in (".arrows", ".docs.arrows")]
-                    stream, doc_stream = pa.ipc.new_stream(sinks[0], schema), pa.ipc.new_stream(sinks[1], doc_schema)
-                ids = [x + end for x in encode(part_of.column(1).to_pylist())]
-                counts = np.array([len(x) // width for x in ids], np.int64)
-                starts = written + np.cumsum(counts) - counts
-                doc_stream.write_batch(pa.RecordBatch.from_arrays(
-                    [part_of.column(0), pa.array(starts), pa.array(counts)], schema=doc_schema))
-                written, docs = written + int(counts.sum()), docs + len(ids)
-                held += ids
-                held_bytes += sum(map(len, ids))
-                if held_bytes >= step:
-                    raw = b"".join(held)
-                    whole = len(raw) // step * step
-                    for i in range(0, whole, step):
-                        stream.write_batch(batch_of(raw[i:i + step]))
-                    held, held_bytes = [raw[whole:]], len(raw) - whole
+            if batch.num_rows and stream is None:
+                store.create_dir(top, recursive=True)
+                sinks = [store.open_output_stream(mine + x) for x in (".arrows", ".docs.arrows")]
+                stream, doc_stream = pa.ipc.new_stream(sinks[0], schema), pa.ipc.new_stream(sinks[1], doc_schema)
+            if not batch.num_rows:
+                continue
+            ids = [x + end for x in encode(batch.column(1))]
+            counts = np.array([len(x) // width for x in ids], np.int64)
+            starts = written + np.cumsum(counts) - counts
+            doc_stream.write_batch(pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(starts), pa.array(counts)], schema=doc_schema))
+            written, docs = written + int(counts.sum()), docs + len(ids)
+            held += ids
+            held_bytes += sum(map(len, ids))
+            if held_bytes >= step:
+                raw = b"".join(held)
+                whole = len(raw) // step * step
+                for i in range(0, whole, step):
+                    stream.write_batch(batch_of(raw[i:i + step]))
+                held, held_bytes = [raw[whole:]], len(raw) - whole
         if stream is None:
             return
         if held_bytes:
@@ -179,7 +179,7 @@ def _writer(tokenizer: str, folder: str, end_id: int, length: int, dtype: str):
         for x in (".docs.arrows", ".arrows"):
             store.move(mine + x, name + x)
         yield pa.RecordBatch.from_pydict({
-            "part": pa.array([part], pa.int32()), "path": pa.array([f"{folder}/part-{part:05d}"]),
+            "part": pa.array([part], pa.int32()), "path": pa.array([f"{folder}/part-{part:010d}"]),
             "docs": pa.array([docs], pa.int64()), "tokens": pa.array([written], pa.int64())})
 
     return write

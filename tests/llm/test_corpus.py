@@ -9,13 +9,16 @@ import numpy as np
 import oracle
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from evenkeel.llm import mixing, neardup, neighbours, packing, shingles, tokenfiles
 from evenkeel.llm.components import connected_components
 from evenkeel.llm.queries import ORACLE, QUERIES
-from evenkeel.llm.tokens import PieceEncoder
+from evenkeel.llm.tokens import PieceEncoder, encoder
 
 FOLDER = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -231,10 +234,33 @@ def test_first_fit_decreasing_is_first_fit():
 
 @pytest.mark.parametrize("path,dtype", [(BYTES, "<u4"), (WORDS, "<u2")])
 def test_ids_are_those_of_whole_texts(path, dtype):
-    pieces = PieceEncoder(path, dtype, kept=50)
-    plain = pieces.tokenizer
-    for text in [t for t in ODD_TEXTS if t is not None] * 2:
+    pieces, plain = PieceEncoder(path, dtype, kept=50), Tokenizer.from_file(path)
+    texts = [t for t in ODD_TEXTS if t is not None] * 2
+    for text in texts:
         assert np.frombuffer(pieces.encode([text])[0], dtype).tolist() == plain.encode(text, add_special_tokens=False).ids
+    together = [np.frombuffer(x, dtype).tolist() for x in PieceEncoder(path, dtype).encode(texts)]
+    assert together == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert pieces.encode([]) == []
+
+
+@pytest.mark.parametrize("path,dtype", [(BYTES, "<u4"), (WORDS, "<u2")])
+@settings(max_examples=150, deadline=None)
+@given(texts=st.lists(st.text(st.sampled_from(list("aAbé .,'s\n\t 1<|>\x01\x1c\u0301İΣ½一क़\u3000_-")) | st.characters(codec="utf-8"), max_size=14), max_size=6))
+def test_ids_of_any_texts(path, dtype, texts):
+    plain = Tokenizer.from_file(path)
+    got = [np.frombuffer(x, dtype).tolist() for x in encoder(path, dtype).encode(texts)]
+    assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_added_tokens_are_the_librarys_unless_told():
+    text = "x <|endoftext|> y <|EndOfText|>"
+    for path in (BYTES, WORDS):
+        plain = Tokenizer.from_file(path)
+        ids = lambda e: np.frombuffer(e.encode([text])[0], "<u4").tolist()
+        assert ids(PieceEncoder(path)) == plain.encode(text, add_special_tokens=False).ids
+        assert set(ids(PieceEncoder(path))) & {50256, 49407}
+        plain.encode_special_tokens = True
+        assert ids(PieceEncoder(path, special_as_text=True)) == plain.encode(text, add_special_tokens=False).ids
 
 
 def test_packed_pieces_cover_documents(spark, monkeypatch):
@@ -245,7 +271,7 @@ def test_packed_pieces_cover_documents(spark, monkeypatch):
     for r in rows:
         ids[r["doc_id"]].append((r["start"], bytes(r["ids"])))
         assert len(r["ids"]) == 4 * r["length"] and 0 < r["length"] <= 256
-    plain = PieceEncoder(BYTES).tokenizer
+    plain = Tokenizer.from_file(BYTES)
     for i, text in enumerate(texts):
         want = np.array(plain.encode(text or "", add_special_tokens=False).ids + [0], "<u4").tobytes()
         times = 2 if i < 5 else 1
@@ -265,7 +291,7 @@ def test_token_files_round_trip(spark):
     folder = tokenfiles.token_folder(spark)
     files = tokenfiles.write_token_files(docs, WORDS, folder, end_id=2, length=64)
     rows = sorted(tokenfiles.read_token_files(spark, files).collect(), key=lambda r: r["doc_id"])
-    plain, start = PieceEncoder(WORDS).tokenizer, 0
+    plain, start = Tokenizer.from_file(WORDS), 0
     for r in rows:
         text = docs.where(F.col("doc_id") == r["doc_id"]).first()["text"] if r["doc_id"] < 20 else "abc " * (r["doc_id"] - len(ODD_TEXTS))
         want = np.array(plain.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
@@ -336,5 +362,5 @@ def test_query_columns(spark):
 def test_crc_of_pieces_is_that_of_their_ids(spark):
     row = QUERIES["op9_packing"](spark, FOLDER).where("start = 0 and length = doc_tokens").first()
     text = spark.read.parquet(f"{FOLDER}/documents.parquet").where(F.col("doc_id") == row["doc_id"]).first()["text"]
-    ids = PieceEncoder(BYTES).tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+    ids = Tokenizer.from_file(BYTES).encode(text or "", add_special_tokens=False).ids + [0]
     assert row["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
