@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import chat, language, mixing, neardup, neighbours, packing, quality, secrets, tokenfiles, toxicity
+from evenkeel.llm import chat, language, lexical, mixing, neardup, neighbours, packing, quality, secrets, tokenfiles, toxicity
 from evenkeel.llm.common import table
 from evenkeel.session import pin_utc
 
@@ -297,3 +297,39 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op4_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     vectors = neighbours.valid_vectors(table(spark, folder, "embeddings"))
     return neighbours.nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+@query
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
+
+
+ORACLE["op13_lexical_search"] = r"""
+WITH listed AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), asked AS (
+  SELECT iid, item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS iid, item_id, text FROM benchmark)
+), totals AS (
+  SELECT count(*) FILTER (len(terms) > 0) AS docs, sum(len(terms))::BIGINT AS total FROM listed
+), postings AS (
+  SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(terms) AS term FROM listed) GROUP BY rid, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM postings, totals GROUP BY term, docs
+), lengths AS (
+  SELECT rid, doc_id, 100 - 75 + ((75 * len(terms) * docs) // total)::BIGINT AS m FROM listed, totals WHERE len(terms) > 0
+), scored AS (
+  SELECT a.iid, a.item_id, l.doc_id, l.rid, sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * l.m)))::BIGINT AS score
+  FROM asked a JOIN postings p USING (term) JOIN weights w USING (term) JOIN lengths l USING (rid)
+  GROUP BY a.iid, a.item_id, l.doc_id, l.rid
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""
