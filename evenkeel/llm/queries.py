@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import chat, language, lexical, mixing, neardup, neighbours, packing, quality, secrets, tokenfiles, toxicity
+from evenkeel.llm import chat, language, lexical, mixing, mtree, neardup, neighbours, packing, quality, secrets, tokenfiles, toxicity
 from evenkeel.llm.common import table
 from evenkeel.session import pin_utc
 
@@ -333,3 +333,26 @@ SELECT item_id, rank::INTEGER AS rank, doc_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
 WHERE rank <= 10
 """
+
+
+@query
+def op11_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = mtree.quantised(table(spark, folder, "embeddings"), scale=1024.0)
+    return mtree.exact_top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
+ORACLE["op11_exact_top_k"] = r"""
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT q.rid, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.rid <> c.rid AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 10
+"""
