@@ -113,7 +113,7 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFram
     lists = asked.join(lists, "query").mapInArrow(_with_norm, "v array<double>, norm bigint, found array<struct<at: int, vec_id: bigint, score: bigint>>")
     mine = lambda x: (x["vec_id"] == F.col("query_id")) & (x["score"] == F.col("norm"))
     joined = queries.select(F.col("vec_id").alias("query_id"), "v").join(lists, "v").withColumn(
-        "own", F.coalesce(F.filter("found", mine)[0]["at"], F.lit(k + 1)))  # one row of the query's id and score: itself
+        "own", F.coalesce(F.get(F.filter("found", mine), F.lit(0))["at"], F.lit(k + 1)))  # one row of the query's id and score: itself
     rest = F.slice(F.filter("found", lambda x: x["at"] != F.col("own")), 1, k)
     return joined.select("query_id", F.posexplode(rest).alias("rank", "x")).select(
         "query_id", (F.col("rank") + 1).alias("rank"), "x.vec_id", "x.score")
@@ -313,7 +313,7 @@ class Tree:
         live = every
         while len(live):
             page = np.argmin(low[live], axis=1)
-            near = low[live, page] <= reach[live]
+            near = np.isfinite(low[live, page]) & (low[live, page] <= reach[live])
             live, page = live[near], page[near]
             low[live, page] = np.inf
             hits = [held]

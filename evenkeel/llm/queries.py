@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import chat, language, lexical, mixing, mtree, neardup, neighbours, packing, quality, secrets, tokenfiles, toxicity
+from evenkeel.llm import chat, language, lexical, mixing, mtree, neardup, neighbours, packing, prefixes, quality, secrets, tokenfiles, toxicity
 from evenkeel.llm.common import table
 from evenkeel.session import pin_utc
 
@@ -356,3 +356,50 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 10
 """
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return prefixes.prefix_trie(prefixes.share_openings(prefixes.sequences(turns), families=5, most=8))
+
+
+#: Unsigned CRC-32 of a conversation's id in decimals, bit by bit.
+CRC = """xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+  lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295)"""
+
+ORACLE["op12_prefix_trie"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+         strlen(coalesce(text, '')) AS bytes
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({'d': digest, 'b': bytes} ORDER BY turn NULLS FIRST, digest) AS t FROM turns GROUP BY conv_id
+), hashed AS (
+  SELECT *, (@CRC@ % 9)::BIGINT AS h FROM own
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.t[1:c.h], []), c.t[c.h + 1:]) AS t
+  FROM hashed c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5
+), named AS (
+  SELECT conv_id, len(t) AS depth, [md5(array_to_string(list_transform(t[1:d], lambda x: x.d), ',')) FOR d IN range(0, len(t) + 1)] AS names,
+         [CASE WHEN d = 0 THEN 0 ELSE t[d].b END FOR d IN range(0, len(t) + 1)] AS sizes
+  FROM rebuilt
+), steps AS (
+  SELECT conv_id, depth AS ends_at, unnest(range(0, depth + 1)) AS d, names, unnest(names) AS name, unnest(sizes) AS bytes FROM named
+), nodes AS (
+  SELECT name, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(names[1:d + 1]) AS path, any_value(bytes) AS bytes,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends_at = d), '')) AS ends_sha256
+  FROM steps GROUP BY name, d
+), children AS (
+  SELECT path[depth] AS parent, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+), subtrees AS (
+  SELECT top, sum((n_convs - 1) * bytes) AS saved, count(*) FILTER (childless) AS leaves
+  FROM (SELECT unnest(path) AS top, n_convs, bytes, c.n IS NULL AS childless FROM nodes LEFT JOIN children c ON c.parent = nodes.name)
+  GROUP BY top
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, s.leaves AS n_leaves,
+       s.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.name = n.path[n.depth] LEFT JOIN children c ON c.parent = n.name
+JOIN subtrees s ON s.top = n.name
+""".replace("@CRC@", CRC)

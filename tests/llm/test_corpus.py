@@ -352,7 +352,9 @@ def test_query_columns(spark):
         "op3": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept", "op4": "query_id rank vec_id score",
         "op5": "doc_id n_shingles component_id kept", "op6": "doc_id n_assign n_access n_hex base_sha256 spans",
         "op7": "doc_id held_out score predicted", "op8": "doc_id size source_size target taken",
-        "op9": "doc_id start length ids_crc32 doc_tokens sequence_id offset", "op10": "doc_id start n_tokens ids_crc32"}
+        "op9": "doc_id start length ids_crc32 doc_tokens sequence_id offset", "op10": "doc_id start n_tokens ids_crc32",
+        "op11": "query_id rank vec_id score", "op12": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+        "op13": "item_id rank doc_id score"}
     for name, query in QUERIES.items():
         df = query(spark, FOLDER)
         assert set(want[name.split("_")[0]].split()) <= set(df.columns), name
