@@ -169,13 +169,12 @@ def _(t: Tables):
 
 
 CALENDAR_SQL = f"""
-SELECT * FROM (WITH RECURSIVE days AS (SELECT DATE '{TODAY}' AS d, 0 AS n UNION ALL SELECT CAST(d + INTERVAL 1 DAY AS DATE), n + CASE WHEN isodow(d + INTERVAL 1 DAY) < 6 THEN 1 ELSE 0 END FROM days WHERE n < 1000),
-slots AS (SELECT n, min(d) AS d FROM days WHERE isodow(d) < 6 GROUP BY n),
+SELECT * FROM (WITH first AS (SELECT DATE '{TODAY}' - CAST(isodow(DATE '{TODAY}') - 1 AS INTEGER) AS monday, least(isodow(DATE '{TODAY}'), 5) - 1 AS gone),
 ranked AS (SELECT *, row_number() OVER (ORDER BY site_id, breach_risk_pct DESC, wo_no) AS slot FROM queue WHERE risk_band IN ('HIGH', 'MEDIUM')),
 mondays AS (SELECT CAST(day AS DATE) AS day, week(day) AS iso_week FROM (SELECT unnest(generate_series(DATE '{TODAY}' + 1, DATE '{TODAY}' + 30, INTERVAL 1 DAY)) AS day) WHERE isodow(day) = 1)
 SELECT 'elevated-' || site_id || '-{TODAY}' AS event_id, site_id, 'inspection' AS kind, DATE '{TODAY}' + 1 AS start_date, DATE '{TODAY}' + 2 AS end_date,
        1 AS priority, rri AS risk_value FROM portfolio WHERE band = 'ELEVATED'
-UNION ALL SELECT 'wo-' || CAST(wo_no AS VARCHAR), site_id, 'work order', d, d + 1, CASE WHEN risk_band = 'HIGH' THEN 1 ELSE 5 END, breach_risk_pct FROM ranked JOIN slots ON n = slot
+UNION ALL SELECT 'wo-' || CAST(wo_no AS VARCHAR), site_id, 'work order', d, d + 1, CASE WHEN risk_band = 'HIGH' THEN 1 ELSE 5 END, breach_risk_pct FROM (SELECT *, CAST(monday + CAST(7 * ((gone + slot) // 5) + (gone + slot) % 5 AS INTEGER) AS DATE) AS d FROM ranked CROSS JOIN first)
 UNION ALL SELECT 'window-' || site_id || '-w' || CAST(h.iso_week AS VARCHAR) || '-' || CAST(year(day) AS VARCHAR), site_id, 'risk window', day, day + 5, 7, round(hist_mean_rri, 6)
 FROM history h JOIN mondays m ON m.iso_week = h.iso_week WHERE hist_mean_rri >= 70)"""
 
