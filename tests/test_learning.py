@@ -1,5 +1,6 @@
 """Metrics against brute force; models learn; anomalies and tiers are found."""
 
+import math
 import datetime as dt
 
 import numpy as np
@@ -182,3 +183,35 @@ def test_usage_tiers(spark):
     df = spark.createDataFrame(rows, "room STRING, mean_pct DOUBLE, std_pct DOUBLE, zero_day_frac DOUBLE, high_day_frac DOUBLE")
     got = {r.room[:3]: r.usage_tier for r in usage_tiers(df, restarts=3).collect()}
     assert got == {"low": "light", "mid": "medium", "top": "heavy"}
+
+
+def test_depths_equal_walking_each_tree():
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(300, 3)), 1)
+    trees = np.repeat(np.arange(6), 50)
+    on, at, child, depth_at = a._grow(x, trees, 6, np.random.default_rng(1))
+
+    def walk(row, node):
+        while on[node] >= 0:
+            node = child[node] + (row[on[node]] >= at[node])
+        return depth_at[node]
+
+    assert np.allclose(a._depths(x, 6, on, at, child, depth_at), [sum(walk(row, t) for t in range(6)) for row in x])
+    for t in range(6):  # a leaf's rows: as many as its depth says, by the mean path of what is left
+        leaves = {}
+        for row in x[trees == t]:
+            node, depth = t, 0
+            while on[node] >= 0:
+                node, depth = child[node] + (row[on[node]] >= at[node]), depth + 1
+            leaves.setdefault(node, []).append(depth)
+        assert sum(map(len, leaves.values())) == 50
+        for node, depths in leaves.items():
+            assert math.isclose(depth_at[node], depths[0] + float(a.mean_path(len(depths))))
+
+
+def test_scores_do_not_depend_on_blocks(spark, monkeypatch):
+    df = spark.createDataFrame([(s, i, float(i % 17) + (50 if i == 5 else 0)) for s in "ab" for i in range(150)], "site string, id bigint, x double")
+    run = lambda: sorted((r.site, r.id, r.anomaly_score) for r in a.isolation_forest(df, "site", "id", ["x"], trees=25).collect())
+    whole = run()
+    monkeypatch.setattr(a, "ROWS_PER_BLOCK", 20)
+    assert run() == whole and len(whole) == 300
