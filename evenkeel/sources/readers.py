@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions import cp1252_from_latin1, delimiter_of, is_null_literal
 from evenkeel.sources.contracts import OCCUPANCY_SCHEMA, PROPERTY_SCHEMA
+from evenkeel.sources.records import cells_of, csv_records, split_states
 
 SIDE_FILES = r"(\.meta\.json|^_manifest\.json)$"
 
@@ -45,33 +47,40 @@ def csv_dialects(spark: SparkSession, path: str, glob: str | None = "*.csv") ->
         header.alias("header"), delimiter_of(header).alias("delimiter"), "data_lines")
 
 
-def read_erp_csv(spark: SparkSession, path: str, glob: str | None = "*.csv",
-                 encoding: str | None = None, delimiter: str | None = None) -> DataFrame:
+def read_erp_csv(spark: SparkSession, path: str, glob: str | None = "*.csv", encoding: str | None = None,
+                 delimiter: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """All files of an export as string columns plus ``source_file``.
 
-    Files are grouped by dialect and header; each group is one distributed CSV
-    scan. Only the list of files and their headers reaches the driver, where Spark
-    keeps the file listing anyway.
+    One plan for any number of files, dialects and headers, and a large file is read by
+    many tasks (``records``): a split's dialect and starting state stand beside its
+    lines, and a column is taken from wherever the file's own header has it (null where
+    it does not). ``columns`` names the columns (a contract's, say) and makes reading
+    them the first job; otherwise the distinct headers are looked up before. Empty
+    lines outside quotes are dropped; a file's first record is its header.
     """
-    groups: dict[tuple, list[str]] = {}
-    for f in csv_dialects(spark, path, glob).orderBy("file_path").collect():
-        groups.setdefault((encoding or f.encoding, delimiter or f.delimiter, f.header), []).append(f.file_path)
-    if not groups:
-        raise FileNotFoundError(f"no files match {glob!r} under {path}")
-    parts = []
-    for (charset, sep, header), files in groups.items():
-        names = [h.strip().strip('"') for h in header.split(sep)]
-        utf8 = charset == "utf-8"
-        schema = ", ".join(f"`{n}` STRING" for n in names)
-        raw = (
-            spark.read.schema(schema).option("header", "true").option("sep", sep).option("quote", '"')
-            .option("escape", '"').option("multiLine", "true").option("enforceSchema", "true")
-            .option("encoding", "UTF-8" if utf8 else "ISO-8859-1").csv(files)
-        )
-        value = (lambda c: F.when(~is_null_literal(c), F.col(c))) if utf8 else (lambda c: cp1252_from_latin1(F.col(c)))
-        parts.append(raw.select(*[value(n).alias(n) for n in names],
-                                F.col("_metadata.file_path").alias("source_file")))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    lines = _lines(spark, path, glob).select(
+        "file_path", F.col("_at.file_block_start").alias("block"), F.col("_at.col2").alias("at"), "value")
+    states = split_states(lines)
+    utf8 = F.lit(encoding == "utf-8") if encoding else F.col("utf8")
+    header = _decoded("header_line", utf8)
+    sep = F.lit(delimiter) if delimiter else delimiter_of(header)
+    heads = states.select("file_path", "block", "inside", "first_block", utf8.alias("utf8"), sep.alias("sep"),
+                          F.transform(cells_of(header, sep), lambda h: F.btrim(h)).alias("names"))
+    if columns is None:
+        found = heads.select(F.posexplode("names").alias("place", "name")).groupBy("name").agg(F.min("place").alias("place"))
+        columns = [r["name"] for r in found.where("name IS NOT NULL").orderBy("place", "name").collect()]
+        if not columns:
+            raise FileNotFoundError(f"no files match {glob!r} under {path}")
+    heads = heads.withColumn("places", F.transform(F.lit(list(columns)), lambda n: F.array_position("names", n).cast("int")))
+    dialects = heads.select("file_path", "block", "utf8", "sep", "places", "first_block")
+    decoded = lines.join(heads.select("file_path", "block", "utf8"), ["file_path", "block"]).select(
+        "file_path", "block", "at", _decoded("value", F.col("utf8")).alias("value"))
+    records = csv_records(decoded, heads).where(F.col("text") != "").join(dialects, ["file_path", "block"])
+    data = records.where((F.col("block") != F.col("first_block")) | (F.col("seq") != 0))
+    cut = data.select("file_path", "utf8", "places", cells_of(F.col("text"), F.col("sep")).alias("cells"))
+    cell = lambda i: F.get("cells", F.get("places", F.lit(i)) - 1)
+    value = lambda i: F.when(~(F.col("utf8") & F.coalesce(is_null_literal(cell(i)), F.lit(False))), cell(i))
+    return cut.select(*[value(i).alias(n) for i, n in enumerate(columns)], F.col("file_path").alias("source_file"))
 
 
 def read_properties(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
