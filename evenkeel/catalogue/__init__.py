@@ -6,6 +6,6 @@ which inventory ids the query covers.
 """
 
 from evenkeel.catalogue import (  # noqa: F401  (importing registers the queries)
-    checks, decisions, expressions, exploring, learned, marts, shaping,
+    checks, decisions, expressions, exploring, filed, learned, marts, shaping,
 )
 from evenkeel.catalogue.registry import AREAS, ORACLE, QUERIES  # noqa: F401

@@ -14,7 +14,7 @@ from evenkeel.operators.joins import rate_lookup
 from evenkeel.plans import features as f
 from evenkeel.plans.marts import rolling_context
 from evenkeel.plans.serving import model_comparison
-from evenkeel.session import durable
+from evenkeel.session import durable, shared_path
 
 CATEGORIES = ["work_type_eng", "work_order_type", "contract_type", "assignment_type", "priority_id_str", "site_id"]
 NUMBERS = ["is_subcontractor_work", "is_invoicable", "start_month", "start_weekday", "start_is_weekend", "start_year", "sla_window_hours", "site_open_wo_at_start"]
@@ -280,8 +280,31 @@ def _(t: Tables):
     return scored.select("wo_no", "contract_type", "risk_prob", "risk_label", "model_used")
 
 
-@query("scaled_features", "M18")
+SCALED_SQL = """
+SELECT l_orderkey, l_linenumber, {columns}
+FROM lineitem, (SELECT {facts} FROM lineitem)"""
+SCALED = ["l_quantity", "l_discount"]
+
+
+@query("scaled_features", "M18", SCALED_SQL.format(
+    columns=", ".join(f"round(({c} - m_{c}) / CASE WHEN q3_{c} = q1_{c} THEN NULL ELSE q3_{c} - q1_{c} END, 6) AS robust_{c}, "
+                      f"round(({c} - a_{c}) / s_{c}, 6) AS standard_{c}" for c in SCALED),
+    facts=", ".join(f"quantile_cont({c}, 0.5) AS m_{c}, quantile_cont({c}, 0.25) AS q1_{c}, quantile_cont({c}, 0.75) AS q3_{c}, "
+                    f"avg({c}) AS a_{c}, stddev_samp({c}) AS s_{c}" for c in SCALED)))
+def _(t: Tables):
+    items = t.read("lineitem").select("l_orderkey", "l_linenumber", *SCALED)
+    both = m.standard_scaled(m.robust_scaled(items, SCALED, "robust"), SCALED, "standard")
+    return both.select("l_orderkey", "l_linenumber", *[
+        F.round(F.col(kind)[i], 6).alias(f"{kind}_{c}") for i, c in enumerate(SCALED) for kind in ("robust", "standard")])
+
+
+@query("reloaded_model", "S20 M9", """
+SELECT count(*) AS orders, CAST(0 AS BIGINT) AS unlike FROM work_orders""", ("work_orders",))
 def _(t: Tables):
-    items = t.read("lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
-    robust = m.robust_scaled(items, ["l_quantity", "l_discount"], "robust")
-    return m.standard_scaled(robust, ["l_quantity", "l_discount"], "standard")
+    """A model that was written and read again gives each order the score it gave before."""
+    train, test = _features(t)
+    path = shared_path(t.spark, "breach-model")
+    fitted = m.fit_breach_model(train, "logistic", CATEGORIES, NUMBERS, LABEL)
+    again = m.load_model(m.save_model(fitted, path))
+    both = again.transform(fitted.transform(train.unionByName(test), "before"), "after")
+    return both.agg(F.count(F.lit(1)).alias("orders"), F.count_if(~F.col("before").eqNullSafe(F.col("after"))).alias("unlike"))

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel, Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import (
-    Imputer, OneHotEncoder, RobustScaler, StandardScaler, StringIndexer, VarianceThresholdSelector, VectorAssembler,
+    Imputer, OneHotEncoder, StandardScaler, StringIndexer, VarianceThresholdSelector, VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +27,8 @@ from evenkeel.session import durable
 
 RARE = "_rare_"
 MISSING = "_missing_"
+#: Memory for the statistics of tree nodes that one pass over the rows splits.
+NODE_MEMORY_MB = 1024
 
 
 @dataclass
@@ -128,17 +133,24 @@ def fit_breach_model(train: DataFrame, kind: str, categories: Sequence[str], num
         data = data.withColumn("_validate", F.pmod(F.xxhash64(identifier or F.struct(*categories, *numbers)), F.lit(1000))
                                < int(1000 * validation_fraction))
         model = GBTClassifier(maxIter=trees or 400, maxDepth=depth or 6, stepSize=0.08, seed=seed,
-                              validationIndicatorCol="_validate", **common)
+                              validationIndicatorCol="_validate", maxMemoryInMB=NODE_MEMORY_MB, **common)
     elif kind == "forest":
         data = with_class_weights(data, "_label")
         model = RandomForestClassifier(numTrees=trees or 300, maxDepth=depth or 12, minInstancesPerNode=20, seed=seed,
-                                       weightCol="_weight", **common)
+                                       weightCol="_weight", maxMemoryInMB=NODE_MEMORY_MB, **common)
     elif kind == "logistic":
         model = LogisticRegression(maxIter=1000 if trees is None else trees, **common)
     else:
         raise ValueError(f"unknown model kind {kind!r}")
     model = model.setProbabilityCol("_probability").setRawPredictionCol("_raw")
-    fitted = Pipeline(stages=[*stages, model]).fit(data)
+    # features are worked out once, over all cores, and read by every pass of the fit
+    prepared = Pipeline(stages=stages).fit(data)
+    columns = ["_label", features, *(c for c in ("_validate", "_weight") if c in data.columns)]
+    ready = prepared.transform(data).select(*columns)
+    cores = data.sparkSession.sparkContext.defaultParallelism
+    if kind != "logistic" and ready.rdd.getNumPartitions() < cores:
+        ready = ready.repartition(cores)
+    fitted = PipelineModel([*prepared.stages, model.fit(durable(ready))])
     return BreachModel(fitted, kept, categories, numbers, kind, features,
                        {"names": _slot_names(fitted, categories, numbers, kind)})
 
@@ -155,6 +167,23 @@ def _slot_names(fitted: PipelineModel, categories: Sequence[str], numbers: Seque
     return names
 
 
+# ------------------------------------------------------------------ artifacts
+def save_model(model: BreachModel, path: str) -> str:
+    """Write the fitted pipeline, and beside it the levels, columns and names it needs."""
+    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    facts = {"kept": model.kept, "categories": list(model.categories), "numbers": list(model.numbers), "name": model.name,
+             "assembled": model.assembled, "options": model.options}
+    spark = SparkSession.getActiveSession()
+    spark.createDataFrame([(json.dumps(facts),)], "value STRING").coalesce(1).write.mode("overwrite").text(f"{path}/facts")
+    return path
+
+
+def load_model(path: str) -> BreachModel:
+    """The model that ``save_model`` wrote; its scores are the same."""
+    facts = json.loads(SparkSession.getActiveSession().read.text(f"{path}/facts").first()["value"])
+    return BreachModel(PipelineModel.load(f"{path}/pipeline"), **facts)
+
+
 # ------------------------------------------------------------------ baselines
 def majority_rate(train: DataFrame, test: DataFrame, label: str, name: str = "p") -> DataFrame:
     return test.withColumn(name, train.agg(F.avg(F.col(label).cast("double"))).scalar())
@@ -170,20 +199,28 @@ def fit_segments(df: DataFrame, segment: str, cutoffs: Mapping[str, str], catego
                  **options) -> tuple[dict[str, BreachModel], DataFrame]:
     """Per segment: fit each kind, keep the one with the higher AUC after the cutoff.
 
-    The loop is over configured segments, each fit a distributed job.
+    The segments are configured, so few; their fits run side by side, each a series of
+    small distributed jobs, and the outcome does not depend on which ends first.
     """
+    splits = {}
+    for name, cutoff in cutoffs.items():
+        splits[name] = cutoff_split(df.where(F.col(segment) == name), F.lit(cutoff).cast("timestamp"), timestamp)
+
+    def fit(job: tuple[str, str]) -> tuple[BreachModel, float | None]:
+        train, test = splits[job[0]]
+        model = fit_breach_model(train, job[1], categories, numbers, label, **options)
+        return model, classification_metrics(model.transform(test, "p"), "p", label).first()["roc_auc"]
+
+    jobs = [(name, kind) for name in cutoffs for kind in kinds]
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        results = list(pool.map(inheritable_thread_target(df.sparkSession)(fit), jobs))
     winners: dict[str, BreachModel] = {}
+    best: dict[str, float] = {}
     rows = []
-    for name, cutoff in cutoffs.items():
-        mine = df.where(F.col(segment) == name)
-        train, test = cutoff_split(mine, F.lit(cutoff).cast("timestamp"), timestamp)
-        best = -1.0
-        for kind in kinds:
-            model = fit_breach_model(train, kind, categories, numbers, label, **options)
-            auc = classification_metrics(model.transform(test, "p"), "p", label).first()["roc_auc"]
-            rows.append((name, kind, auc, cutoff))
-            if (auc or 0.0) > best:
-                best, winners[name] = auc or 0.0, model
+    for (name, kind), (model, auc) in zip(jobs, results):
+        rows.append((name, kind, auc, cutoffs[name]))
+        if (auc or 0.0) > best.get(name, -1.0):
+            best[name], winners[name] = auc or 0.0, model
     table = df.sparkSession.createDataFrame(rows, "segment STRING, model STRING, roc_auc DOUBLE, test_cutoff STRING")
     return winners, table
 
@@ -206,12 +243,21 @@ def scored_once(model: BreachModel, df: DataFrame, output: str = "breach_probabi
 
 # ------------------------------------------------------------------ scaling
 def robust_scaled(df: DataFrame, columns: Sequence[str], output: str = "scaled") -> DataFrame:
-    """Median/IQR scaling of complete rows."""
-    assembler = VectorAssembler(inputCols=list(columns), outputCol="_raw_vector", handleInvalid="skip")
-    scaler = RobustScaler(inputCol="_raw_vector", outputCol="_scaled_vector", withCentering=True, relativeError=0.0001)
-    data = assembler.transform(df)
-    scaled = scaler.fit(data).transform(data)
-    return scaled.withColumn(output, vector_to_array("_scaled_vector")).drop("_raw_vector", "_scaled_vector")
+    """Median/IQR scaling of complete rows, exact: the quartiles of all columns come from
+    one pass that counts the values of each column. A column without spread gives 0."""
+    complete = df.dropna(subset=list(columns))
+    values = complete.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("_column"), F.col(c).cast("double").alias("_of")) for c in columns])))
+    found = exact_quantiles(values, "_of", {"q1": 0.25, "q2": 0.5, "q3": 0.75}, ["_column"], few_groups=True)
+    table = found.agg(F.map_from_entries(F.collect_list(F.struct("_column", F.struct("q1", "q2", "q3"))))
+                      .alias("q")).scalar()
+
+    def scaled(c: str):
+        q = F.element_at(table, F.lit(c))
+        spread = q["q3"] - q["q1"]
+        return F.when(spread == 0, 0.0).otherwise((F.col(c).cast("double") - q["q2"]) / spread)
+
+    return complete.withColumn(output, F.array(*[scaled(c) for c in columns]))
 
 
 def standard_scaled(df: DataFrame, columns: Sequence[str], output: str = "scaled") -> DataFrame:

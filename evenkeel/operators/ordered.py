@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 ROWS_PER_RANGE = 200_000  # one task sorts this many rows at ease
-COARSE = 64
 
 
 def _beside(left: DataFrame, right: DataFrame, on: list[str], small: bool) -> DataFrame:
@@ -50,15 +49,17 @@ def _with_group_value(left: DataFrame, right: DataFrame, keys: list[str], name:
 
 
 def _cuts_below(cuts: str, key: str) -> Column:
-    """How many of the sorted cut points lie below the key: first in steps of
-    ``COARSE``, then one by one inside the step."""
-    whole = F.sequence(F.lit(0), F.floor((F.size(cuts) - 1) / COARSE).cast("int"))
-    steps = F.size(F.filter(whole, lambda i: F.get(cuts, i * COARSE) < F.col(key)))
-    start = F.greatest(steps - 1, F.lit(0)) * COARSE
-    inside = F.size(F.filter(F.slice(F.col(cuts), start + 1, F.lit(COARSE)), lambda cut: cut < F.col(key)))
-    few = F.size(F.filter(cuts, lambda cut: cut < F.col(key)))
-    count = F.when(F.size(cuts) <= COARSE, few).otherwise(start + inside)
-    return F.when(F.coalesce(F.size(cuts), F.lit(0)) > 0, count).otherwise(F.lit(0))
+    """How many of the sorted cut points lie below the key, by bisection."""
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(cuts) + 1)).cast("int"))
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        below = F.get(cuts, middle) < F.col(key)
+        return F.when(at["lo"] >= at["hi"], at).when(below, F.struct((middle + 1).alias("lo"), at["hi"].alias("hi"))).otherwise(
+            F.struct(at["lo"].alias("lo"), middle.alias("hi")))
+
+    whole = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
+    return F.when(F.coalesce(F.size(cuts), F.lit(0)) > 0, F.aggregate(steps, whole, halve)["lo"]).otherwise(F.lit(0))
 
 
 def running_totals(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -29,6 +31,22 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Only a
+    session in one process may go without that setting; it uses its warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+    return folder.rstrip("/")
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` in the shared checkpoint folder.
 
@@ -42,10 +60,5 @@ def durable(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if context.master.split("[")[0] != "local":
-                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-            folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)

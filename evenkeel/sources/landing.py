@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.functions import file_export_date
@@ -98,17 +100,20 @@ def quarantine(bad: DataFrame, path: str, layer: str, table: str, check: str, re
                run_id: str, limit: int | None = None) -> DataFrame:
     """Write failing rows (all, or ``limit`` as a sample) and return the meta row.
 
-    The meta row counts every failing row, whatever is kept.
+    The meta row counts every failing row, whatever is kept; they are worked out once,
+    counted while they are written.
     """
-    kept = bad.limit(limit) if limit else bad
     target = f"{path}/layer={layer}/table={table}/check={check}/run={run_id}"
-    kept.write.mode("overwrite").parquet(target)
-    # failing rows are worked out once: what was written is what is counted
-    counted = bad if limit else bad.sparkSession.read.schema(bad.schema).parquet(target)
-    meta = counted.agg(F.count(F.lit(1)).alias("row_count")).select(
+    seen = Observation()
+    counted = bad.observe(seen, F.count(F.lit(1)).alias("row_count"))
+    if limit:  # every task hands on a few rows, so that all rows pass the counter
+        place = F.monotonically_increasing_id() % (1 << 33)
+        counted = counted.withColumn("_place", place).where(F.col("_place") < limit).drop("_place").repartition(1).limit(limit)
+    counted.write.mode("overwrite").parquet(target)
+    meta = bad.sparkSession.range(1).select(
         F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), F.lit(check).alias("check_id"),
-        F.lit(reason).alias("reason"), F.lit(run_id).alias("run_id"), "row_count", F.lit(target).alias("path"),
-        F.current_timestamp().alias("quarantined_at"))
+        F.lit(reason).alias("reason"), F.lit(run_id).alias("run_id"), F.lit(seen.get["row_count"]).alias("row_count"),
+        F.lit(target).alias("path"), F.current_timestamp().alias("quarantined_at"))
     meta.write.mode("append").json(f"{path}/meta")
     return meta
 
@@ -122,3 +127,38 @@ def read_landed(spark: SparkSession, path: str, source_system: str, ingest_date:
     """One landed partition; both filters prune directories."""
     return spark.read.parquet(path).where(
         (F.col("source_system") == source_system) & (F.col("ingest_date") == F.lit(ingest_date).cast("date")))
+
+
+def file_digests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """(source_file, dest_file, byte_size, sha256, content): files as they are, a file a row."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+    return files.select(F.col("path").alias("source_file"), F.element_at(F.split("path", "/"), -1).alias("dest_file"),
+                        F.col("length").alias("byte_size"), F.sha2("content", 256).alias("sha256"), "content")
+
+
+def land_files(spark: SparkSession, source: str, target: str, contract: Contract, ingest_date: str) -> DataFrame:
+    """Land files unchanged: names, sizes, digests and bytes, one directory a source and
+    date. A file whose name and digest have landed before is not landed again, so a rerun
+    adds nothing. Returns the rows of this run, without the bytes. A file is one row
+    (files beyond 2 GB are read with ``land_rows``); Spark's scan passes over empty files,
+    so they do not land."""
+    found = file_digests(spark, source, contract.file_pattern)
+    if _exists(spark, target):
+        landed = spark.read.parquet(target).where(F.col("source_system") == contract.source_system)
+        found = found.join(landed.select("dest_file", "sha256"), ["dest_file", "sha256"], "left_anti")
+    run = uuid.uuid4().hex
+    found.withColumns({
+        "run": F.lit(run), "ingested_at": F.current_timestamp(), "source_system": F.lit(contract.source_system),
+        "ingest_date": F.lit(ingest_date).cast("date"),
+    }).write.mode("append").partitionBy("source_system", "ingest_date").parquet(target)
+    if not _exists(spark, target):
+        return found.drop("content").withColumn("ingest_date", F.lit(ingest_date).cast("date"))
+    return spark.read.schema(found.withColumns({"run": F.lit(run), "source_system": F.lit(""), "ingest_date": F.lit(ingest_date).cast("date")}).schema).parquet(
+        target).where(F.col("run") == run).drop("content", "run")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table with files stands at ``path``."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place) and bool(
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path).select("path").take(1))

@@ -98,6 +98,45 @@ def read_properties(spark: SparkSession, path: str, glob: str = "*.json") -> Dat
     )
 
 
+POINTS = "array<struct<t: string, v: double, key: string, src: string>>"
+
+
+def read_property_metrics(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+    """One row a metric of a building-automation document, of the property or a child:
+    property_id, parent_property_id, metric, data (its points), issue, source_file.
+
+    A file is one document, or one a line if its first line is one. A document is parsed once, into a variant; its metrics leave
+    that task as rows and are dealt out before their points are unfolded. A document that
+    is empty or does not parse is one row that says so in ``issue``.
+    """
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    docs = files.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("source_file"))
+    docs = docs.where(~F.element_at(F.split("source_file", "/"), -1).rlike(SIDE_FILES))
+    by_line = F.try_parse_json(F.substring_index("value", "\n", 1)).isNotNull()
+    texts = F.when(by_line, F.filter(F.split("value", "\n"), lambda line: F.trim(line) != "")).otherwise(F.array("value"))
+    every = docs.select("source_file", F.explode(texts).alias("value")).withColumn("doc", F.try_parse_json("value"))
+    prop = F.try_variant_get("doc", "$.property", "variant")
+    issue = F.when(F.trim("value") == "", "empty document").when(F.col("doc").isNull(), "broken document").when(
+        F.try_variant_get(prop, "$.id", "string").isNull(), "no property id")
+    named = every.select("source_file", prop.alias("property"), issue.alias("issue"))
+    broken = named.where("issue IS NOT NULL").select(
+        *[F.lit(None).cast("string").alias(c) for c in ("property_id", "parent_property_id", "metric")],
+        F.lit(None).cast(POINTS).alias("data"), "issue", "source_file")
+    good = named.where("issue IS NULL")
+    own = F.try_variant_get("property", "$.id", "string")
+    children = F.transform(F.coalesce(F.try_variant_get("property", "$.children", "array<variant>"), F.array()),
+                           lambda c: F.struct(c.alias("member"), own.alias("parent")))
+    members = good.select("source_file", F.explode(F.concat(F.array(F.struct(
+        F.col("property").alias("member"), F.lit(None).cast("string").alias("parent"))), children)).alias("m"))
+    readings = F.try_variant_get("m.member", "$.readings", "map<string, variant>")
+    metrics = members.select(
+        "source_file", F.try_variant_get("m.member", "$.id", "string").alias("property_id"), F.col("m.parent").alias("parent_property_id"),
+        F.explode(readings).alias("metric", "block"))
+    dealt = metrics.hint("rebalance", "property_id", "metric")
+    return dealt.select("property_id", "parent_property_id", "metric", F.try_variant_get("block", "$.data", POINTS).alias("data"),
+                        F.lit(None).cast("string").alias("issue"), "source_file").unionByName(broken)
+
+
 def read_occupancy(spark: SparkSession, path: str, glob: str = "*.json", strict: bool = True) -> DataFrame:
     """One row a floor and weekday profile; a wrong number of hours raises if ``strict``."""
     rows = (

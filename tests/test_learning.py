@@ -215,3 +215,24 @@ def test_scores_do_not_depend_on_blocks(spark, monkeypatch):
     whole = run()
     monkeypatch.setattr(a, "ROWS_PER_BLOCK", 20)
     assert run() == whole and len(whole) == 300
+
+
+def test_saved_model_scores_the_same(spark, tmp_path):
+    df = spark.range(600).select(
+        F.col("id"), F.concat(F.lit("k"), (F.col("id") % 4).cast("string")).alias("kind"), (F.col("id") % 37).cast("double").alias("x"),
+        ((F.col("id") % 37) > 18).cast("int").alias("y"))
+    for kind in ("logistic", "forest"):
+        model = m.fit_breach_model(df, kind, ["kind"], ["x"], "y", trees=8)
+        again = m.load_model(m.save_model(model, str(tmp_path / kind)))
+        scores = lambda one: {r.id: r.breach_probability for r in one.transform(df).collect()}
+        assert scores(model) == scores(again) and again.kept == model.kept
+
+
+def test_robust_scaling_is_exact(spark):
+    values = [(i, float((i * 37) % 101), 5.0, None if i == 3 else 1.0 * i) for i in range(200)]
+    df = spark.createDataFrame(values, "id bigint, a double, flat double, c double")
+    got = {r.id: r["s"] for r in m.robust_scaled(df, ["a", "flat", "c"], "s").collect()}
+    kept = np.array([v[1:] for v in values if v[3] is not None], float)
+    q1, q2, q3 = np.percentile(kept, [25, 50, 75], axis=0)
+    want = (kept - q2) / np.where(q3 > q1, q3 - q1, 1.0)
+    assert 3 not in got and np.allclose([got[v[0]] for v in values if v[3] is not None], want)

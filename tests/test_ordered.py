@@ -10,7 +10,6 @@ from evenkeel.operators import ordered as o
 @pytest.fixture(params=[(3, 4), (50, 64), (1_000_000, 64)], ids=["tiny ranges", "some ranges", "one range"])
 def ranges(request, monkeypatch):
     monkeypatch.setattr(o, "ROWS_PER_RANGE", request.param[0])
-    monkeypatch.setattr(o, "COARSE", request.param[1])
 
 
 @pytest.fixture(scope="module")

@@ -214,3 +214,58 @@ def test_dimensions(spark, sites):
     assert dims["site_mill"].customer_id == "cust_paper_co" and dims["site_mill"].country == "FI"
     customers = {r.customer_id: r.erp_customer_no for r in c.dim_customer(sites).collect()}
     assert customers == {"cust_paper_co": 1, "cust_homes": None}
+
+
+def test_property_metrics_name_broken_documents(spark, tmp_path):
+    whole = property_document("p1", "p1a")
+    (tmp_path / "p1.json").write_text(json.dumps(whole, indent=1))
+    (tmp_path / "many.json").write_text("\n".join([json.dumps(property_document("p2")), "{broken", json.dumps({"property": {"readings": {}}}),
+                                                   json.dumps({"property": {"id": "bare"}}), ""]))
+    (tmp_path / "empty.json").write_text(" ")
+    (tmp_path / "p1.json.meta.json").write_text("{}")
+    rows = readers.read_property_metrics(spark, str(tmp_path)).collect()
+    named = sorted((r.property_id, r.parent_property_id or "", r.metric, len(r.data)) for r in rows if r.issue is None)
+    assert named == [("p1", "", "electricity_kWh", 1), ("p1", "", "odd", 1), ("p1a", "p1", "water_m3", 1),
+                     ("p2", "", "electricity_kWh", 1), ("p2", "", "odd", 1)]
+    issues = sorted((r.source_file.rsplit("/", 1)[1], r.issue) for r in rows if r.issue)
+    assert issues == [("empty.json", "empty document"), ("many.json", "broken document"), ("many.json", "no property id")]
+    points = readers.read_property_metrics(spark, str(tmp_path)).where("property_id = 'p1a'").select(F.inline("data")).first()
+    assert (points.t, points.v, points.key) == ("2021-02-10 12:00:00+00", 1.5, "m1")
+
+
+def test_files_land_once_and_unchanged(spark, tmp_path):
+    raw, bronze = tmp_path / "raw", str(tmp_path / "bronze")
+    raw.mkdir()
+    (raw / "a.csv").write_bytes(b"\xff\x00\r\nbytes")
+    (raw / "b.csv").write_bytes(b"b")
+    first = landing.land_files(spark, str(raw), bronze, resolve("alarms"), "2026-06-05")
+    assert sorted((r.dest_file, r.byte_size) for r in first.collect()) == [("a.csv", 9), ("b.csv", 1)]
+    assert landing.land_files(spark, str(raw), bronze, resolve("alarms"), "2026-06-06").count() == 0
+    (raw / "a.csv").write_bytes(b"other")
+    again = landing.land_files(spark, str(raw), bronze, resolve("alarms"), "2026-06-06").collect()
+    assert [(r.dest_file, str(r.ingest_date)) for r in again] == [("a.csv", "2026-06-06")]
+    stored = {(r.dest_file, bytes(r.content)) for r in spark.read.parquet(bronze).collect()}
+    assert stored == {("a.csv", b"\xff\x00\r\nbytes"), ("b.csv", b"b"), ("a.csv", b"other")}
+
+
+def test_published_tables_prune_partitions(spark, tmp_path):
+    df = spark.range(1000).withColumn("site_id", (F.col("id") % 5).cast("string"))
+    landing.publish(df, str(tmp_path / "gold"), "pruned_view", partition_by=["site_id"], sort_by=["site_id", "id"])
+    plan = readers.read_table(spark, str(tmp_path / "gold"), site="3")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(site_id" in plan
+
+
+def test_quarantine_counts_while_it_writes(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def seen(x):
+        calls.add(1)
+        return x
+
+    bad = spark.range(0, 500, 1, 7).select(seen("id").alias("id"))
+    for limit, kept in ((None, 500), (20, 20)):
+        before = calls.value
+        meta = landing.quarantine(bad, str(tmp_path / "q"), "silver", "t", f"c{limit}", "why", "r", limit=limit).first()
+        assert meta.row_count == 500 and spark.read.parquet(meta.path).count() == kept
+        assert calls.value - before == 500
