@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import pathlib
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,8 +46,19 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-#: Folders of the tables that ``cut`` has written, oldest first.
-WRITTEN: list[str] = []
+#: Folders of the tables that ``cut`` writes inside the innermost ``tables_made``.
+_MADE: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("made", default=None)
+
+
+@contextlib.contextmanager
+def tables_made() -> Iterator[list[str]]:
+    """Collect the folders of all tables that ``cut`` writes inside."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -54,10 +67,20 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    WRITTEN.append(path)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def carried(kept: Iterable[str]) -> list[Column]:
+    """The caller's columns under names that no operator uses; ``given_back`` undoes it."""
+    return [F.col(f"`{c}`").alias(f"__kept_{i}") for i, c in enumerate(kept)]
+
+
+def given_back(kept: Iterable[str]) -> list[Column]:
+    return [F.col(f"__kept_{i}").alias(c) for i, c in enumerate(kept)]
+
+
 def drop_tables(spark: SparkSession, frames: Iterable[DataFrame]) -> None:
     """Delete tables made by ``cut`` that nothing reads any more."""
     drop_folders(spark, {f.rsplit("/", 1)[0] for frame in frames for f in frame.inputFiles()})

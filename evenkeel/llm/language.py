@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from evenkeel.llm.common import ship
+from evenkeel.llm.common import carried, cut, ship
 
 
 #: The model is fitted on about this many labelled documents, chosen by hash: all of the
@@ -47,8 +47,8 @@ def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", ident
         F.desc("n"), "lang").limit(LANGUAGES).collect()}
     room = evenly(list(sizes.values()), sample)
     shares = [F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1.0, room / n) * (1 << 20)) + 1)]
-    chosen = labelled.where(F.pmod("h", F.lit(1 << 20)) < F.element_at(F.create_map(*shares), F.col("lang"))
-                            if shares else F.lit(False))
+    chosen = cut(labelled.where(F.pmod("h", F.lit(1 << 20)) < F.element_at(F.create_map(*shares), F.col("lang"))
+                                if shares else F.lit(False)).select("lang", "text"), "labelled")  # written once
     spoken = chosen.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("w"))
     words = spoken.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n"))
     padded = F.concat(F.lit(" "), F.col("w"), F.lit(" "))
@@ -146,7 +146,7 @@ def identify_languages(docs: DataFrame, model: Model, text: str = "text", keep:
     ship(docs.sparkSession)
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
     shipped = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField("lang_pred", T.StringType()),
+    schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator) -> Iterator:
@@ -158,4 +158,4 @@ def identify_languages(docs: DataFrame, model: Model, text: str = "text", keep:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()),
                                               pa.array(scores, pa.float64())], schema.names)
 
-    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*carried(kept), F.col(text).alias("_text")).mapInArrow(run, schema)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from evenkeel.llm.common import WORD, cut, let, text_of, words_of
+from evenkeel.llm.common import WORD, carried, cut, given_back, let, text_of, words_of
 
 WEIGHTS = (5, 2, 1)
 #: No source is taken more often than this.
@@ -77,7 +77,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = M
     kept = [c for c in (docs.columns if keep is None else keep) if c != "mix"]
     slices = max(1, math.ceil(docs.count() / SLICE_DOCUMENTS))
     value = text_of(text)
-    sized = docs.select(*kept, F.col(source).alias("_source"), F.col(identifier).alias("_id"), value.alias("_text")
+    sized = docs.select(*carried(kept), F.col(source).alias("_source"), F.col(identifier).alias("_id"), value.alias("_text")
                         ).withColumn("_size", F.size(words_of(F.col("_text"))).cast("bigint"))
     keyed = sized.withColumn("_key", exponential_key(F.col("_id"), quality_weight(F.col("_text"), F.col("_size")), seed))
     placed = cut(keyed.withColumns({
@@ -93,11 +93,12 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = M
     reached = sums.withColumn("upto", F.sum("words").over(upto))
     joined = reached.alias("r").join(planned.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source")))
     ends = (F.col("upto") >= F.col("open")) & (F.col("open") > 0)
-    plan = joined.groupBy(F.col("p.source").alias("of")).agg(
+    # one row a source, written: Spark knows its size before it chooses the join
+    plan = cut(joined.groupBy(F.col("p.source").alias("of")).agg(
         F.first("source_size").alias("source_size"), F.first("target").alias("target"),
         F.first("epochs").alias("epochs"), F.coalesce(F.min(F.when(ends, F.col("slice"))), F.lit(-1)).alias("last"),
         F.min(F.when(ends, F.struct("slice", (F.col("open") - F.col("upto") + F.col("words")).alias("open"))))["open"
-                                                                                                        ].alias("open"))
+                                                                                                        ].alias("open")), "plan")
     ready = placed.join(plan, F.col("_source").eqNullSafe(F.col("of")), "left")
     whole = ready.where(F.col("_slice") != F.col("last")).withColumn(
         "_part", F.when(F.col("_slice") < F.col("last"), F.col("_size")).otherwise(F.lit(0)))
@@ -106,7 +107,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = M
         "_part", F.greatest(F.lit(0), F.least(F.col("_size"), F.col("open") - F.col("_upto") + F.col("_size")))
     ).drop("_upto")
     taken = F.col("epochs") * F.col("_size") + F.col("_part")
-    return whole.unionByName(edge).select(*kept, F.struct(
+    return whole.unionByName(edge).select(*given_back(kept), F.struct(
         F.col("_size").alias("size"), "source_size", "target", taken.cast("bigint").alias("taken")).alias("mix"))
 
 

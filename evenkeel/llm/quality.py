@@ -6,7 +6,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import cut, let, text_of, words_of
+from evenkeel.llm.common import carried, cut, given_back, let, text_of, words_of
 
 #: Words of a language whose frequencies are compared.
 COMMON_WORDS = 40
@@ -232,7 +232,7 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", keep:
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c != "quality"]
     languages = common_languages(docs, lang)
-    counted = cut(docs.select(*kept, F.col(lang).alias("_lang"), document_counts(
+    counted = cut(docs.select(*carried(kept), F.col(lang).alias("_lang"), document_counts(
         text_of(text), *frequent_words(docs, text, lang, least_known is not None, languages)).alias("_counts")), "quality")
     references = language_references(counted, languages, "_lang")
     known = F.from_json(F.lit(json.dumps([{k: r[k] for k in ("words", "other", "classes")} for r in references])),
@@ -250,7 +250,7 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", keep:
            | F.coalesce(F.col("_classes") > most_class_distance, F.lit(False))
            | F.coalesce(F.col("_known") < F.lit(least_known).cast("double"), F.lit(False)))
     symbols = counts["rare"][list(CLASSES).index("symbol")]
-    return measured.select(*kept, F.struct(
+    return measured.select(*given_back(kept), F.struct(
         counts["n_words"].alias("n_words"), counts["word_chars"].alias("word_chars"), symbols.alias("n_symbols"),
         counts["n_dup_lines"].alias("n_dup_lines"), counts["n_repeat_words"].alias("n_repeat_words"),
         F.col("_words").alias("word_distance"), F.col("_classes").alias("class_distance"), F.col("_known").alias("known_share"),

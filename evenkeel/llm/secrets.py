@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from evenkeel.llm.common import ship
+from evenkeel.llm.common import carried, ship
 
 #: Kinds in the order in which spans that start together are listed.
 KINDS = ("assign", "access", "hex", "github", "npm")
@@ -104,20 +104,19 @@ def scan_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
     """
     ship(docs.sparkSession)
     kept = [c for c in (docs.columns if keep is None else keep) if c != "spans"]
-    source = docs.select(*kept, docs[text].alias("_text"))
-    schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField("spans", SPANS)])
-    return source.mapInArrow(_scan(text if redact else None), schema)
+    source = docs.select(*carried(kept), docs[text].alias("_text"))
+    schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField("spans", SPANS)])
+    return source.mapInArrow(_scan(kept, text if redact else None), schema)
 
 
-def _scan(replace: str | None):
+def _scan(kept: list[str], replace: str | None):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         scan = Scanner()
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
-            names = batch.schema.names[:-1]
-            columns = dict(zip(names, batch.columns[:-1]))
+            columns = dict(zip(kept, batch.columns[:-1]))
             texts = batch.columns[-1].to_pylist()
             spans = [scan(t) if t else [] for t in texts]
             if replace:

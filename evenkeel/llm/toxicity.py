@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenkeel.llm.common import ship
+from evenkeel.llm.common import carried, cut, ship
 from evenkeel.llm.language import evenly
 
 #: The lexicon and its scale are learned from about this many labelled documents: half of
@@ -136,8 +136,9 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, identifier: str = "doc_id",
     chosen = known.where(F.pmod(F.xxhash64(identifier), F.lit(1 << 20)) < F.when(
         F.col("_toxic") == 1, upto(True)).otherwise(upto(False)))
     # bounded by the sample: a few hundred kilobytes; of equal texts one teaches
-    rows = docs.join(F.broadcast(chosen), identifier).where(F.col(text).isNotNull()).groupBy(
-        F.col(text).alias("text")).agg(F.max("_toxic").alias("_toxic"))
+    texts = docs.select(F.col(identifier).alias("id"), F.col(text).alias("text")).where("text IS NOT NULL")
+    rows = cut(texts.join(F.broadcast(chosen.withColumnRenamed(identifier, "id")), "id").groupBy("text").agg(
+        F.max("_toxic").alias("_toxic")), "labelled")  # written once, read by each step
 
     def counted(per_document, wanted: int, least: int) -> dict[str, int]:
         parts = rows.where(F.col("_toxic") == wanted).select("text").mapInArrow(
@@ -268,7 +269,7 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon, text: str = "text", keep:
     ship(docs.sparkSession)
     kept = [c for c in (docs.columns if keep is None else keep) if c != "score"]
     shipped = docs.sparkSession.sparkContext.broadcast(lexicon)
-    schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -278,4 +279,4 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon, text: str = "text", keep:
             scores = [matcher.score(t) for t in batch.columns[-1].to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], schema.names)
 
-    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*carried(kept), F.col(text).alias("_text")).mapInArrow(run, schema)

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from evenkeel.llm import mixing, neardup, neighbours, packing, shingles, tokenfiles
+from evenkeel.llm import language, mixing, neardup, neighbours, packing, quality, secrets, shingles, tokenfiles, toxicity
+from evenkeel.llm.common import new_path
 from evenkeel.llm.components import connected_components
 from evenkeel.llm.queries import ORACLE, QUERIES
 from evenkeel.llm.tokens import PieceEncoder, encoder
@@ -366,3 +367,37 @@ def test_crc_of_pieces_is_that_of_their_ids(spark):
     text = spark.read.parquet(f"{FOLDER}/documents.parquet").where(F.col("doc_id") == row["doc_id"]).first()["text"]
     ids = Tokenizer.from_file(BYTES).encode(text or "", add_special_tokens=False).ids + [0]
     assert row["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+CLASHING = ("target", "open", "last", "of", "epochs", "source_size", "_id", "_source", "_text", "_lang", "_counts", "_kept", "_own", "_mark",
+            "mark", "kept", "word", "slice", "_key", "a.b", "__kept_0")
+
+
+def test_clashing_names_pass_through(spark):
+    texts = ["the cat sat on the mat and saw a dog by the sea " * 8, "password: hunter2hunter2 " * 3, None, ""] * 2
+    docs = documents(spark, texts).select("*", *[F.lit(i).alias(c) for i, c in enumerate(CLASHING)])
+    labels = spark.createDataFrame([(0, 1, 2), (1, 0, 3)], "doc_id bigint, toxic int, _toxic int")
+    model = language.fit_languages(docs)
+    for out in (mixing.mix_sources(docs), quality.quality_rules(docs), secrets.scan_secrets(docs), language.identify_languages(docs, model),
+                toxicity.score_toxicity(docs, toxicity.fit_lexicon(docs.withColumn("_toxic", F.lit(1)), labels))):
+        rows = out.collect()
+        assert len(rows) == len(texts) and all(r[c] == i for r in rows for i, c in enumerate(CLASHING))
+    for name, step in corpus_pipeline.STAGES:
+        after = step(spark, docs, FOLDER)
+        assert name == "packing" or after.columns == docs.columns
+        assert name == "packing" or all(r[c] == i for r in after.collect() for i, c in enumerate(CLASHING))
+        assert step(spark, docs.where("false"), FOLDER).count() == 0
+
+
+def test_stages_delete_only_what_their_own_input_was_read_from(spark):
+    steps, docs = dict(corpus_pipeline.STAGES), spark.read.parquet(f"{FOLDER}/documents.parquet")
+    written = lambda df: [path := new_path(spark, "interleaved"), df.write.parquet(path), spark.read.parquet(path)][2]
+    quality_, dedup = steps["quality rules"], steps["MinHash near-dedup"]
+    a, b = quality_(spark, docs, FOLDER), quality_(spark, docs, FOLDER)
+    n = a.count()
+    direct = dedup(spark, a, FOLDER).count()  # not written: its tables stay
+    other = dedup(spark, docs, FOLDER)
+    a_again = written(a)
+    assert dedup(spark, a_again, FOLDER).count() == direct and b.count() == n and other.count() > 0
+    with pytest.raises(Exception):
+        a.count()
