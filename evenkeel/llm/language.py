@@ -16,13 +16,18 @@ from evenkeel.llm.common import carried, cut, ship
 
 
 #: The model is fitted on about this many labelled documents, chosen by hash: all of the
-#: rare languages and as many of each other one (125 at least, with 64 languages).
-SAMPLE_DOCUMENTS = 8_000
-LANGUAGES = 64
+#: rare languages and as many of each other one, ``LEAST_DOCUMENTS`` at least (so more
+#: than ``SAMPLE_DOCUMENTS`` in all where there are more than 64 languages).
+SAMPLE_DOCUMENTS, LEAST_DOCUMENTS = 8_000, 125
+#: Words, and n-grams of each length, of a language; fewer where many languages would
+#: make the model exceed ``NUMBERS`` (it holds one a name and language).
 WORDS, GRAMS = 20_000, 5_000
+NUMBERS = 1 << 25
 LONGEST = 4
 #: Words a worker remembers besides the known ones.
 REMEMBERED = 300_000
+#: Values of the hash that chooses the sample.
+HASHES = 1 << 40
 UNKNOWN = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -38,16 +43,15 @@ class Model:
 def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", identifier: str = "doc_id",
                   sample: int = SAMPLE_DOCUMENTS) -> Model:
     """Log frequencies of the ``WORDS`` commonest words and ``GRAMS`` commonest n-grams of
-    each length, per language, from a hash sample of about ``sample`` labelled rows: the
-    ``LANGUAGES`` with most rows share it evenly, and what rare ones leave goes to the
-    others. What comes to the driver is bounded by these numbers."""
+    each length, per language, from a hash sample of about ``sample`` labelled rows: all
+    languages share it evenly, and what rare ones leave goes to the others. What comes
+    to the driver is bounded by these numbers and that of the languages."""
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(identifier).alias("h"))
-    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(
-        F.desc("n"), "lang").limit(LANGUAGES).collect()}
-    room = evenly(list(sizes.values()), sample)
-    shares = [F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1.0, room / n) * (1 << 20)) + 1)]
-    chosen = cut(labelled.where(F.pmod("h", F.lit(1 << 20)) < F.element_at(F.create_map(*shares), F.col("lang"))
+        F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(identifier, text).alias("h"))
+    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    room = max(evenly(list(sizes.values()), sample), LEAST_DOCUMENTS)
+    shares = [F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, int(min(1.0, room / n) * HASHES))]
+    chosen = cut(labelled.where(F.pmod("h", F.lit(HASHES)) < F.element_at(F.create_map(*shares), F.col("lang"))
                                 if shares else F.lit(False)).select("lang", "text"), "labelled")  # written once
     spoken = chosen.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("w"))
     words = spoken.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n"))
@@ -59,11 +63,11 @@ def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", ident
     every = words.select("lang", F.lit(0).alias("size"), "w", "n").unionByName(
         counted.select("lang", F.length("w").alias("size"), "w", "n"))
     order = W.partitionBy("lang", "size").orderBy(F.desc("n"), "w")
-    top = every.withColumn("rank", F.row_number().over(order)).where(
-        F.col("rank") <= F.when(F.col("size") == 0, WORDS).otherwise(GRAMS))
-    spread = words.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    languages = sorted(r["lang"] for r in spread.collect())
-    found = top.where(F.col("lang").isin(languages)).select("lang", "size", "w", "n").collect() if languages else []
+    scale = min(1.0, NUMBERS / ((WORDS + LONGEST * GRAMS) * max(1, len(sizes)) ** 2))
+    most = [max(1, int(n * scale)) for n in (WORDS, GRAMS)]
+    found = every.withColumn("rank", F.row_number().over(order)).where(
+        F.col("rank") <= F.when(F.col("size") == 0, most[0]).otherwise(most[1])).select("lang", "size", "w", "n").collect()
+    languages = sorted({r["lang"] for r in found})
     names = sorted({(r["size"], r["w"]) for r in found})
     index = {_mark(size, w): i for i, (size, w) in enumerate(names)}
     at = {name: i for i, name in enumerate(languages)}

@@ -181,8 +181,8 @@ def valid_vectors(df: DataFrame, identifier: str = "vec_id", vector: str = "embe
 
 
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
-    """(query_id, rank, vec_id, score): of each query its ``k`` nearest by inner product,
-    the query's own row apart; fewer if there are no more.
+    """(query_id, rank, vec_id, score): of each query row its ``k`` nearest by inner
+    product, its own row apart; fewer if there are no more.
 
     ``vectors`` and ``queries`` are (vec_id, v) as ``valid_vectors`` gives them. Vectors
     that are equal are one entry of the index with its ``k`` + 1 smallest ids (no query
@@ -192,7 +192,9 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20) -> D
     by all queries, in blocks, and a shard hands on ``k`` + 1 entries a query. Scores are
     computed again in double precision on the original vectors; ties: smaller id first.
     Vectors of other lengths than a query's are never its candidates. Repeated ids
-    are rows of their own. Empty tables give no rows.
+    are rows of their own: a row is a candidate of another one with its id, and each row
+    of ``queries`` gets a list with ranks from 1 (equal rows equal lists). Empty tables
+    give no rows.
     """
     ship(vectors.sparkSession)
     by_value = W.partitionBy("v").orderBy("vec_id")
@@ -204,19 +206,30 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20) -> D
     dealt = entries.join(stats.select("width", "band", "shards"), ["width", "band"]).withColumn(
         "shard", F.pmod(F.xxhash64("v"), F.col("shards")).cast("int"))
     built = "width int, band int, shard int, v array<double>, ids array<bigint>, number int, out array<int>"
-    index = cut(dealt.groupBy("width", "band", "shard").applyInPandas(_build, built), "graph")
+    # numbers of partitions are stated: shards are small in bytes, not in work
+    shards = _total(stats, "shards")
+    place = ["width", "band", "shard"]
+    index = cut(dealt.repartition(shards, *place).groupBy(*place).applyInPandas(_build, built), "graph")
 
-    asked = queries.select("vec_id", "v", F.size("v").alias("width")).distinct()
+    asked = queries.groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("times")).select(
+        "vec_id", F.xxhash64("v").alias("row"), "times", "v", F.size("v").alias("width"))
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    places = stats.select("width", "band", F.explode(F.sequence(F.lit(0), (F.col("shards") - 1).cast("int"))).alias("shard"))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "row"), F.lit(blocks)).cast("int"))
+    bands = stats.groupBy("width").agg(F.collect_list(F.struct("band", "shards")).alias("bands"))  # 140 bands at most
+    placed = asked.join(bands, "width").select(*asked.columns, F.inline("bands")).select(
+        *asked.columns, "band", F.explode(F.sequence(F.lit(0), (F.col("shards") - 1).cast("int"))).alias("shard"))
     every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    left = index.select("*", every_block).groupBy("width", "band", "shard", "block")
-    right = asked.join(places, "width").groupBy("width", "band", "shard", "block")
-    found = left.cogroup(right).applyInPandas(_search(k), "query_id bigint, vec_id bigint, score double")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
+    left, right = (side.repartition(shards * blocks, *place, "block").groupBy(*place, "block")
+                   for side in (index.select("*", every_block), placed))
+    found = left.cogroup(right).applyInPandas(
+        _search(k), "query_id bigint, row bigint, times bigint, vec_id bigint, score double")
+    order = W.partitionBy("query_id", "row").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score", F.explode(F.sequence(F.lit(1), F.col("times")))).drop("col")
+
+
+def _total(stats: DataFrame, column: str) -> int:
+    return int(stats.agg(F.sum(column)).first()[0] or 1)
 
 
 def _build(rows):
@@ -234,28 +247,33 @@ def _search(k: int):
     def run(entries, queries):
         import pandas as pd
 
-        nothing = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+        longs = ("query_id", "row", "times", "vec_id")
+        nothing = pd.DataFrame({**{c: np.zeros(0, np.int64) for c in longs}, "score": np.zeros(0)})
         if not len(entries) or not len(queries):
             return nothing
         entries = entries.sort_values("number")
         exact = np.stack(entries["v"].to_list())
         graph = Graph(_graph_vectors(exact, int(entries["band"].iloc[0])), np.stack(entries["out"].to_list()).astype(np.int32))
         ids = entries["ids"].to_list()
-        asked, names = np.stack(queries["v"].to_list()), queries["vec_id"].to_numpy()
-        out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
+        asked = np.stack(queries["v"].to_list())
+        names = list(zip(queries["vec_id"].tolist(), queries["row"].tolist(), queries["times"].tolist()))
+        out: dict[str, list] = {**{c: [] for c in longs}, "score": []}
         for start in range(0, len(asked), BATCH):
             q = asked[start:start + BATCH]
             near, _ = graph.search(np.concatenate([unit(q), np.zeros((len(q), 1))], axis=1), max(BEAM, 2 * k))
-            for name, vector, found in zip(names[start:start + BATCH], q, near):
+            for (name, row, times), vector, found in zip(names[start:start + BATCH], q, near):
                 found = found[found >= 0]
                 # summed in one order, so that a score is the same in every shard
                 scores = np.array([float(np.dot(exact[i], vector)) for i in found])
                 best = found[np.lexsort((found, -scores))[:k + 1]]  # numbers ascend with smallest ids
                 for i in best:
-                    mine = [v for v in ids[i] if v != name][:k]
+                    mine = list(ids[i])
+                    if name in mine and np.array_equal(exact[i], vector):
+                        mine.remove(name)  # the query's own row, once
+                    mine = mine[:k]
                     out["vec_id"] += mine
-                    out["query_id"] += [name] * len(mine)
+                    for c, value in (("query_id", name), ("row", row), ("times", times)):
+                        out[c] += [value] * len(mine)
                     out["score"] += [float(np.dot(exact[i], vector))] * len(mine)
-        return pd.DataFrame({"query_id": np.array(out["query_id"], np.int64), "vec_id": np.array(out["vec_id"], np.int64),
-                             "score": np.array(out["score"], np.float64)})
+        return pd.DataFrame({**{c: np.array(out[c], np.int64) for c in longs}, "score": np.array(out["score"], np.float64)})
     return run

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from evenkeel.llm.common import carried, cut, given_back, let, text_of, words_of
 
@@ -12,8 +13,6 @@ from evenkeel.llm.common import carried, cut, given_back, let, text_of, words_of
 COMMON_WORDS = 40
 #: Counters a task keeps while it looks for them (any word above 1 in this number is found).
 TRACKED_WORDS = 20_000
-#: Languages with references: those with most documents.
-LANGUAGES = 256
 #: Texts below these lengths are too short for a verdict of the histogram.
 LEAST_WORDS, LEAST_CHARS = 50, 200
 #: Jensen-Shannon distances (base 2, 0 to 1) up to which a text is like its language.
@@ -95,22 +94,16 @@ def _covered(windows: Column) -> Column:
     return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0)).otherwise(covered)
 
 
-def common_languages(docs: DataFrame, lang: str = "lang") -> list[str]:
-    """The ``LANGUAGES`` with most documents (ties: first by name)."""
-    sizes = docs.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("docs"))
-    return [r["lang"] for r in sizes.orderBy(F.desc("docs"), "lang").limit(LANGUAGES).collect()]
-
-
-def frequent_words(docs: DataFrame, text: str = "text", lang: str = "lang", known: bool = False,
-                   languages: list[str] = ()) -> tuple[list[str], list[str]]:
+def frequent_words(docs: DataFrame, text: str = "text", lang: str = "lang", known: bool = False) -> tuple[list[str], list[str]]:
     """Words that may be among the commonest of a language, and (if asked) its known words.
 
     A frequent-items sketch over all documents names twice as many of the first as are
     kept. The known words are plain (``_plain``) and come from a sketch over all
     documents that pass the base rules; a word that stands there
-    once, or once in ``TRACKED_WORDS``, is none.
+    once, or once in ``TRACKED_WORDS``, is none. What comes to the driver grows with the
+    number of languages only.
     """
-    rows = docs.where(F.col(lang).isin(languages) & F.col(text).isNotNull())
+    rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     top = F.expr(f"approx_top_k(word, {2 * COMMON_WORDS}, {TRACKED_WORDS})").alias("top")
     if not known:
         spoken = rows.select(F.col(lang).alias("lang"), F.explode(words_of(F.lower(text))).alias("word"))
@@ -125,14 +118,16 @@ def frequent_words(docs: DataFrame, text: str = "text", lang: str = "lang", know
             sorted({x["item"] for r in sketched for x in r["plain"] or () if x["count"] > max(1, r["n"] / TRACKED_WORDS)}))
 
 
-def language_references(counted: DataFrame, languages: list[str], lang: str = "lang", counts: str = "_counts") -> list[dict]:
-    """Common words and character classes of each of ``languages``, exactly, over all its
+def language_references(counted: DataFrame, lang: str = "lang", counts: str = "_counts") -> list[dict]:
+    """Common words and character classes of each language, exactly, over all its
     documents, and the share of known words in those that pass the base rules (null
     for fewer than ``LEAST_DOCUMENTS``); ``counted`` holds their ``document_counts``."""
-    rows = counted.where(F.col(lang).isin(languages)).select(F.col(lang).alias("lang"), F.col(counts).alias("c"))
+    rows = counted.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(counts).alias("c"))
     passed = ~_failed(F.col("c.n_words"), F.col("c.n_repeat_words"))
     words = rows.select("lang", F.explode("c.common").alias("word")).groupBy("lang", "word").agg(
         F.count(F.lit(1)).alias("n"))
+    commonest = W.partitionBy("lang").orderBy(F.desc("n"), "word")
+    words = words.withColumn("place", F.row_number().over(commonest)).where(F.col("place") <= COMMON_WORDS)
     totals = rows.groupBy("lang").agg(
         F.count(F.lit(1)).alias("docs"), F.sum("c.n_words").alias("words"), F.count_if(passed).alias("passed"),
         F.avg(F.when(passed, F.col("c.n_known") / F.col("c.n_words"))).alias("known"),
@@ -145,7 +140,7 @@ def language_references(counted: DataFrame, languages: list[str], lang: str = "l
         sums = [r[f"c{i}"] for i in range(CLASS_BINS)]
         if r["lang"] not in found or not sum(sums):
             continue
-        shares = {w: -n / r["words"] for n, w in sorted(found[r["lang"]])[:COMMON_WORDS]}
+        shares = {w: -n / r["words"] for n, w in sorted(found[r["lang"]])}
         out.append({"lang": r["lang"], "words": shares, "other": 1 - sum(shares.values()),
                     "classes": [n / sum(sums) for n in sums],
                     "known": r["known"] if r["passed"] >= LEAST_DOCUMENTS else None})
@@ -223,25 +218,21 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", keep:
     a text without any common word only where such texts are frequent, this share
     however rare they are. Texts below ``LEAST_WORDS`` or ``LEAST_CHARS``, and all
     where no language is known (an empty table), get neither verdict: distances and
-    share are null, as they are for texts in a language that is not among the
-    ``LANGUAGES`` with most documents. The share is null, too, where it is not asked for.
+    share are null. The share is null, too, where it is not asked for. Every language
+    has references, however few its documents: a text is compared with all of them.
 
     Null text counts as empty: no words, so failed. Repeated rows are judged alike.
     The texts are read twice (frequent words; all counts), and the counts are written,
     with the kept columns, to the shared folder: the references come from that table.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c != "quality"]
-    languages = common_languages(docs, lang)
     counted = cut(docs.select(*carried(kept), F.col(lang).alias("_lang"), document_counts(
-        text_of(text), *frequent_words(docs, text, lang, least_known is not None, languages)).alias("_counts")), "quality")
-    references = language_references(counted, languages, "_lang")
+        text_of(text), *frequent_words(docs, text, lang, least_known is not None)).alias("_counts")), "quality")
+    references = language_references(counted, "_lang")
     known = F.from_json(F.lit(json.dumps([{k: r[k] for k in ("words", "other", "classes")} for r in references])),
                         REFERENCES)
     counts = F.col("_counts")
     long = (counts["n_words"] >= LEAST_WORDS) & (counts["chars"] >= LEAST_CHARS) & F.lit(bool(references))
-    # what is in no referenced language is not measured by foreign ones
-    if len(languages) == LANGUAGES:
-        long &= F.col("_lang").isNull() | F.col("_lang").isin(languages)
     measured = counted.withColumns({
         "_words": F.when(long, word_distance(counts, known)), "_classes": F.when(long, class_distance(counts, known)),
         "_known": F.when(long, known_share(counts, F.col("_lang"), references))})

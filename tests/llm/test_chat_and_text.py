@@ -74,16 +74,21 @@ def test_rare_word_salad_is_not_kept(spark):
     assert [r["doc_id"] for r in judged.where("not kept and not base_failed").collect()] == [9_999]
 
 
-def test_languages_without_reference_get_no_verdict(spark, monkeypatch):
-    monkeypatch.setattr(quality, "LANGUAGES", 1)
-    texts = [(" ".join(f"{a}{(i * j) % 13}{'x' * 5}" for j in range(60)), lang)
-             for a, lang, n in (("one", "en", 20), ("other", "xx", 3), ("none", None, 1)) for i in range(1, n + 1)]
+def test_every_language_has_references(spark, tmp_path):
+    import duckdb
+    from evenkeel.llm.queries import ORACLE, QUERIES
+
+    texts = [(" ".join(f"{chr(97 + n % 26)}{n}{'Ab,'[j % 3]}{(i * j) % 13}" for j in range(60)), f"l{n}")
+             for n in range(300) for i in (1, 2)]
+    texts += [(texts[-1][0], None), (" ".join(f"{j}!" for j in range(80)), "l7"), (None, "l8"), ("", "none")]
     docs = spark.createDataFrame([(i, t, lang, "a", 0) for i, (t, lang) in enumerate(texts)], DOCS)
-    assert quality.frequent_words(docs, languages=quality.common_languages(docs))[0] == sorted(
-        {w for t, lang in texts if lang == "en" for w in t.split()})
-    judged = quality.quality_rules(docs).select("lang", "quality.*")
-    assert judged.where("lang = 'xx' and word_distance is null and class_distance is null and kept = (not base_failed)").count() == 3
-    assert judged.where("word_distance is not null and (lang is null or lang = 'en')").count() == 21
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op3_quality_rules"](spark, str(tmp_path))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = duck.execute(f"SELECT {', '.join(got.columns)} FROM ({ORACLE['op3_quality_rules']}) ORDER BY doc_id").fetchall()
+    assert [tuple(r) for r in got.orderBy("doc_id").collect()] == want
+    assert got.where("word_distance is not null").count() == 602
 
 
 @pytest.mark.parametrize("apply", [
@@ -148,6 +153,16 @@ def test_rare_languages_are_learned_whole(spark):
     assert language.evenly([5, 100, 100], 65) == 30 and language.evenly([5, 6], 65) >= 6 and language.evenly([], 9) >= 0
 
 
+def test_all_of_many_languages_are_learned(spark, monkeypatch):
+    texts = [(" ".join(f"{chr(97 + n % 26)}{chr(97 + n // 26)}{chr(97 + j)}q" for j in range(9)), f"l{n:03d}") for n in range(90)]
+    docs = spark.createDataFrame([(7, t, lang, "a", 0) for t, lang in texts * 2], DOCS)  # ids choose nothing alone
+    for numbers in (language.NUMBERS, 90 * 90 * 30):
+        monkeypatch.setattr(language, "NUMBERS", numbers)
+        model = language.fit_languages(docs, sample=40)
+        assert model.languages == sorted(lang for _, lang in texts) and model.rows.size <= numbers
+        assert language.identify_languages(docs, model).where("lang = lang_pred").count() == 180
+
+
 def test_rare_toxic_rows_are_learned_whole(spark):
     draw = random.Random(3)
     plain = lambda: " ".join(draw.choice("sun moon rain wind road tree lake hill bird song".split()) + draw.choice("aeiou")

@@ -179,6 +179,19 @@ def test_neighbours_of_few(spark):
     assert neighbours.nearest_neighbours(few.where("false"), few.where("false")).count() == 0
 
 
+def test_neighbours_of_repeated_ids(spark):
+    rows = [(20, [1.0, 0.0]), (20, [2.0, 0.0]), (20, [2.0, 0.0]), (1, [0.5, 0.5]), (2, [-1.0, 0.0]), (3, [2.0, 0.0])]
+    all_rows = neighbours.valid_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    for k in (2, 20):
+        got = collections.Counter((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in neighbours.nearest_neighbours(
+            all_rows, all_rows.where("vec_id = 20"), k).collect())
+        want = collections.Counter()
+        for i, (name, v) in enumerate(rows[:3]):
+            near = sorted((-float(np.dot(v, w)), other) for j, (other, w) in enumerate(rows) if j != i)[:k]
+            want.update((name, rank, other, -score) for rank, (score, other) in enumerate(near, 1))
+        assert got == want
+
+
 def test_mix_takes_targets(spark, monkeypatch):
     draw = random.Random(2)
     sources = [draw.choice(["a", "a", "b", "c", "d", None]) for _ in range(600)]
