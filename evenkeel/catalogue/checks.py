@@ -9,6 +9,7 @@ from evenkeel.catalogue.shaping import mapped_nations
 from evenkeel.functions import EMAIL_PATTERN
 from evenkeel.operators import quality as q
 from evenkeel.operators.quality import Check
+from evenkeel.sources.contracts import resolve
 
 EMAIL_SQL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 COLUMNS = ("check_id", "passed", "actual", "expected", "failed_count", "total_count")
@@ -66,6 +67,16 @@ def _(t: Tables):
     return _plain(q.run_checks(t.work_orders(), "silver", "fact_work_order", ORDER_CHECKS))
 
 
+@query("contract_checks", "S14 Q2 Q3 Q9 Q20", "\nUNION ALL ".join([
+    """SELECT 'work_orders_key' AS check_id, count(DISTINCT wo_no) = count(*) AS passed, CAST(count(DISTINCT wo_no) AS DOUBLE) AS actual,
+       CAST(count(*) AS DOUBLE) AS expected, CAST(count(*) - count(DISTINCT wo_no) AS BIGINT) AS failed_count, count(*) AS total_count FROM work_orders""",
+    _row("work_orders_contract_type", "work_orders", count_if("contract_type NOT IN ('SP', 'KIPA', 'KH', 'KT')")),
+    _row("work_orders_rows", "work_orders", "abs(count(*) - 44265)", "count(*)", "44265.0", "abs(count(*) - 44265) / 44265.0 <= 0.005")]),
+       ("work_orders",))
+def _(t: Tables):
+    return _plain(q.run_checks(t.work_orders(), "silver", "fact_work_order", q.contract_checks(resolve("work_orders"))))
+
+
 @query("key_checks", "Q2 Q10 Q13", """
 WITH k AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2), o AS (SELECT o_orderkey, count(*) AS n FROM orders GROUP BY 1)
 SELECT 'items_unique' AS check_id, count(*) FILTER (WHERE n > 1) = 0 AS passed, CAST(count(*) AS DOUBLE) AS actual, CAST(sum(n) AS DOUBLE) AS expected,

@@ -38,6 +38,16 @@ def _(t: Tables):
     return readers.csv_dialects(t.spark, _exports(t)).select("encoding", "delimiter", "header").distinct()
 
 
+@query("source_record_counts", "S12 S13", """
+SELECT 'erp_alarms' AS source_system, CASE WHEN lang IN ('de', 'fr') AND regexp_matches(text, '[\\x{A0}-\\x{FF}]')
+       AND NOT regexp_matches(text, '[^\\x00-\\x{FF}]') THEN 'one-byte' ELSE 'unicode' END AS export, count(*) AS row_count
+FROM documents GROUP BY 1, 2""")
+def _(t: Tables):
+    counts = landing.source_records(t.spark, " Alarms", _exports(t))
+    export = F.element_at(F.split("source_file", "/"), -2).alias("export")
+    return counts.groupBy("source_system", export).agg(F.sum("row_count").alias("row_count"))
+
+
 @query("landed_files", "S9 S10", """
 SELECT 'erp_alarms' AS source_system, DATE '2024-02-01' AS ingest_date, true AS all_landed, CAST(0 AS BIGINT) AS landed_again,
        (SELECT count(*) FROM documents) AS rows_landed""")

@@ -165,14 +165,18 @@ def _(t: Tables):
 
 
 @query("property_record_counts", "S12 G23", """
-SELECT o_orderkey, CAST(4 AS BIGINT) AS records FROM orders""")
+SELECT o_orderkey, CAST(CASE WHEN o_orderstatus = 'P' THEN o_orderkey % 4 ELSE 4 + o_orderkey % 3 END AS BIGINT) AS records FROM orders""")
 def _(t: Tables):
     from evenkeel.sources.landing import property_records
 
     props = _properties(t)
-    with_nodes = props.withColumn("property", F.col("property").withField("nodes", F.lit(None).cast(
-        "array<struct<id:string,name:string,type:string,tags:string>>")))
-    return with_nodes.select("o_orderkey", property_records().cast("bigint").alias("records"))
+    many = lambda n: F.array_repeat(F.col("o_orderkey").cast("string"), (F.col("o_orderkey") % n).cast("int"))
+    nodes = F.transform(many(3), lambda i: F.struct(i.alias("id"), i.alias("name"), i.alias("type"), i.alias("tags")))
+    lists = F.col("o_orderstatus") == "P"
+    docs = props.join(t.read("orders").select("o_orderkey", "o_orderstatus"), "o_orderkey").select(
+        "o_orderkey", F.when(~lists, F.col("property").withField("nodes", nodes)).alias("property"),
+        F.when(lists, many(4)).alias("properties"))
+    return docs.select("o_orderkey", property_records().cast("bigint").alias("records"))
 
 
 @query("exploded_vectors", "T6 S6", """

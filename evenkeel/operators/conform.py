@@ -330,7 +330,10 @@ def explode_hourly(profiles: DataFrame, values: str = "occupancy", hour: str = "
 
 
 def conform_occupancy(profiles: DataFrame, sites: DataFrame, buildings: Sequence[str],
-                      source_system: str = "occupancy", first_month: int = 12, first_year: int = 2025) -> DataFrame:
+                      source_system: str = "occupancy", first_month: int = 12, first_year: int = 2025,
+                      strict: bool = False) -> DataFrame:
+    """Hourly values of all profiles; rows whose ``occupancy_id`` is not their own say so
+    in ``issues`` (``strict``: the query fails)."""
     named = profiles.withColumns({
         "building_name": building_of_file("file_name", buildings), "value_type": occupancy_kind_of_file("file_name"),
         "year": export_year("month", first_month, first_year)})
@@ -338,8 +341,9 @@ def conform_occupancy(profiles: DataFrame, sites: DataFrame, buildings: Sequence
     out = hours.select(
         surrogate_key("building_name", "year", "month", "weekday", "floor", "hour", "value_type").alias("occupancy_id"),
         "building_name", "year", "month", "weekday", "floor", "floor_id", "hour", "occupancy_value", "value_type",
-        "site_connection_ok", *[c.alias(n) for n, c in _source(hours, source_system).items()])
-    return map_to_site(out, building_sites(sites), ["building_name"])
+        "site_connection_ok", *[c.alias(n) for n, c in _source(hours, source_system).items()],
+        F.array().cast("array<string>").alias("issues"))
+    return map_to_site(flag_duplicates(out, "occupancy_id", strict), building_sites(sites), ["building_name"])
 
 
 def unpivot_wide_dates(wide: DataFrame, identifier: str, name: str, value: str) -> DataFrame:

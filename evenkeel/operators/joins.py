@@ -75,16 +75,26 @@ def day_context(df: DataFrame, daily: DataFrame, timestamp: str, columns: Mappin
 
 def as_of_context(df: DataFrame, daily: DataFrame, timestamp: str, columns: Mapping[str, str],
                   site: str = "site_id", date: str = "signal_date") -> DataFrame:
-    """Like ``day_context`` with a lag of one, but reaching back to the last day on
-    record: each daily row is valid until the site's next one, spelt out as days."""
+    """Like ``day_context`` with a lag of one, but reaching back to the last day on record.
+
+    The days that ``df`` asks about are counted down to one row a site and day first and
+    stand among the daily rows; each takes the last daily row at or before it. The
+    window thus runs over days, never over the rows of ``df``, however many one site has.
+    ``daily`` has one row a site and day. A null site or start finds nothing.
+    """
     from pyspark.sql import Window as W
 
-    following = F.lead(date).over(W.partitionBy(site).orderBy(date))
-    last = daily.agg(F.max(date)).scalar()
-    valid = daily.withColumn("_until", F.coalesce(F.date_sub(following, 1), F.greatest(
-        F.col(date), df.agg(F.max(F.to_date(timestamp))).scalar(), last)))
-    spelt = valid.withColumn("_on", F.explode(F.sequence(date, "_until"))).drop(date, "_until")
-    return day_context(df, spelt, timestamp, columns, site, "_on", lag_days=1)
+    day = F.date_sub(F.to_date(timestamp), 1)
+    known = daily.select(F.col(site).alias("_site"), F.col(date).alias("_day"),
+                         F.struct(*[F.col(c).alias(n) for n, c in columns.items()]).alias("_values"))
+    asked = df.select(F.col(site).alias("_site"), day.alias("_day")).dropna().distinct()
+    so_far = W.partitionBy("_site").orderBy("_day").rangeBetween(W.unboundedPreceding, W.currentRow)
+    both = known.withColumn("_asked", F.lit(False)).unionByName(
+        asked.withColumn("_asked", F.lit(True)), allowMissingColumns=True)
+    found = both.withColumn("_last", F.last("_values", ignorenulls=True).over(so_far)).where("_asked").select(
+        "_site", "_day", "_last")
+    return df.join(found, (df[site] == found["_site"]) & (day == found["_day"]), "left").select(
+        *[df[c] for c in df.columns], *[F.col(f"_last.{n}").alias(n) for n in columns])
 
 
 def orphans(df: DataFrame, key: str, reference: DataFrame, reference_key: str) -> DataFrame:

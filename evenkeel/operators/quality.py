@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from evenkeel.functions import EMAIL_PATTERN, NULL_LITERALS
 from evenkeel.operators.joins import orphans
 from evenkeel.operators.latest import duplicate_rows
+from evenkeel.sources.contracts import Contract
 
 RESULT_COLUMNS = (
     "check_id", "layer", "table_name", "passed", "severity", "message",
@@ -42,6 +43,16 @@ class Check:
     options: Mapping = field(default_factory=dict)
 
 
+def contract_checks(contract: Contract, tolerance: float = 0.005) -> list[Check]:
+    """What a source contract says of its conformed table, as checks: a key of its own a
+    row, the values that listed columns may have, and about how many rows there are."""
+    checks = [Check(f"{contract.name}_key", "unique", contract.key)]
+    checks += [Check(f"{contract.name}_{c}", "enum", (c,), options={"allowed": allowed}) for c, allowed in contract.enums.items()]
+    if contract.expected_rows is not None:
+        checks.append(Check(f"{contract.name}_rows", "row_count", options={"rows": contract.expected_rows, "tolerance": tolerance}))
+    return checks
+
+
 # ------------------------------------------------------------------ row conditions
 def null_in(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])

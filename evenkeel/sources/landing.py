@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.functions import file_export_date
-from evenkeel.sources.contracts import Contract
+from evenkeel.sources.contracts import Contract, resolve
+from evenkeel.sources.readers import csv_dialects, read_source
 
 
-def property_records(prop: str = "property") -> Column:
+def property_records(prop: str = "property", listed: str = "properties") -> Column:
     """Logical records of a property document: points, incidents and nodes of the
-    property, points and incidents of its children."""
+    property, points and incidents of its children; of a document that lists
+    ``properties`` instead (a directory of them), the listed ones."""
     p = F.col(prop)
 
     def points(readings: Column) -> Column:
@@ -26,7 +28,8 @@ def property_records(prop: str = "property") -> Column:
 
     children = F.when(p["children"].isNull(), 0).otherwise(F.aggregate(
         p["children"], F.lit(0), lambda n, c: n + points(c["readings"]) + length(c["incidents"])))
-    return points(p["readings"]) + length(p["incidents"]) + length(p["nodes"]) + children
+    own = points(p["readings"]) + length(p["incidents"]) + length(p["nodes"]) + children
+    return F.when(p.isNull(), length(F.col(listed))).otherwise(own)
 
 
 def file_ledger(rows: DataFrame, contract: Contract, ingest_date: str, schema_version: str = "0.1.0",
@@ -51,6 +54,20 @@ def file_ledger(rows: DataFrame, contract: Contract, ingest_date: str, schema_ve
         F.current_timestamp().alias("ingested_at"))
 
 
+def source_records(spark: SparkSession, source: str, path: str) -> DataFrame:
+    """(source_system, source_name, source_file, row_count): logical records of each file of
+    a source family, counted as its format asks. A file without records has no row."""
+    contract = resolve(source)
+    if contract.format == "wide_csv":  # a record is a line; the reader unfolds it
+        counted = csv_dialects(spark, path, contract.file_pattern).select(
+            F.col("file_path").alias("source_file"), F.col("data_lines").alias("row_count"))
+    else:
+        one = property_records() if contract.format == "json_object" else F.lit(1)
+        counted = read_source(spark, source, path).groupBy("source_file").agg(F.sum(one).cast("bigint").alias("row_count"))
+    return counted.where("row_count > 0").select(F.lit(contract.source_system).alias("source_system"),
+                          F.lit(contract.name).alias("source_name"), "source_file", "row_count")
+
+
 def partition_manifest(ledger: DataFrame) -> DataFrame:
     """Files, bytes and rows per landed partition; rows are null if no file has a count.
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.functions import cp1252_from_latin1, delimiter_of, is_null_literal
-from evenkeel.sources.contracts import OCCUPANCY_SCHEMA, PROPERTY_SCHEMA
+from evenkeel.sources.contracts import OCCUPANCY_SCHEMA, PROPERTY_SCHEMA, resolve
 from evenkeel.sources.records import cells_of, csv_records, split_states
 
 SIDE_FILES = r"(\.meta\.json|^_manifest\.json)$"
@@ -181,6 +181,21 @@ def read_wide_csv(spark: SparkSession, path: str, identifier: str = "asset",
     return long.where(F.col("header") != identifier)
 
 
+def read_source(spark: SparkSession, source: str, path: str) -> DataFrame:
+    """The raw rows of a source family, by its name or alias, as its contract says they
+    are delivered; each row names its ``source_file``."""
+    contract = resolve(source)
+    if contract.format == "csv":
+        return read_erp_csv(spark, path, contract.file_pattern, columns=contract.columns)
+    if contract.format == "json_object":
+        return read_properties(spark, path, contract.file_pattern)
+    if contract.format == "json_array":
+        return read_occupancy(spark, path, contract.file_pattern)
+    if contract.format == "wide_csv":
+        return read_wide_csv(spark, path, glob=contract.file_pattern).withColumnRenamed("file_path", "source_file")
+    raise ValueError(f"no reader for {contract.format!r}, the format of {contract.name}")
+
+
 def read_table(spark: SparkSession, path: str, site: str | None = None, site_column: str = "site_id") -> DataFrame:
     """A Parquet table; the site filter reaches the scan. Sorting is the sink's business."""
     table = spark.read.parquet(path)

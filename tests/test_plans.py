@@ -234,3 +234,17 @@ def test_feature_matrix_keeps_columns_with_enough_values(spark):
     df = spark.createDataFrame(rows, "site_id STRING, signal_date DATE, x DOUBLE, y DOUBLE")
     out = f.site_feature_matrix(df, ["x", "y"]).collect()
     assert all(r.usable == ["x"] and r.y is None for r in out)
+
+
+def test_as_of_context_reaches_back_to_the_last_day(spark):
+    from evenkeel.operators.joins import as_of_context
+
+    orders = spark.sql("""SELECT * FROM VALUES (1, 's', TIMESTAMP '2024-01-05 10:00'), (2, 's', TIMESTAMP '2024-01-05 23:00'),
+        (3, 's', TIMESTAMP '2024-03-01 00:00'), (4, 's', TIMESTAMP '2024-01-01 09:00'), (5, 't', TIMESTAMP '2024-01-05 10:00'),
+        (6, NULL, TIMESTAMP '2024-01-05 10:00'), (7, 's', NULL), (8, 's', TIMESTAMP '2024-01-06 10:00') AS o(id, site_id, at)""")
+    daily = spark.sql("""SELECT * FROM VALUES ('s', DATE '2024-01-01', 1), ('s', DATE '2024-01-05', CAST(NULL AS INT)),
+        ('s', DATE '2024-02-01', 3), ('u', DATE '2024-01-01', 9) AS d(site_id, signal_date, n)""")
+    out = as_of_context(orders, daily, "at", {"last_n": "n"})
+    assert out.columns == ["id", "site_id", "at", "last_n"]
+    assert {r.id: r.last_n for r in out.collect()} == {1: 1, 2: 1, 3: 3, 4: None, 5: None, 6: None, 7: None, 8: None}
+    assert as_of_context(orders, daily.where("false"), "at", {"last_n": "n"}).where("last_n IS NULL").count() == 8

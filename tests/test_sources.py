@@ -147,6 +147,10 @@ def test_property_documents(spark, sites, tmp_path):
     assert incidents["i-p1"].is_resolved and incidents["i-p1"].include_in_report and not incidents["i-p1"].is_internal
     counts = {r["property"]["id"]: r.n for r in props.withColumn("n", landing.property_records()).collect()}
     assert counts == {"p1": 5, "unknown": 4}
+    (tmp_path / "metadata.json").write_text(json.dumps({"properties": ["p1", "unknown", "p3"]}))
+    files = landing.source_records(spark, "BMS", str(tmp_path)).collect()
+    assert sorted((r.source_name, r.source_file.split("/")[-1], r.row_count) for r in files) == [
+        ("building_automation", "metadata.json", 3), ("building_automation", "p1.json", 5), ("building_automation", "unknown.json", 4)]
 
 
 def test_occupancy(spark, sites, tmp_path):
@@ -157,6 +161,13 @@ def test_occupancy(spark, sites, tmp_path):
     rows = out.collect()
     assert len(rows) == 48 and {r.year for r in rows} == {2025} and {r.site_id for r in rows} == {"site_house"}
     assert {r.value_type for r in rows} == {"normalized", "raw_count"} and len({r.occupancy_id for r in rows}) == 48
+    assert all(r.issues == [] for r in rows)
+    twice = readers.read_source(spark, "elevators", str(tmp_path)).where("file_name NOT LIKE '%normalized%'")
+    twice = twice.unionByName(twice)
+    bad = c.conform_occupancy(twice, sites, ["North House"]).collect()
+    assert len(bad) == 48 and all(r.issues == ["duplicate occupancy_id"] for r in bad)
+    with pytest.raises(Exception, match="duplicate occupancy_id"):
+        c.conform_occupancy(twice, sites, ["North House"], strict=True).collect()
     (tmp_path / "North_House_2.json").write_text(json.dumps([record | {"occupancy": [1, 2]}]))
     with pytest.raises(Exception, match="24 hourly"):
         readers.read_occupancy(spark, str(tmp_path)).collect()
@@ -167,6 +178,10 @@ def test_utilization_overlap_keeps_later_export(spark, tmp_path):
     (tmp_path / "Room_Utilization_020124-030124.csv").write_text('asset,2024-01-02,2024-01-03\nLetto,99.0,n/a\n"Hall, big",1,2\n')
     out = c.conform_utilization(readers.read_wide_csv(spark, str(tmp_path)), "site_mill")
     got = {(r.asset_name, str(r.utilization_date)): r.utilization_pct for r in out.collect()}
+    files = landing.source_records(spark, "utilization", str(tmp_path)).collect()
+    assert sorted(r.row_count for r in files) == [2, 2]
+    with pytest.raises(KeyError, match="unknown source"):
+        readers.read_source(spark, "lifts", str(tmp_path))
     assert got == {("Letto", "2024-01-01"): 10.5, ("Letto", "2024-01-02"): 99.0, ("Letto", "2024-01-03"): None,
                    ("Karhu", "2024-01-01"): 0.0, ("Karhu", "2024-01-02"): 5.5, ("Hall, big", "2024-01-02"): 1.0, ("Hall, big", "2024-01-03"): 2.0}
 
