@@ -23,7 +23,7 @@ from evenkeel.learning.evaluation import classification_metrics
 from evenkeel.operators.joins import rate_lookup
 from evenkeel.operators.ordered import exact_quantiles
 from evenkeel.plans.features import cutoff_split
-from evenkeel.session import durable
+from evenkeel.session import durable, shared_path
 
 RARE = "_rare_"
 MISSING = "_missing_"
@@ -150,11 +150,21 @@ def fit_breach_model(train: DataFrame, kind: str, categories: Sequence[str], num
     cores = data.sparkSession.sparkContext.defaultParallelism
     if kind != "logistic" and ready.rdd.getNumPartitions() < cores:
         ready = ready.repartition(cores)
-    fitted = PipelineModel([*prepared.stages, model.fit(durable(ready))])
+    fitted = PipelineModel([*prepared.stages, _without_summary(model.fit(durable(ready)))])
     return BreachModel(fitted, kept, categories, numbers, kind, features,
                        {"names": _slot_names(fitted, categories, numbers, kind)})
 
 
+def _without_summary(model):
+    """The model without its training summary, which holds the session: a session that
+    has observed a query cannot travel to tasks, and the model's functions must."""
+    if not getattr(model, "hasSummary", False):
+        return model
+    path = shared_path(SparkSession.getActiveSession(), "fitted")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def _slot_names(fitted: PipelineModel, categories: Sequence[str], numbers: Sequence[str], kind: str) -> list[str]:
     # one slot a category is for values never seen
     names = [n for c, labels in zip(categories, fitted.stages[0].labelsArray)

@@ -5,6 +5,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from evenkeel.learning import anomalies as a
@@ -116,6 +117,14 @@ def test_models_beat_the_base_rate(learnable, kind):
         assert model.impurity_importance().first()["feature"].startswith("kind=")
 
 
+@pytest.mark.parametrize("kind", ["forest", "logistic"])
+def test_models_score_in_a_session_that_has_observed(spark, learnable, kind):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    model = m.fit_breach_model(learnable, kind, ["kind"], ["x", "z"], "y", trees=3, depth=2)
+    assert seen.get["n"] == 3 and model.transform(learnable, "p").where("p IS NULL").count() == 0
+
+
 def test_permutation_importance_finds_the_signal(learnable):
     train, test = learnable.where("wo_no < 3000"), learnable.where("wo_no >= 3000")
     model = m.fit_breach_model(train, "logistic", ["kind"], ["x", "z"], "y", trees=30)
