@@ -194,6 +194,22 @@ def test_usage_tiers(spark):
     assert got == {"low": "light", "mid": "medium", "top": "heavy"}
 
 
+def test_usage_tiers_work_out_profiles_once_in_few_tasks(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        reads.add(1)
+        return x
+
+    rows = spark.range(300).repartition(40).select("id", (F.col("id") % 3 * 40.0 + F.rand(1)).alias("x"))
+    profiles = rows.select("id", counted("x").alias("mean_pct"), *[F.lit(0.5).alias(c) for c in ("std_pct", "zero_day_frac", "high_day_frac")])
+    out = usage_tiers(profiles, restarts=2)
+    assert out.rdd.getNumPartitions() == 1
+    got = {(r.id % 3, r.usage_tier) for r in out.collect()}
+    assert got == {(0, "light"), (1, "medium"), (2, "heavy")} and reads.value == 300
+
+
 def test_depths_equal_walking_each_tree():
     rng = np.random.default_rng(4)
     x = np.round(rng.normal(size=(300, 3)), 1)
