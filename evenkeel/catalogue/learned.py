@@ -267,7 +267,8 @@ def _(t: Tables):
 def _(t: Tables):
     train, test = _features(t)
     model = m.fit_breach_model(train, "logistic", CATEGORIES, NUMBERS, LABEL)
-    return v.permutation_importance(test, lambda df: model.transform(df, "p"), [*CATEGORIES, *NUMBERS], "p", LABEL, "wo_no")
+    return v.permutation_importance(test, lambda df: model.transform(df, "p"), [*CATEGORIES, *NUMBERS], "p", LABEL, "wo_no",
+                                    parts=model.parts)
 
 
 @query("segment_models", "M11 M12")

@@ -6,6 +6,7 @@ score order come from ``ordered.running_totals``: no global sort in one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from evenkeel.functions import equal_bin
-from evenkeel.operators.ordered import row_numbers, running_totals
+from evenkeel.learning import ranks
+from evenkeel.operators import ordered
+from evenkeel.operators.ordered import hashed_numbers, row_numbers, running_totals
 from evenkeel.session import durable
 
 # --- fixed values: shares of the backlog a crew can act on -----------------------
@@ -123,6 +126,18 @@ def calibration_table(scored: DataFrame, score: str, label: str, bins: int = 10,
     return out.withColumn("bin_mid", (F.col("bin") + 0.5) * step)
 
 
+def _with_givers(df: DataFrame, taken: Sequence[str], identifier: str, repeats: int, seed: int) -> DataFrame:
+    """Per ``repeat`` all rows, each with ``_other``: the ``taken`` columns of the row whose
+    second random number is its first."""
+    rows = df.count()
+    copies = df.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    hashed = lambda salt: F.xxhash64(identifier, "repeat", F.lit(seed + salt))
+    placed = hashed_numbers(copies, hashed(0), identifier, rows, ["repeat"], "_at")
+    givers = hashed_numbers(copies.select("repeat", identifier, F.struct(*taken).alias("_other")), hashed(1), identifier, rows,
+                            ["repeat"], "_at").select("repeat", "_at", "_other")
+    return placed.join(givers, ["repeat", "_at"])
+
+
 def shuffled_features(df: DataFrame, features: Sequence[str], identifier: str, repeats: int,
                       seed: int = 42) -> DataFrame:
     """Copies of the rows with one feature shuffled: per ``feature`` and ``repeat``.
@@ -132,12 +147,7 @@ def shuffled_features(df: DataFrame, features: Sequence[str], identifier: str, r
     table at any size, so every column keeps exactly its values and loses its link to
     the label. Numbers come from ranges of the orders, not from one sort.
     """
-    copies = df.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    order = lambda salt: [F.xxhash64(identifier, "repeat", F.lit(seed + salt)), F.col(identifier)]
-    placed = row_numbers(copies, order(0), ["repeat"], "_at", few_groups=True)
-    givers = row_numbers(copies.select("repeat", identifier, F.struct(*features).alias("_other")), order(1), ["repeat"],
-                         "_at", few_groups=True).select("repeat", "_at", "_other")
-    moved = placed.join(givers, ["repeat", "_at"])
+    moved = _with_givers(df, features, identifier, repeats, seed)
     versions = [
         F.struct(F.lit(f).alias("feature"), *[(F.col(f"_other.{g}") if g == f else F.col(g)).alias(g) for g in features])
         for f in features]
@@ -146,12 +156,38 @@ def shuffled_features(df: DataFrame, features: Sequence[str], identifier: str, r
 
 
 def permutation_importance(df: DataFrame, predict: Callable[[DataFrame], DataFrame], features: Sequence[str],
-                           score: str, label: str, identifier: str, repeats: int = 8, seed: int = 42) -> DataFrame:
-    """Mean and deviation of the AUC lost when a feature is shuffled."""
-    base = classification_metrics(predict(df), score, label).first()["roc_auc"]
-    scored = predict(shuffled_features(df, features, identifier, repeats, seed))
-    # scored once: counts of (copy, score, label) are all that the AUC needs
-    shuffled = durable(scored.select("feature", "repeat", score, label))
-    per_copy = classification_metrics(shuffled, score, label, ["feature", "repeat"], few_groups=True)
-    loss = F.lit(base) - F.col("roc_auc")
-    return per_copy.groupBy("feature").agg(F.avg(loss).alias("importance"), F.stddev_pop(loss).alias("std"))
+                           score: str, label: str, identifier: str, repeats: int = 8, seed: int = 42,
+                           parts: Callable[[DataFrame, Sequence[str]], DataFrame] | None = None) -> DataFrame:
+    """Mean and deviation of the AUC lost when a feature is shuffled.
+
+    ``parts`` (``BreachModel.parts``) gives what each feature adds to a logistic score;
+    rows then exchange these, and a copy's score is a sum, not a run of the pipeline.
+    """
+    y = F.col(label).cast("int").alias("y")
+    base = durable(predict(df).select(F.col(score).cast("double").alias("score"), y))
+    ranges = math.ceil(base.count() / ordered.ROWS_PER_RANGE)
+    shares = [i / ranges for i in range(1, ranges)]
+    cuts = sorted(set(base.approxQuantile("score", shares, 0.1 / ranges))) if shares else []
+    if parts is None:
+        names = F.create_map(*[F.lit(x) for i, f in enumerate(features) for x in (f, i)])
+        scored = predict(shuffled_features(df, features, identifier, repeats, seed)).select(
+            F.element_at(names, F.col("feature")).alias("feature"), F.col("repeat"), F.col(score).cast("double").alias("score"), y)
+        untouched = base.select(F.lit(ranks.UNTOUCHED).alias("feature"), F.lit(ranks.UNTOUCHED).alias("repeat"), "score", "y")
+        counted = scored.unionByName(untouched).mapInArrow(ranks.count_scored(cuts), ranks.COUNTED)
+    else:
+        own = durable(parts(df, features).select(identifier, y, F.col("_parts").alias("own")))
+        pairs = _with_givers(own, ["own"], identifier, repeats, seed).select("repeat", "y", "own", F.col("_other.own").alias("other"))
+        untouched = own.select(F.lit(ranks.UNTOUCHED).alias("repeat"), "y", "own", F.col("own").alias("other"))
+        counted = pairs.unionByName(untouched).mapInArrow(ranks.count_pairs(cuts), ranks.COUNTED)
+    merged = counted.groupBy("feature", "repeat", "range").applyInArrow(ranks.merge_range, ranks.MERGED)
+    below = W.partitionBy("feature", "repeat").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    lower = F.coalesce(F.sum(F.col("n") - F.col("pos")).over(below), F.lit(0))
+    wins = merged.withColumn("_wins", F.col("twice_wins") + 2 * F.col("pos") * lower).groupBy("feature", "repeat").agg(
+        F.sum("_wins").alias("_wins"), F.sum("pos").alias("_p"), F.sum(F.col("n") - F.col("pos")).alias("_q"))
+    per_copy = durable(wins.select("feature", "repeat", F.when(
+        (F.col("_p") > 0) & (F.col("_q") > 0), F.col("_wins") / 2.0 / (F.col("_p") * F.col("_q"))).alias("roc_auc")))
+    whole = per_copy.where(F.col("feature") == ranks.UNTOUCHED).first()
+    loss = F.lit(whole["roc_auc"] if whole else None).cast("double") - F.col("roc_auc")
+    name = F.get(F.array(*[F.lit(f) for f in features]), F.col("feature")).alias("feature")
+    return per_copy.where(F.col("feature") != ranks.UNTOUCHED).groupBy(name).agg(
+        F.avg(loss).alias("importance"), F.stddev_pop(loss).alias("std"))

@@ -49,6 +49,22 @@ class BreachModel:
         scored = scored.withColumn(output, F.get(vector_to_array("_probability"), 1))
         return scored.select(*df.columns, output)
 
+    def parts(self, df: DataFrame, features: Sequence[str]) -> DataFrame:
+        """Array ``_parts``: what all else and then each of ``features`` adds to the logistic
+        model's margin. The probability is the logistic function of their sum."""
+        if self.name != "logistic":
+            raise ValueError(f"a {self.name} model's score is no sum over features")
+        fitted, labels = self.pipeline.stages[-1], self.pipeline.stages[0].labelsArray
+        weights, adds, at = [float(w) for w in fitted.coefficients], {}, 0
+        for c, known in zip(self.categories, labels):
+            slots = weights[at:at + len(known) + 1]  # the last is for levels never seen
+            adds[c] = F.get(F.array(*[F.lit(w) for w in slots]), F.col(f"_idx_{c}").cast("int"))
+            at += len(slots)
+        adds.update({c: F.col(f"_imp_{c}") * F.lit(w) for c, w in zip(self.numbers, weights[at:])})
+        ready = PipelineModel(self.pipeline.stages[:-1]).transform(_prepared(df, self.kept, self.categories, self.numbers))
+        rest = reduce(lambda a, b: a + b, [adds[c] for c in adds if c not in features], F.lit(float(fitted.intercept)))
+        return ready.select(*df.columns, F.array(rest, *[adds.get(f, F.lit(0.0)) for f in features]).alias("_parts"))
+
     def impurity_importance(self, n: int = 20) -> DataFrame:
         """Importance per encoded level or number, from the trees' split gains."""
         gains = self.pipeline.stages[-1].featureImportances.toArray()

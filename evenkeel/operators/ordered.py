@@ -15,6 +15,7 @@ floating-point sum over a shuffle is not; pass such input through
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -110,6 +111,25 @@ def row_numbers(df: DataFrame, order: Sequence[Column], groups: Sequence[str] =
     return numbered.withColumnRenamed("cum_rows", name).drop("total_rows")
 
 
+def hashed_numbers(df: DataFrame, hashed: Column, identifier: str, rows: int, groups: Sequence[str],
+                   name: str = "row_number") -> DataFrame:
+    """``row_numbers`` in the order of (``hashed``, ``identifier``), a 64-bit hash first.
+
+    Hashes are even over their whole reach, so their upper bits are the ranges: no cut
+    points. ``rows`` is about how many rows a group has.
+    """
+    keys, bits = list(groups), max(0, math.ceil(math.log2(max(rows, 1) / ROWS_PER_RANGE)))
+    # an arithmetic shift: ranges keep the order of signed hashes
+    placed = df.withColumn("_hash", hashed).withColumn("_range", F.shiftright("_hash", 64 - bits) if bits else F.lit(0).cast("bigint"))
+    before = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = placed.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        *keys, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    local = W.partitionBy(*keys, "_range").orderBy("_hash", identifier)
+    numbered = placed.withColumn(name, F.row_number().over(local).cast("bigint"))
+    out = numbered.join(F.broadcast(offsets), [*keys, "_range"])
+    return out.withColumn(name, F.col(name) + F.col("_before")).drop("_hash", "_range", "_before")
+
+
 def exact_quantiles(df: DataFrame, value: str, fractions: Mapping[str, float],
                     groups: Sequence[str] = (), few_groups: bool = False) -> DataFrame:
     """Linearly interpolated quantiles, one named column each, one row a group.

@@ -133,6 +133,26 @@ def test_permutation_importance_finds_the_signal(learnable):
     assert rows["kind"] > 0.1 > abs(rows["z"])
 
 
+def test_importance_by_parts_equals_brute_force(learnable, monkeypatch):
+    """Every copy's AUC from its rows; ranges of 50 rows; what a feature adds, or the whole pipeline."""
+    monkeypatch.setattr(ordered, "ROWS_PER_RANGE", 50)
+    train, test = learnable.where("wo_no < 3000"), learnable.where("wo_no >= 3700")
+    model = m.fit_breach_model(train, "logistic", ["kind"], ["x", "z"], "y", trees=30)
+    features, predict = ["kind", "x", "z"], lambda d: model.transform(d, "p")
+    scores = {r.wo_no: (r.p, r.s) for r in predict(model.parts(test, features)).select(
+        "wo_no", "p", F.expr("1 / (1 + exp(-aggregate(_parts, 0D, (a, b) -> a + b)))").alias("s")).collect()}
+    assert all(math.isclose(p, s, rel_tol=1e-9) for p, s in scores.values())
+    auc = lambda rows: brute_auc(np.array([r.y for r in rows]), np.array([r.p for r in rows]))
+    base, lost = auc(predict(test).collect()), {}
+    copies = predict(v.shuffled_features(test, features, "wo_no", 2)).collect()
+    for f in features:
+        lost[f] = [base - auc([r for r in copies if (r.feature, r.repeat) == (f, i)]) for i in range(2)]
+    for parts in (model.parts, None):
+        got = v.permutation_importance(test, predict, features, "p", "y", "wo_no", repeats=2, parts=parts).collect()
+        assert {r.feature: r.importance for r in got} == pytest.approx({f: np.mean(x) for f, x in lost.items()}, abs=1e-9)
+        assert {r.feature: r.std for r in got} == pytest.approx({f: np.std(x) for f, x in lost.items()}, abs=1e-9)
+
+
 def test_rare_levels_fold(learnable):
     kept = m.kept_levels(learnable, ["kind"], 100)
     assert kept == {"kind": ["bad", "good"]}
