@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -29,6 +30,8 @@ RARE = "_rare_"
 MISSING = "_missing_"
 #: Memory for the statistics of tree nodes that one pass over the rows splits.
 NODE_MEMORY_MB = 1024
+#: Rows of a task of tree fits, where that makes more tasks than cores.
+ROWS_PER_TASK = 1_000_000
 
 
 @dataclass
@@ -139,7 +142,7 @@ def fit_breach_model(train: DataFrame, kind: str, categories: Sequence[str], num
     """
     kept = kept_levels(train, categories, min_frequency)
     # a column without a single value has no median to fill it with
-    filled = train.agg(*[F.count(c).alias(c) for c in numbers]).first()
+    filled = train.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in numbers]).first()
     numbers = [c for c in numbers if filled[c]]
     data = _prepared(train, kept, categories, numbers).withColumn("_label", F.col(label).cast("double"))
     stages, features = _features(categories, numbers, flags=kind == "boosted", scale=kind == "forest",
@@ -153,7 +156,9 @@ def fit_breach_model(train: DataFrame, kind: str, categories: Sequence[str], num
     elif kind == "forest":
         data = with_class_weights(data, "_label")
         model = RandomForestClassifier(numTrees=trees or 300, maxDepth=depth or 12, minInstancesPerNode=20, seed=seed,
-                                       weightCol="_weight", maxMemoryInMB=NODE_MEMORY_MB, **common)
+                                       weightCol="_weight", maxMemoryInMB=NODE_MEMORY_MB,
+                                       # where a row is in each tree is kept, not walked from the root in every pass
+                                       cacheNodeIds=True, **common)
     elif kind == "logistic":
         model = LogisticRegression(maxIter=1000 if trees is None else trees, **common)
     else:
@@ -163,9 +168,11 @@ def fit_breach_model(train: DataFrame, kind: str, categories: Sequence[str], num
     prepared = Pipeline(stages=stages).fit(data)
     columns = ["_label", features, *(c for c in ("_validate", "_weight") if c in data.columns)]
     ready = prepared.transform(data).select(*columns)
-    cores = data.sparkSession.sparkContext.defaultParallelism
-    if kind != "logistic" and ready.rdd.getNumPartitions() < cores:
-        ready = ready.repartition(cores)
+    if kind != "logistic":
+        # every task of a pass sends the statistics of all nodes: more tasks only send more
+        tasks = max(data.sparkSession.sparkContext.defaultParallelism, math.ceil(filled["_rows"] / ROWS_PER_TASK))
+        given = ready.rdd.getNumPartitions()
+        ready = ready.repartition(tasks) if given < tasks else ready.coalesce(tasks)
     fitted = PipelineModel([*prepared.stages, _without_summary(model.fit(durable(ready)))])
     return BreachModel(fitted, kept, categories, numbers, kind, features,
                        {"names": _slot_names(fitted, categories, numbers, kind)})

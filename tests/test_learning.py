@@ -125,6 +125,15 @@ def test_models_score_in_a_session_that_has_observed(spark, learnable, kind):
     assert seen.get["n"] == 3 and model.transform(learnable, "p").where("p IS NULL").count() == 0
 
 
+@pytest.mark.parametrize("kind", ["forest", "boosted"])
+def test_trees_are_fitted_in_as_many_tasks_as_cores(spark, learnable, kind, monkeypatch):
+    tasks, cut = [], m.durable
+    monkeypatch.setattr(m, "durable", lambda df: tasks.append(df.rdd.getNumPartitions()) or cut(df))
+    model = m.fit_breach_model(learnable.repartition(40), kind, ["kind"], ["x", "z"], "y", trees=2, depth=2)
+    assert tasks == [spark.sparkContext.defaultParallelism]
+    assert kind == "boosted" or model.pipeline.stages[-1].getCacheNodeIds()
+
+
 def test_permutation_importance_finds_the_signal(learnable):
     train, test = learnable.where("wo_no < 3000"), learnable.where("wo_no >= 3000")
     model = m.fit_breach_model(train, "logistic", ["kind"], ["x", "z"], "y", trees=30)
