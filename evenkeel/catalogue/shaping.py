@@ -119,7 +119,7 @@ def _(t: Tables):
     return c.conform_maintenance_plans(raw, sites_of(t)).select("pm_no", "last_updated_utc", "action_descr", "start_date", "site_id")
 
 
-def _properties(t: Tables):
+def _properties(t: Tables, *more: str):
     """Each order as a property document: its reading, and one of a child."""
     point = lambda v, key: F.array(F.struct(F.concat(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.lit("+00")).alias("t"),
                                             v.alias("v"), F.lit(key).alias("key"), F.lit("auto").alias("src")))
@@ -137,7 +137,7 @@ def _properties(t: Tables):
     return t.read("orders").select(F.col("o_orderkey"), F.struct(
         pid.alias("id"), readings("electricity_kWh", price, "m1").alias("readings"), incident("i").alias("incidents"),
         F.array(F.struct(child.alias("id"), readings("odd_metric", price / 2, "m2").alias("readings"),
-                         incident("c").alias("incidents"))).alias("children")).alias("property"))
+                         incident("c").alias("incidents"))).alias("children")).alias("property"), *more)
 
 
 @query("exploded_readings", "T4 S5 C16 K23", f"""
@@ -169,11 +169,10 @@ SELECT o_orderkey, CAST(CASE WHEN o_orderstatus = 'P' THEN o_orderkey % 4 ELSE 4
 def _(t: Tables):
     from evenkeel.sources.landing import property_records
 
-    props = _properties(t)
     many = lambda n: F.array_repeat(F.col("o_orderkey").cast("string"), (F.col("o_orderkey") % n).cast("int"))
     nodes = F.transform(many(3), lambda i: F.struct(i.alias("id"), i.alias("name"), i.alias("type"), i.alias("tags")))
     lists = F.col("o_orderstatus") == "P"
-    docs = props.join(t.read("orders").select("o_orderkey", "o_orderstatus"), "o_orderkey").select(
+    docs = _properties(t, "o_orderstatus").select(
         "o_orderkey", F.when(~lists, F.col("property").withField("nodes", nodes)).alias("property"),
         F.when(lists, many(4)).alias("properties"))
     return docs.select("o_orderkey", property_records().cast("bigint").alias("records"))

@@ -284,3 +284,11 @@ def test_quarantine_counts_while_it_writes(spark, tmp_path):
         meta = landing.quarantine(bad, str(tmp_path / "q"), "silver", "t", f"c{limit}", "why", "r", limit=limit).first()
         assert meta.row_count == 500 and spark.read.parquet(meta.path).count() == kept
         assert calls.value - before == 500
+
+
+def test_property_documents_are_counted_where_they_are_read(spark):
+    from evenkeel.catalogue import QUERIES
+
+    out = QUERIES["property_record_counts"](spark, "/root/testdata/sf0.001")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan and out.count() == 1500
