@@ -173,17 +173,17 @@ def fit_breach_model(train: DataFrame, kind: str, categories: Sequence[str], num
         tasks = max(data.sparkSession.sparkContext.defaultParallelism, math.ceil(filled["_rows"] / ROWS_PER_TASK))
         given = ready.rdd.getNumPartitions()
         ready = ready.repartition(tasks) if given < tasks else ready.coalesce(tasks)
-    fitted = PipelineModel([*prepared.stages, _without_summary(model.fit(durable(ready)))])
+    fitted = PipelineModel([*prepared.stages, _without_summary(model.fit(durable(ready)), data.sparkSession)])
     return BreachModel(fitted, kept, categories, numbers, kind, features,
                        {"names": _slot_names(fitted, categories, numbers, kind)})
 
 
-def _without_summary(model):
+def _without_summary(model, spark: SparkSession):
     """The model without its training summary, which holds the session: a session that
     has observed a query cannot travel to tasks, and the model's functions must."""
     if not getattr(model, "hasSummary", False):
         return model
-    path = shared_path(SparkSession.getActiveSession(), "fitted")
+    path = shared_path(spark, "fitted")
     model.write().save(path)
     return type(model).load(path)
 
