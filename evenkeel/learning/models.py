@@ -13,10 +13,10 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel, Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import (
-    Imputer, OneHotEncoder, StandardScaler, StringIndexer, VarianceThresholdSelector, VectorAssembler,
+    Imputer, OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.functions import nan_to_null, probability_label
@@ -76,52 +76,122 @@ class BreachModel:
         return table.orderBy(F.desc("importance"), "feature").limit(n)
 
 
-def kept_levels(train: DataFrame, categories: Sequence[str], min_frequency: int) -> dict[str, list[str]]:
-    """Levels with at least ``min_frequency`` training rows; the rest fold into one.
+def _level(c: str) -> Column:
+    return F.coalesce(F.col(c).cast("string"), F.lit(MISSING))
+
+
+def _number(c: str) -> Column:
+    # not-a-number is missing here, and ends with it: no model sees either
+    return nan_to_null(F.col(c).cast("double"))
 
-    All categories are counted in one job. The result is the model's vocabulary and
-    is bounded by rows / min_frequency; one-hot encoding brings it to the driver anyway.
+
+@dataclass
+class _Counts:
+    """What one pass over the training rows tells: rows, rows of each level kept, and of
+    each number its filled rows, least and largest value."""
+
+    rows: int
+    levels: dict[str, dict[str, int]]
+    numbers: dict[str, tuple[int, float | None, float | None]]
+
+    @property
+    def kept(self) -> dict[str, list[str]]:
+        return {c: list(found) for c, found in self.levels.items()}
+
+    def labels(self, c: str) -> dict[str, int]:
+        """Rows of each label after folding."""
+        found = dict(self.levels[c])
+        rest = self.rows - sum(found.values())
+        if rest:
+            found[RARE] = found.get(RARE, 0) + rest
+        return found
+
+    def indexer(self, spark: SparkSession, categories: Sequence[str]) -> StringIndexerModel:
+        """The labels' places, fitted on a table of the labels, not on the rows."""
+        labels = {f"_cat_{c}": list(self.labels(c)) for c in categories}
+        table = spark.range(0, max(map(len, labels.values())), 1, 1).select(*[
+            F.element_at(F.lit(x), F.least(F.col("id") + 1, F.lit(len(x))).cast("int")).alias(c) for c, x in labels.items()])
+        return StringIndexer(inputCols=list(labels), outputCols=[f"_idx_{c}" for c in categories], handleInvalid="keep",
+                             stringOrderType="alphabetAsc").fit(table)
+
+    def varies(self, c: str) -> bool:
+        """Whether a number, its median in its gaps, is not constant."""
+        _, low, high = self.numbers[c]
+        return math.isfinite(low) and math.isfinite(high) and low < high
+
+    def gaps(self, c: str) -> bool:
+        return self.numbers[c][0] < self.rows
+
+
+def _counted(train: DataFrame, categories: Sequence[str], numbers: Sequence[str], min_frequency: int) -> _Counts:
+    """All categories and numbers in one pass: rows meet by their levels first, and only
+    such totals are counted per level.
+
+    The levels with at least ``min_frequency`` rows are the model's vocabulary, bounded by
+    rows / min_frequency; one-hot encoding brings it to the driver anyway.
     """
-    long = train.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("name"), F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias("level"))
-        for c in categories])))
-    frequent = long.groupBy("name", "level").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_frequency)
-    kept: dict[str, list[str]] = {c: [] for c in categories}
-    for row in frequent.orderBy("name", "level").collect():
-        kept[row["name"]].append(row["level"])
-    return kept
+    facts = [[F.count(_number(c)), F.min(_number(c)), F.max(_number(c))] for c in numbers]
+    totals = train.groupBy(*[_level(c).alias(f"_level{i}") for i, c in enumerate(categories)]).agg(
+        F.count(F.lit(1)).alias("_n"), *[f.alias(f"_{k}{i}") for i, fs in enumerate(facts) for k, f in zip("flh", fs)])
+    names = [F.struct(F.lit(i).alias("_at"), F.col(f"_level{i}").alias("_level")) for i in range(len(categories))]
+    whole = F.struct(F.lit(None).cast("int").alias("_at"), F.lit(None).cast("string").alias("_level"))
+    merge = [f(f"_{k}{i}").alias(f"_{k}{i}") for i in range(len(numbers)) for k, f in zip("flh", (F.sum, F.min, F.max))]
+    long = totals.select(F.inline(F.array(whole, *names)), "_n", *[f"_{k}{i}" for i in range(len(numbers)) for k in "flh"])
+    found = long.groupBy("_at", "_level").agg(F.sum("_n").alias("_n"), *merge).where(
+        F.col("_at").isNull() | (F.col("_n") >= min_frequency)).collect()
+    levels: dict[str, dict[str, int]] = {c: {} for c in categories}
+    for row in sorted((r for r in found if r["_at"] is not None), key=lambda r: r["_level"].encode()):
+        levels[categories[row["_at"]]][row["_level"]] = row["_n"]
+    all_rows = next((r for r in found if r["_at"] is None), None)
+    if all_rows is None:
+        return _Counts(0, levels, {c: (0, None, None) for c in numbers})
+    return _Counts(all_rows["_n"], levels, {c: tuple(all_rows[f"_{k}{i}"] for k in "flh") for i, c in enumerate(numbers)})
+
+
+def kept_levels(train: DataFrame, categories: Sequence[str], min_frequency: int) -> dict[str, list[str]]:
+    """Levels with at least ``min_frequency`` training rows; the rest fold into one."""
+    return _counted(train, categories, [], min_frequency).kept
 
 
 def _prepared(df: DataFrame, kept: Mapping[str, list[str]], categories: Sequence[str], numbers: Sequence[str]) -> DataFrame:
-    level = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(MISSING))
-    folded = {f"_cat_{c}": F.when(level(c).isin(kept[c]), level(c)).otherwise(RARE) if kept[c] else F.lit(RARE)
+    folded = {f"_cat_{c}": F.when(_level(c).isin(kept[c]), _level(c)).otherwise(RARE) if kept[c] else F.lit(RARE)
               for c in categories}
-    # not-a-number is missing here, and ends with it: no model sees either
-    plain = {f"_num_{c}": nan_to_null(F.col(c).cast("double")) for c in numbers}
+    plain = {f"_num_{c}": _number(c) for c in numbers}
     # trees cannot route a missing value: a flag keeps that it was missing
-    flags = {f"_gap_{c}": nan_to_null(F.col(c).cast("double")).isNull().cast("double") for c in numbers}
+    flags = {f"_gap_{c}": _number(c).isNull().cast("double") for c in numbers}
     return df.withColumns({**folded, **plain, **flags})
 
 
-def _features(categories: Sequence[str], numbers: Sequence[str], flags: bool, scale: bool, constant: bool) -> tuple[list, str]:
-    stages: list = [
-        StringIndexer(inputCols=[f"_cat_{c}" for c in categories], outputCols=[f"_idx_{c}" for c in categories],
-                      handleInvalid="keep", stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=[f"_idx_{c}" for c in categories], outputCols=[f"_hot_{c}" for c in categories],
-                      handleInvalid="keep", dropLast=True),
-        Imputer(inputCols=[f"_num_{c}" for c in numbers], outputCols=[f"_imp_{c}" for c in numbers], strategy="median"),
-        VectorAssembler(inputCols=[f"_imp_{c}" for c in numbers], outputCol="_numbers"),
-    ]
-    used = "_numbers"
-    if scale:
+def _features(counts: _Counts, spark: SparkSession, categories: Sequence[str], numbers: Sequence[str],
+              kind: str) -> tuple[list, list[str]]:
+    """Stages up to ``_features``, and the names of its slots. Labels and constant slots are known
+    from the counts, so that only medians and scales are still learned from the rows.
+
+    The boosted model has flags of gaps, and no slot that is constant in training.
+    """
+    indexer, boosted = counts.indexer(spark, categories), kind == "boosted"
+    known = dict(zip(categories, indexer.labelsArray))
+    hot = [c for c in categories if len(known[c]) > 1 or not boosted]
+    plain = [c for c in numbers if counts.varies(c) or not boosted]
+    flags = [c for c in numbers if counts.gaps(c)] if boosted else []
+    if not (hot or plain or flags):
+        plain = list(numbers)
+    # the last slot of a category is for values never seen
+    names = [f"{c}={v}" for c in hot for v in [*known[c], *([] if boosted else ["<unseen>"])]]
+    names += [*plain, *(f"{c} missing" for c in flags)]
+    stages: list = [indexer]
+    if hot:
+        stages.append(OneHotEncoder(inputCols=[f"_idx_{c}" for c in hot], outputCols=[f"_hot_{c}" for c in hot],
+                                    handleInvalid="error" if boosted else "keep", dropLast=True))
+    stages.append(Imputer(inputCols=[f"_num_{c}" for c in numbers], outputCols=[f"_imp_{c}" for c in numbers], strategy="median"))
+    used = [f"_imp_{c}" for c in plain]
+    if kind == "forest":
+        stages.append(VectorAssembler(inputCols=used, outputCol="_numbers"))
         stages.append(StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True))
-        used = "_scaled"
-    inputs = [*[f"_hot_{c}" for c in categories], used, *([f"_gap_{c}" for c in numbers] if flags else [])]
+        used = ["_scaled"]
+    inputs = [*[f"_hot_{c}" for c in hot], *used, *[f"_gap_{c}" for c in flags]]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="_features"))
-    if constant:
-        stages.append(VarianceThresholdSelector(featuresCol="_features", outputCol="_varying", varianceThreshold=0.0))
-        return stages, "_varying"
-    return stages, "_features"
+    return stages, names
 
 
 def with_class_weights(train: DataFrame, label: str, name: str = "_weight") -> DataFrame:
@@ -140,14 +210,13 @@ def fit_breach_model(train: DataFrame, kind: str, categories: Sequence[str], num
     Boosting stops early on a hash-chosen validation share; the forest weights the
     classes; the logistic model standardises inside the solver.
     """
-    kept = kept_levels(train, categories, min_frequency)
+    counts = _counted(train, categories, numbers, min_frequency)
+    kept = counts.kept
     # a column without a single value has no median to fill it with
-    filled = train.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in numbers]).first()
-    numbers = [c for c in numbers if filled[c]]
+    numbers = [c for c in numbers if counts.numbers[c][0]]
     data = _prepared(train, kept, categories, numbers).withColumn("_label", F.col(label).cast("double"))
-    stages, features = _features(categories, numbers, flags=kind == "boosted", scale=kind == "forest",
-                                 constant=kind == "boosted")
-    common = {"featuresCol": features, "labelCol": "_label", "predictionCol": "_prediction"}
+    stages, names = _features(counts, train.sparkSession, categories, numbers, kind)
+    common = {"featuresCol": "_features", "labelCol": "_label", "predictionCol": "_prediction"}
     if kind == "boosted":
         data = data.withColumn("_validate", F.pmod(F.xxhash64(identifier or F.struct(*categories, *numbers)), F.lit(1000))
                                < int(1000 * validation_fraction))
@@ -166,16 +235,15 @@ def fit_breach_model(train: DataFrame, kind: str, categories: Sequence[str], num
     model = model.setProbabilityCol("_probability").setRawPredictionCol("_raw")
     # features are worked out once, over all cores, and read by every pass of the fit
     prepared = Pipeline(stages=stages).fit(data)
-    columns = ["_label", features, *(c for c in ("_validate", "_weight") if c in data.columns)]
+    columns = ["_label", "_features", *(c for c in ("_validate", "_weight") if c in data.columns)]
     ready = prepared.transform(data).select(*columns)
     if kind != "logistic":
         # every task of a pass sends the statistics of all nodes: more tasks only send more
-        tasks = max(data.sparkSession.sparkContext.defaultParallelism, math.ceil(filled["_rows"] / ROWS_PER_TASK))
+        tasks = max(data.sparkSession.sparkContext.defaultParallelism, math.ceil(counts.rows / ROWS_PER_TASK))
         given = ready.rdd.getNumPartitions()
         ready = ready.repartition(tasks) if given < tasks else ready.coalesce(tasks)
     fitted = PipelineModel([*prepared.stages, _without_summary(model.fit(durable(ready)), data.sparkSession)])
-    return BreachModel(fitted, kept, categories, numbers, kind, features,
-                       {"names": _slot_names(fitted, categories, numbers, kind)})
+    return BreachModel(fitted, kept, categories, numbers, kind, options={"names": names})
 
 
 def _without_summary(model, spark: SparkSession):
@@ -188,18 +256,6 @@ def _without_summary(model, spark: SparkSession):
     return type(model).load(path)
 
 
-def _slot_names(fitted: PipelineModel, categories: Sequence[str], numbers: Sequence[str], kind: str) -> list[str]:
-    # one slot a category is for values never seen
-    names = [n for c, labels in zip(categories, fitted.stages[0].labelsArray)
-             for n in [*(f"{c}={v}" for v in labels), f"{c}=<unseen>"]]
-    names += list(numbers)
-    if kind == "boosted":
-        names += [f"{c} missing" for c in numbers]
-        chosen = fitted.stages[-2].selectedFeatures
-        names = [names[i] for i in chosen if i < len(names)]
-    return names
-
-
 # ------------------------------------------------------------------ artifacts
 def save_model(model: BreachModel, path: str) -> str:
     """Write the fitted pipeline, and beside it the levels, columns and names it needs."""

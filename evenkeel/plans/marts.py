@@ -88,11 +88,11 @@ def work_order_rows(orders: DataFrame, started: str = "work_started_at_utc",
     valid = first <= last
     step = lambda day, up, bad: F.struct(day.alias("_day"), F.lit(up).cast("bigint").alias("_step"),
                                          F.lit(bad).cast("bigint").alias("_bad"))
-    steps = F.array_compact(F.array(
-        F.when(valid, step(first, 1, 0)), F.when(valid, step(F.date_add(last, 1), -1, 0)),
-        F.when(F.col("is_sla_violation") & last.isNotNull(), step(last, 0, 1))))
-    changes = orders.where(F.col("site_id").isNotNull()).select("site_id", F.inline(steps)).groupBy("site_id", "_day").agg(
-        F.sum("_step").alias("_step"), F.sum("_bad").alias("_bad"))
+    # a step that does not happen has no day
+    steps = F.array(step(F.when(valid, first), 1, 0), step(F.when(valid, F.date_add(last, 1)), -1, 0),
+                    step(F.when(F.col("is_sla_violation"), last), 0, 1))
+    changes = orders.where(F.col("site_id").isNotNull()).select("site_id", F.inline(steps)).where(
+        F.col("_day").isNotNull()).groupBy("site_id", "_day").agg(F.sum("_step").alias("_step"), F.sum("_bad").alias("_bad"))
     along = W.partitionBy("site_id").orderBy("_day")
     runs = changes.select(
         "site_id", "_day", "_bad", F.sum("_step").over(along.rowsBetween(W.unboundedPreceding, 0)).alias("open_work_orders"),

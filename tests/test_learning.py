@@ -134,6 +134,33 @@ def test_trees_are_fitted_in_as_many_tasks_as_cores(spark, learnable, kind, monk
     assert kind == "boosted" or model.pipeline.stages[-1].getCacheNodeIds()
 
 
+def test_boosted_features_take_three_passes_and_none_is_constant(spark, learnable, monkeypatch):
+    """Counts, medians, features; labels and constant slots follow from the counts."""
+    read, seen, cut = spark.sparkContext.accumulator(0), [], m.durable
+
+    def counting(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    def counted_cut(df):
+        out = cut(df)
+        seen.append((read.value, df))
+        return out
+
+    df = cut(learnable.withColumns({"same": F.lit("s"), "one": F.lit(1.0), "none": F.lit(None).cast("double")}))
+    monkeypatch.setattr(m, "durable", counted_cut)
+    model = m.fit_breach_model(df.mapInArrow(counting, df.schema), "boosted", ["kind", "same"], ["x", "z", "one", "none"], "y",
+                               min_frequency=100, trees=2, depth=2, identifier="wo_no")
+    [(rows, features)] = seen
+    assert rows == 3 * 4000
+    assert model.options["names"] == ["kind=_rare_", "kind=bad", "kind=good", "x", "z", "x missing"]
+    found = np.array([r._features.toArray() for r in features.collect()])
+    assert found.shape == (4000, 6) and (found.var(axis=0) > 0).all()
+    unseen = model.transform(df.limit(5).withColumns({"same": F.lit("other"), "x": F.lit(math.nan)}), "p")
+    assert unseen.where("p BETWEEN 0 AND 1").count() == 5
+
+
 def test_permutation_importance_finds_the_signal(learnable):
     train, test = learnable.where("wo_no < 3000"), learnable.where("wo_no >= 3000")
     model = m.fit_breach_model(train, "logistic", ["kind"], ["x", "z"], "y", trees=30)
