@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.functions import cp1252_from_latin1, delimiter_of, is_null_literal
+from evenkeel.functions import NULL_LITERALS, cp1252_from_latin1, delimiter_of
 from evenkeel.sources.contracts import OCCUPANCY_SCHEMA, PROPERTY_SCHEMA, resolve
 from evenkeel.sources.records import cells_of, csv_records, split_states
 
@@ -16,9 +16,9 @@ SIDE_FILES = r"(\.meta\.json|^_manifest\.json)$"
 
 
 def _lines(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
-    """Every line of every file. The text source copies bytes without decoding
-    them (but for a byte-order mark, which it drops), so lines may be invalid UTF-8."""
-    reader = spark.read.option("recursiveFileLookup", "true")
+    """Every line of every file, up to its line feed. The text source copies bytes without
+    decoding them (but for a byte-order mark, which it drops), so lines may be invalid UTF-8."""
+    reader = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.text(path).select(
@@ -26,10 +26,15 @@ def _lines(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("_at"))
 
 
-def _decoded(value: str, utf8: Column) -> Column:
-    latin1 = F.decode(F.col(value).cast("binary"), "ISO-8859-1")
-    text = F.when(utf8, F.col(value)).otherwise(cp1252_from_latin1(latin1))
-    return F.regexp_replace(F.ltrim(text, F.lit("\ufeff")), "\r$", "")
+def _text(value: str, utf8: Column, latin1: bool = False) -> Column:
+    """Characters of a line: UTF-8 or one byte each, Windows-1252 unless ``latin1``."""
+    single = F.decode(F.col(value).cast("binary"), "ISO-8859-1")
+    return F.when(utf8, F.col(value)).otherwise(single if latin1 else cp1252_from_latin1(single))
+
+
+def _decoded(value: str, utf8: Column, latin1: bool = False) -> Column:
+    """A line without byte-order mark and carriage return around it."""
+    return F.regexp_replace(F.ltrim(_text(value, utf8, latin1), F.lit("\ufeff")), "\r\\z", "")
 
 
 def csv_dialects(spark: SparkSession, path: str, glob: str | None = "*.csv") -> DataFrame:
@@ -48,7 +53,8 @@ def csv_dialects(spark: SparkSession, path: str, glob: str | None = "*.csv") ->
 
 
 def read_erp_csv(spark: SparkSession, path: str, glob: str | None = "*.csv", encoding: str | None = None,
-                 delimiter: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+                 delimiter: str | None = None, columns: Sequence[str] | None = None,
+                 null_literals: Sequence[str] = NULL_LITERALS) -> DataFrame:
     """All files of an export as string columns plus ``source_file``.
 
     One plan for any number of files, dialects and headers, and a large file is read by
@@ -56,13 +62,15 @@ def read_erp_csv(spark: SparkSession, path: str, glob: str | None = "*.csv", enc
     lines, and a column is taken from wherever the file's own header has it (null where
     it does not). ``columns`` names the columns (a contract's, say) and makes reading
     them the first job; otherwise the distinct headers are looked up before. Empty
-    lines outside quotes are dropped; a file's first record is its header.
+    lines outside quotes are dropped; a file's first record is its header. ``encoding``
+    is ``utf-8``, ``cp1252`` or ``iso-8859-1``; without it each file's is looked for. Cells
+    of UTF-8 files that are one of ``null_literals`` are null, as a cell left empty is anywhere.
     """
     lines = _lines(spark, path, glob).select(
         "file_path", F.col("_at.file_block_start").alias("block"), F.col("_at.col2").alias("at"), "value")
     states = split_states(lines)
-    utf8 = F.lit(encoding == "utf-8") if encoding else F.col("utf8")
-    header = _decoded("header_line", utf8)
+    utf8, latin1 = F.lit(encoding == "utf-8") if encoding else F.col("utf8"), encoding == "iso-8859-1"
+    header = _decoded("header_line", utf8, latin1)
     sep = F.lit(delimiter) if delimiter else delimiter_of(header)
     heads = states.select("file_path", "block", "inside", "first_block", utf8.alias("utf8"), sep.alias("sep"),
                           F.transform(cells_of(header, sep), lambda h: F.btrim(h)).alias("names"))
@@ -74,12 +82,12 @@ def read_erp_csv(spark: SparkSession, path: str, glob: str | None = "*.csv", enc
     heads = heads.withColumn("places", F.transform(F.lit(list(columns)), lambda n: F.array_position("names", n).cast("int")))
     dialects = heads.select("file_path", "block", "utf8", "sep", "places", "first_block")
     decoded = lines.join(heads.select("file_path", "block", "utf8"), ["file_path", "block"]).select(
-        "file_path", "block", "at", _decoded("value", F.col("utf8")).alias("value"))
+        "file_path", "block", "at", _text("value", F.col("utf8"), latin1).alias("value"))
     records = csv_records(decoded, heads).where(F.col("text") != "").join(dialects, ["file_path", "block"])
     data = records.where((F.col("block") != F.col("first_block")) | (F.col("seq") != 0))
     cut = data.select("file_path", "utf8", "places", cells_of(F.col("text"), F.col("sep")).alias("cells"))
     cell = lambda i: F.get("cells", F.get("places", F.lit(i)) - 1)
-    value = lambda i: F.when(~(F.col("utf8") & F.coalesce(is_null_literal(cell(i)), F.lit(False))), cell(i))
+    value = lambda i: F.when(~(F.col("utf8") & F.coalesce(cell(i).isin(*null_literals), F.lit(False))), cell(i)) if null_literals else cell(i)
     return cut.select(*[value(i).alias(n) for i, n in enumerate(columns)], F.col("file_path").alias("source_file"))
 
 

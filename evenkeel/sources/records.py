@@ -5,13 +5,15 @@ before it. Each split counts its quotes; the counts of the splits before it, one
 split, tell the state at its start; then every task cuts its own lines into records in
 their order. What crosses a border leaves as fragments, at most two a split, which are
 joined afterwards. Quotes follow RFC 4180: a cell that holds one is quoted and the
-quote doubled.
+quote doubled. A record ends with a line feed outside quotes, and a carriage return
+before that; within quotes both are text.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -23,6 +25,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Stands for a separator outside quotes while a record is cut into cells.
 MARK = "\x01"
+#: Begins what stands for a mark, or for itself, in a text that holds either.
+ESCAPE = "\x02"
 RECORDS = "file_path string, block bigint, seq bigint, text string, opens boolean, closes boolean"
 
 
@@ -82,7 +86,7 @@ def _cut_records(batches: Iterator) -> Iterator:
                 open_text = [value]
             inside ^= turns
             if not inside:
-                rows.append((*split, seq, "\n".join(open_text), not fresh, True))
+                rows.append((*split, seq, "\n".join(open_text).removesuffix("\r"), not fresh, True))
                 seq, open_text, fresh = seq + 1, None, False
         if rows:
             yield leave()
@@ -112,9 +116,13 @@ def csv_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
 def cells_of(record: Column, delimiter: Column) -> Column:
     """Cells of a record: separators inside quotes do not separate, quotes around a cell
     go and doubled ones become one; an empty cell without quotes is null."""
-    outside = F.transform(F.split(record, '"', -1), lambda part, i: F.when(
+    swapped = lambda c, *pairs: reduce(lambda x, p: F.replace(x, F.lit(p[0]), F.lit(p[1])), pairs, c)
+    marked = record.contains(MARK) | record.contains(ESCAPE)
+    plain = F.when(marked, swapped(record, (ESCAPE, f"{ESCAPE}a"), (MARK, f"{ESCAPE}b"))).otherwise(record)
+    outside = F.transform(F.split(plain, '"', -1), lambda part, i: F.when(
         i % 2 == 0, F.replace(part, delimiter, F.lit(MARK))).otherwise(part))
     cells = F.split(F.array_join(outside, '"'), MARK, -1)
+    cells = F.when(marked, F.transform(cells, lambda c: swapped(c, (f"{ESCAPE}b", MARK), (f"{ESCAPE}a", ESCAPE)))).otherwise(cells)
     bare = lambda c: F.replace(F.substr(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
     return F.transform(cells, lambda c: F.when(c.startswith('"') & c.endswith('"') & (F.length(c) > 1), bare(c)).when(c != "", c))
 

@@ -2,12 +2,14 @@
 
 import collections
 import csv
+import hashlib
 import io
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from evenkeel.catalogue import QUERIES
 from evenkeel.sources import readers, records
 
 
@@ -72,3 +74,18 @@ def test_empty_files_and_folders(spark, tmp_path):
     (tmp_path / "none").mkdir()
     with pytest.raises(Exception):
         readers.read_erp_csv(spark, str(tmp_path / "none")).count()
+
+
+ODD = ["plain", "caf\xe9", '"', '""', 'x"', '"\n"', '","', "l1\n\nl2\n", "\n", "a\rb", "a\r\nb", "a\r", "caf\xe9\r", "\r", "\ufeffbom", "l\n\ufeffbom",
+       "caf\xe9\x85", "caf\xe9\x93", "caf\xe9\u2028", "caf\xe9\u2029", "\xc3\xa9", "a\x01b", "caf\xe9\x01\x02", "\x02a\x01\x02b,", "\x00", " lead", "trail ",
+       "#c", "null", "NULL", "None", "", None, "\\", 'a\\"b', "x" * 1500 + '"\r\n' + "y" * 1500]
+
+
+@pytest.mark.parametrize("langs", [("de", "fr", "en"), ("de",), ("", None)])
+def test_exports_keep_any_text(spark, small_splits, tmp_path, langs):
+    rows = [(i, text, lang, f"s{i}") for i, (text, lang) in enumerate((t, l) for l in langs for t in ODD)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    one_byte = lambda t, l: l in ("de", "fr") and t is not None and any("\xa0" <= c <= "\xff" for c in t) and all(c <= "\xff" for c in t)
+    want = {(str(i), l, s if one_byte(t, l) else None, t if t is None else hashlib.sha256(t.encode()).hexdigest()) for i, t, l, s in rows}
+    got = [tuple(r) for r in QUERIES["csv_exports"](spark, str(tmp_path)).collect()]
+    assert len(got) == len(rows) and set(got) == want
