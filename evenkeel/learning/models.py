@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions import nan_to_null, probability_label
 from evenkeel.learning.evaluation import classification_metrics
+from evenkeel.learning.forests import fit_forest
 from evenkeel.operators.joins import rate_lookup
 from evenkeel.operators.ordered import exact_quantiles
 from evenkeel.plans.features import cutoff_split
@@ -235,14 +236,24 @@ def fit_breach_model(train: DataFrame, kind: str, categories: Sequence[str], num
     model = model.setProbabilityCol("_probability").setRawPredictionCol("_raw")
     # features are worked out once, over all cores, and read by every pass of the fit
     prepared = Pipeline(stages=stages).fit(data)
-    columns = ["_label", "_features", *(c for c in ("_validate", "_weight") if c in data.columns)]
-    ready = prepared.transform(data).select(*columns)
+    ready = prepared.transform(data)
+    if kind == "forest":
+        # what the slots are made from, which is a byte a column once it is binned
+        places = F.array(*[F.col(f"_idx_{c}") for c in categories])
+        ready = ready.select("_label", "_weight", F.concat(places, vector_to_array("_scaled")).alias("_values"))
+    else:
+        ready = ready.select("_label", "_features", *(c for c in ("_validate",) if c in data.columns))
     if kind != "logistic":
         # every task of a pass sends the statistics of all nodes: more tasks only send more
         tasks = max(data.sparkSession.sparkContext.defaultParallelism, math.ceil(counts.rows / ROWS_PER_TASK))
         given = ready.rdd.getNumPartitions()
         ready = ready.repartition(tasks) if given < tasks else ready.coalesce(tasks)
-    fitted = PipelineModel([*prepared.stages, _without_summary(model.fit(durable(ready)), data.sparkSession)])
+    if kind == "forest":
+        levels = [len(x) for x in prepared.stages[0].labelsArray]
+        last = fit_forest(durable(ready), model, levels, len(numbers))
+    else:
+        last = _without_summary(model.fit(durable(ready)), data.sparkSession)
+    fitted = PipelineModel([*prepared.stages, last])
     return BreachModel(fitted, kept, categories, numbers, kind, options={"names": names})
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.learning import anomalies as a
 from evenkeel.learning import evaluation as v
+from evenkeel.learning import forests
 from evenkeel.learning import models as m
 from evenkeel.learning.clusters import usage_tiers
 from evenkeel.operators import ordered
@@ -134,6 +135,47 @@ def test_trees_are_fitted_in_as_many_tasks_as_cores(spark, learnable, kind, monk
     assert kind == "boosted" or model.pipeline.stages[-1].getCacheNodeIds()
 
 
+def test_forest_takes_no_pass_a_level(spark, learnable):
+    context = spark.sparkContext
+
+    def jobs(depth):
+        context.setJobGroup(f"depth {depth}", "fit")
+        m.fit_breach_model(learnable, "forest", ["kind"], ["x", "z"], "y", trees=3, depth=depth)
+        context.setLocalProperty("spark.jobGroup.id", None)
+        return len(context.statusTracker().getJobIdsForGroup(f"depth {depth}"))
+
+    assert jobs(10) == jobs(1)
+
+
+def test_forest_is_the_same_by_passes_and_like_sparks(spark, learnable, monkeypatch):
+    seen, fit = [], m.fit_forest
+    monkeypatch.setattr(m, "fit_forest", lambda values, estimator, *rest: seen.append((values, estimator)) or fit(values, estimator, *rest))
+    grow = lambda: m.fit_breach_model(learnable, "forest", ["kind"], ["x", "z"], "y", trees=40, depth=6).pipeline.stages[-1]
+    local = grow()
+    # nodes of over 100 draws are split by passes, two rows of counts at a time; counts are weighed a few nodes at once
+    for name, value in (("LOCAL_ROWS", 100), ("NODES_PER_GROUP", 2), ("COUNTS_AT_ONCE", 150)):
+        monkeypatch.setattr(forests, name, value)
+    nodes = lambda forest: forest.toDebugString.split("\n", 1)[1]
+    assert nodes(grow()) == nodes(local) and local.totalNumNodes > 400
+    values, estimator = seen[0]
+    known = sorted(r[0] for r in values.select(F.col("_values")[0]).distinct().collect())
+    slots = F.array(*[(F.col("_values")[0] == k).cast("double") for k in known], F.lit(0.0), F.col("_values")[1], F.col("_values")[2])
+    theirs = estimator.fit(values.select("_label", "_weight", forests.array_to_vector(slots).alias("_features")))
+    # which of two levels that say the same is drawn is chance: levels count together
+    weights = lambda forest: np.add.reduceat(forest.featureImportances.toArray(), [0, len(known) + 1, len(known) + 2])
+    assert np.allclose(weights(local), weights(theirs), atol=0.03)
+    assert 0.8 < local.totalNumNodes / theirs.totalNumNodes < 1.25
+
+
+def test_wide_categories_and_one_class(spark):
+    df = spark.range(12000).select((F.col("id") % 400).cast("string").alias("k"), F.lit(None).cast("string").alias("none"),
+                                  (F.col("id") % 3).cast("double").alias("x"), (F.col("id") % 400 == 7).cast("int").alias("y"), F.lit(1).alias("one"))
+    model = m.fit_breach_model(df, "forest", ["k", "none"], ["x"], "y", min_frequency=2, trees=30, depth=5)
+    assert model.impurity_importance(1).first()["feature"] == "k=7"
+    alone = m.fit_breach_model(df, "forest", ["none"], ["x"], "one", trees=2, depth=3)
+    assert {r.breach_probability for r in alone.transform(df).select("breach_probability").distinct().collect()} == {1.0}
+
+
 def test_boosted_features_take_three_passes_and_none_is_constant(spark, learnable, monkeypatch):
     """Counts, medians, features; labels and constant slots follow from the counts."""
     read, seen, cut = spark.sparkContext.accumulator(0), [], m.durable
