@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.session import durable, shared_path
@@ -262,6 +262,12 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[k]) for i, (_, k) in enumerate(fields)], names=[n for n, _ in fields])
 
 
+def _codes(plan: Plan, x: np.ndarray) -> np.ndarray:
+    """Joint codes, groups × rows, of rows of values."""
+    own = [x[:, j].astype(np.int64) if t is None else np.searchsorted(t, x[:, j], side="left") for j, t in enumerate(plan.thresholds)]
+    return np.stack([np.ravel_multi_index([own[j] for j in g], [plan.bins[j] for j in g]) for g in plan.groups]).astype(plan.dtype)
+
+
 def _binned(plan: Plan, values: DataFrame) -> DataFrame:
     """Blocks of rows, a code a group of columns. ``values``: _label, _values (categories' places, numbers)."""
 
@@ -278,10 +284,7 @@ def _binned(plan: Plan, values: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            own = [x[:, j].astype(np.int64) if t is None else np.searchsorted(t, x[:, j], side="left")
-                   for j, t in enumerate(plan.thresholds)]
-            codes = np.stack([np.ravel_multi_index([own[j] for j in g], [plan.bins[j] for j in g]) for g in plan.groups]).astype(plan.dtype)
-            held.append((codes, batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint8)))
+            held.append((_codes(plan, x), batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint8)))
             rows += batch.num_rows
             if rows >= ROWS_PER_BLOCK:
                 yield leave()
@@ -388,8 +391,63 @@ def _nodes(plan: Plan, tree: int, heap: np.ndarray, split: np.ndarray, gain: np.
     return pa.table({"treeID": i32(np.full(len(at), tree)), "nodeData": data})
 
 
-def fit_forest(values: DataFrame, estimator: RandomForestClassifier, levels: Sequence[int], numbers: int) -> RandomForestClassificationModel:
-    """The forest of ``estimator`` (its trees, depth, bins, least rows, seed) for two classes.
+@dataclass
+class Scorer:
+    """A forest's nodes, tree after tree: their splits, lower children and shares of each class."""
+
+    plan: Plan
+    roots: np.ndarray
+    split: np.ndarray
+    low: np.ndarray
+    shares: np.ndarray
+
+    def score(self, values: Column) -> Column:
+        """Probability of class 1 as Spark's model gives it, rows of a batch walking each tree together."""
+        plan, roots, split, low, shares = self.plan, self.roots, self.split, self.low, self.shares
+
+        def score(given):
+            codes = _codes(plan, given.flatten().to_numpy(zero_copy_only=False).reshape(len(given), -1)).astype(np.int64)
+            votes = np.zeros((2, len(given)))
+            for root in roots:
+                node, moves = np.full(len(given), root), np.arange(len(given))
+                while len(moves):
+                    at = node[moves]
+                    by = split[at]
+                    inner = np.flatnonzero(by >= 0)
+                    moves, by, at = moves[inner], by[inner], at[inner]
+                    node[moves] = low[at] + plan.second(by, codes[plan.group[by], moves])
+                votes += shares[:, node]
+            return pa.array(votes[1] / (votes[0] + votes[1]))
+
+        def scored(given: pa.Array) -> pa.Array:
+            return score(given) if len(given) else pa.array([], pa.float64())
+
+        return F.arrow_udf(scored, "double")(values)
+
+
+def _scorer(plan: Plan, nodes: DataFrame) -> Scorer:
+    n, s = F.col("nodeData"), F.col("nodeData.split")
+    found = nodes.select(
+        "treeID", n["id"].alias("id"), n["leftChild"].alias("low"), s["featureIndex"].alias("slot"),
+        F.get(s["leftCategoriesOrThreshold"], 0).alias("at"), n["impurityStats"][0].alias("c0"), n["impurityStats"][1].alias("c1")).toArrow()
+    tree, number, low, slot, at, c0, c1 = (found.column(i).to_numpy() for i in range(7))
+    order = np.lexsort((number, tree))
+    number, low, slot, at, c0, c1 = (x[order] for x in (number, low, slot, at, c0, c1))
+    roots = np.flatnonzero(number == 0)
+    sizes = np.diff([*roots, len(number)])
+    split = np.full(len(slot), LEAF, np.int64)
+    first = {int(plan.slot[b]): b for b in reversed(range(len(plan.slot)))}
+    for k, b in first.items():
+        here = np.flatnonzero(slot == k)
+        borders = plan.thresholds[plan.column[b]]
+        split[here] = b if borders is None else b + np.searchsorted(borders, at[here])
+    shares = np.stack([c0 / (c0 + c1), c1 / (c0 + c1)])
+    return Scorer(plan, roots, split, low + np.repeat(roots, sizes), shares)
+
+
+def fit_forest(values: DataFrame, estimator: RandomForestClassifier, levels: Sequence[int],
+               numbers: int) -> tuple[RandomForestClassificationModel, Scorer]:
+    """The forest, and what scores rows by it, of ``estimator`` (its trees, depth, bins, least rows, seed) for two classes.
 
     ``values`` has _label (0 or 1), _weight (one a class) and _values: the places of the
     categories, which have so many ``levels`` (and a slot more each, for values never
@@ -404,13 +462,13 @@ def fit_forest(values: DataFrame, estimator: RandomForestClassifier, levels: Seq
     sampled = values.sample(fraction=fraction, seed=estimator.getSeed()) if fraction < 1.0 else values
     found = np.array([r[0] for r in sampled.select(F.slice("_values", len(levels) + 1, max(numbers, 1))).collect()], float).reshape(-1, numbers)
     borders = [None] * len(levels) + [bin_borders(found[:, j], most) for j in range(numbers)]
-    bins = [*levels, *(len(b) + 1 for b in borders[len(levels):])]
+    bins = [*(n + 1 for n in levels), *(len(b) + 1 for b in borders[len(levels):])]
     first = np.cumsum([0, *(n + 1 for n in levels)])
     slots = int(first[-1]) + numbers
     trees = estimator.getNumTrees()
     plan = Plan(
         bins, borders, grouped(bins), np.repeat(np.arange(len(bins)), bins), np.concatenate([np.arange(n) for n in bins]),
-        np.concatenate([*(first[j] + np.arange(n) for j, n in enumerate(levels)), *(np.full(n, first[-1] + j) for j, n in enumerate(bins[len(levels):]))]),
+        np.concatenate([*(first[j] + np.arange(n + 1) for j, n in enumerate(levels)), *(np.full(n, first[-1] + j) for j, n in enumerate(bins[len(levels):]))]),
         slots, slots if trees == 1 else math.ceil(math.sqrt(slots)), trees, estimator.getMaxDepth(), estimator.getMinInstancesPerNode(),
         tuple(classes[y]["w"] if y in classes else 1.0 for y in (0.0, 1.0)), estimator.getSeed() % (1 << 63))
     blocks = _binned(plan, values)
@@ -454,4 +512,4 @@ def fit_forest(values: DataFrame, estimator: RandomForestClassifier, levels: Seq
     path = shared_path(spark, "forest")
     estimator.fit(two).write().save(path)
     nodes.write.mode("overwrite").parquet(f"{path}/data")
-    return RandomForestClassificationModel.load(path)
+    return RandomForestClassificationModel.load(path), _scorer(plan, spark.read.parquet(f"{path}/data"))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions import nan_to_null, probability_label
 from evenkeel.learning.evaluation import classification_metrics
-from evenkeel.learning.forests import fit_forest
+from evenkeel.learning.forests import Scorer, fit_forest
 from evenkeel.operators.joins import rate_lookup
 from evenkeel.operators.ordered import exact_quantiles
 from evenkeel.plans.features import cutoff_split
@@ -46,11 +46,17 @@ class BreachModel:
     name: str
     assembled: str = "_features"
     options: dict = field(default_factory=dict)
+    #: Of a forest just fitted: scores whole batches by tree, the same as its pipeline does row by row.
+    scorer: Scorer | None = None
 
     def transform(self, df: DataFrame, output: str = "breach_probability") -> DataFrame:
         """Probability of the positive class as a plain column."""
-        scored = self.pipeline.transform(_prepared(df, self.kept, self.categories, self.numbers))
-        scored = scored.withColumn(output, F.get(vector_to_array("_probability"), 1))
+        rows = _prepared(df, self.kept, self.categories, self.numbers)
+        if self.scorer:
+            ready = PipelineModel(self.pipeline.stages[:-1]).transform(rows)
+            scored = ready.withColumn(output, self.scorer.score(_forest_values(self.categories)))
+        else:
+            scored = self.pipeline.transform(rows).withColumn(output, F.get(vector_to_array("_probability"), 1))
         return scored.select(*df.columns, output)
 
     def parts(self, df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -86,6 +92,10 @@ def _number(c: str) -> Column:
     return nan_to_null(F.col(c).cast("double"))
 
 
+def _forest_values(categories: Sequence[str]) -> Column:
+    return F.concat(F.array(*[F.col(f"_idx_{c}") for c in categories]), vector_to_array("_scaled"))
+
+
 @dataclass
 class _Counts:
     """What one pass over the training rows tells: rows, rows of each level kept, and of
@@ -239,8 +249,7 @@ def fit_breach_model(train: DataFrame, kind: str, categories: Sequence[str], num
     ready = prepared.transform(data)
     if kind == "forest":
         # what the slots are made from, which is a byte a column once it is binned
-        places = F.array(*[F.col(f"_idx_{c}") for c in categories])
-        ready = ready.select("_label", "_weight", F.concat(places, vector_to_array("_scaled")).alias("_values"))
+        ready = ready.select("_label", "_weight", _forest_values(categories).alias("_values"))
     else:
         ready = ready.select("_label", "_features", *(c for c in ("_validate",) if c in data.columns))
     if kind != "logistic":
@@ -250,11 +259,11 @@ def fit_breach_model(train: DataFrame, kind: str, categories: Sequence[str], num
         ready = ready.repartition(tasks) if given < tasks else ready.coalesce(tasks)
     if kind == "forest":
         levels = [len(x) for x in prepared.stages[0].labelsArray]
-        last = fit_forest(durable(ready), model, levels, len(numbers))
+        last, scorer = fit_forest(durable(ready), model, levels, len(numbers))
     else:
         last = _without_summary(model.fit(durable(ready)), data.sparkSession)
     fitted = PipelineModel([*prepared.stages, last])
-    return BreachModel(fitted, kept, categories, numbers, kind, options={"names": names})
+    return BreachModel(fitted, kept, categories, numbers, kind, options={"names": names}, scorer=scorer if kind == "forest" else None)
 
 
 def _without_summary(model, spark: SparkSession):
@@ -309,7 +318,7 @@ def fit_segments(df: DataFrame, segment: str, cutoffs: Mapping[str, str], catego
     def fit(job: tuple[str, str]) -> tuple[BreachModel, float | None]:
         train, test = splits[job[0]]
         model = fit_breach_model(train, job[1], categories, numbers, label, **options)
-        return model, classification_metrics(model.transform(test, "p"), "p", label).first()["roc_auc"]
+        return model, classification_metrics(scored_once(model, test, "p"), "p", label).first()["roc_auc"]
 
     jobs = [(name, kind) for name in cutoffs for kind in kinds]
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:

@@ -167,6 +167,15 @@ def test_forest_is_the_same_by_passes_and_like_sparks(spark, learnable, monkeypa
     assert 0.8 < local.totalNumNodes / theirs.totalNumNodes < 1.25
 
 
+def test_forest_scores_in_batches_what_its_pipeline_scores(learnable):
+    model = m.fit_breach_model(learnable.where("wo_no < 3000"), "forest", ["kind"], ["x", "z"], "y", trees=20, depth=8)
+    rows = learnable.withColumn("kind", F.when(F.col("wo_no") % 11 == 0, "never seen").otherwise(F.col("kind"))).repartition(3)
+    scores = lambda one: {r.wo_no: r.p for r in one.transform(rows, "p").collect()}
+    mine = scores(model)
+    model.scorer, batched = None, model.scorer
+    assert batched is not None and scores(model) == mine and len(set(mine.values())) > 50
+
+
 def test_wide_categories_and_one_class(spark):
     df = spark.range(12000).select((F.col("id") % 400).cast("string").alias("k"), F.lit(None).cast("string").alias("none"),
                                   (F.col("id") % 3).cast("double").alias("x"), (F.col("id") % 400 == 7).cast("int").alias("y"), F.lit(1).alias("one"))
